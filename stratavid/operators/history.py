@@ -64,11 +64,10 @@ def scd2_merge(
     missing from the batch is closed at ``as_of``; a partial batch must leave it off.
     An observation no newer than the open version changes nothing.
     """
-    differs = ~F.struct(*[F.col(f"o.{c}") for c in check_cols]).eqNullSafe(
-        F.struct(*[F.col(f"b.{c}") for c in check_cols])
+    opened, closed = split_versions(current)
+    return closed.unionByName(
+        merge_open(opened, batch, keys, ts, as_of, full_snapshot, check_cols)
     )
-    newer = F.col(f"b.{ts}") > F.col(f"o.{VALID_FROM}")
-    return _merge(current, batch, keys, ts, differs & newer, as_of, full_snapshot)
 
 
 def scd2_merge_timestamp(
@@ -80,49 +79,80 @@ def scd2_merge_timestamp(
     full_snapshot: bool = False,
 ) -> DataFrame:
     """Versions after one batch, opening a version where ``updated_at`` moved on."""
-    newer = F.col(f"b.{updated_at}") > F.col(f"o.{VALID_FROM}")
-    return _merge(current, batch, keys, updated_at, newer, as_of, full_snapshot)
+    opened, closed = split_versions(current)
+    return closed.unionByName(merge_open(opened, batch, keys, updated_at, as_of, full_snapshot))
 
 
-def _merge(
-    current: DataFrame,
+def split_versions(versions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Open and closed versions."""
+    is_open = F.col(VALID_TO).isNull()
+    return versions.filter(is_open), versions.filter(~is_open)
+
+
+def merge_open(
+    opened: DataFrame,
     batch: DataFrame,
     keys: Sequence[str],
     ts: str,
-    changed: Column,
     as_of: Column,
-    full_snapshot: bool,
+    full_snapshot: bool = False,
+    check_cols: Sequence[str] | None = None,
 ) -> DataFrame:
-    is_open = F.col(VALID_TO).isNull()
-    incoming = batch.withColumn("__in", F.lit(True)).alias("b")
-    opened = current.filter(is_open).withColumn("__open", F.lit(True)).alias("o")
-    same_key = [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    # Both sides hold one row per key, so no join key can be hot.
-    pairs = opened.join(incoming, same_key, "full_outer")
+    """What a batch makes of the open versions: kept, closed and newly opened rows.
 
-    attributes = [c for c in current.columns if c not in (VALID_FROM, VALID_TO)]
+    A newer observation opens a version if a checked column differs or, without
+    ``check_cols``, by being newer alone. Closed history is not read.
+    """
+    attributes = [c for c in opened.columns if c not in (VALID_FROM, VALID_TO)]
+    # Both sides hold one row per key, so no join key can be hot.
+    pairs = opened.withColumn("__open", F.lit(True)).alias("o").join(
+        batch.withColumn("__in", F.lit(True)).alias("b"),
+        [F.col(f"o.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys],
+        "full_outer",
+    )
     known, arrived = F.col("o.__open").isNotNull(), F.col("b.__in").isNotNull()
-    no_end = F.lit(None).cast(current.schema[VALID_TO].dataType)
-    end = F.when(arrived & changed, F.col(f"b.{ts}"))
+    seen = F.col(f"b.{ts}")
+    changed = seen > F.col(f"o.{VALID_FROM}")
+    if check_cols is not None:
+        old_state = F.struct(*[F.col(f"o.{c}") for c in check_cols])
+        new_state = F.struct(*[F.col(f"b.{c}") for c in check_cols])
+        changed = changed & ~old_state.eqNullSafe(new_state)
+
+    end = F.when(arrived & changed, seen)
     if full_snapshot:
         end = F.when(~arrived, as_of).otherwise(end)
+    end_type = opened.schema[VALID_TO].dataType
     old_row = F.struct(
         *[F.col(f"o.{c}").alias(c) for c in attributes],
         F.col(f"o.{VALID_FROM}").alias(VALID_FROM),
-        end.cast(current.schema[VALID_TO].dataType).alias(VALID_TO),
+        end.cast(end_type).alias(VALID_TO),
     )
     new_row = F.struct(
         *[F.col(f"b.{c}").alias(c) for c in attributes],
-        F.col(f"b.{ts}").alias(VALID_FROM),
-        no_end.alias(VALID_TO),
+        seen.alias(VALID_FROM),
+        F.lit(None).cast(end_type).alias(VALID_TO),
     )
     # A pair yields the old row, the new row or both, in one pass over the join.
     rows = F.array_compact(
         F.array(F.when(known, old_row), F.when(arrived & (~known | changed), new_row))
     )
-    touched = pairs.select(F.inline(rows))
-    closed = current.filter(~is_open)
-    return closed.unionByName(touched)
+    return pairs.select(F.inline(rows))
+
+
+def extend_open(
+    opened: DataFrame, history: DataFrame, keys: Sequence[str], ts: str, check_cols: Sequence[str]
+) -> DataFrame:
+    """What several days of newer observations make of the open versions, in one pass.
+
+    Each open version joins the history as its first observation, so the result equals
+    merging day by day. ``history`` holds one row per key and day, all newer than the
+    open versions.
+    """
+    attributes = [c for c in opened.columns if c != VALID_TO]
+    start = opened.select(*attributes).withColumnRenamed(VALID_FROM, ts)
+    return scd2_history(
+        start.unionByName(history.select(*start.columns)), keys, ts, check_cols, daily=True
+    ).select(*opened.columns)
 
 
 def versioned_view(snapshot: DataFrame) -> DataFrame:

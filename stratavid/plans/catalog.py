@@ -57,7 +57,7 @@ from stratavid.sources.files import (
 from stratavid.sources.payloads import flatten_channel_payload, flatten_video_payload
 
 Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
+_BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {}
 
 PLACES = 4
 
@@ -78,12 +78,22 @@ def plain(df: DataFrame) -> DataFrame:
 
 def query(build: Callable[[Layers], DataFrame]) -> Callable[[Layers], DataFrame]:
     """Register ``build`` under its own name, less a trailing underscore."""
-    _QUERIES[build.__name__.rstrip("_")] = lambda spark, sf_dir: plain(build(Layers(spark, sf_dir)))
+    _BUILDERS[build.__name__.rstrip("_")] = build
     return build
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    """Every query over a folder of source tables."""
+
+    def over_sources(build: Callable[[Layers], DataFrame]) -> Query:
+        return lambda spark, sf_dir: plain(build(Layers(spark, sf_dir)))
+
+    return {name: over_sources(build) for name, build in _BUILDERS.items()}
+
+
+def ask(name: str, tables) -> DataFrame:
+    """One query over any object with the warehouse tables, such as a stored ``Warehouse``."""
+    return plain(_BUILDERS[name](tables))
 
 
 def moment(text: str) -> Column:

@@ -100,9 +100,13 @@ def video_tag_pairs(stg: DataFrame, videos: DataFrame, tags: DataFrame, as_of: C
     )
 
 
+opened = first_bridge_snapshot
+versions = versioned_view
+
+
 def bridge(pairs: DataFrame) -> DataFrame:
-    """Bridge dimensioned by validity, as built by its first snapshot."""
-    return versioned_view(first_bridge_snapshot(pairs))
+    """Bridge with its validity, as its first snapshot builds it."""
+    return versions(opened(pairs))
 
 
 def fact_channel_metrics(

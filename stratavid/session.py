@@ -36,6 +36,7 @@ def local_session(cores: int | str = 8, app: str = "stratavid-local", **extra: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("STRATAVID_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(cores))
     )
