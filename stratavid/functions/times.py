@@ -22,15 +22,23 @@ def _col(c: Column | str) -> Column:
 
 
 def iso_duration_seconds(c: Column | str, days: bool = False) -> Column:
-    """Seconds in a text like ``PT1H2M3S``; a missing part, or null, counts as 0."""
+    """Seconds in a text like ``PT1H2M3S``; a missing part, or null, counts as 0.
+
+    A text with a day part, like ``P1DT2H``, counts as 0 unless ``days`` is set.
+    """
     text = _col(c)
 
-    def part(pattern: str, seconds: int) -> Column:
-        found = F.regexp_extract(text, pattern, 1).try_cast("bigint")
+    def part(source: Column, pattern: str, seconds: int) -> Column:
+        found = F.regexp_extract(source, pattern, 1).try_cast("bigint")
         return F.coalesce(found, F.lit(0).cast("bigint")) * seconds
 
-    total = part(HOURS_PATTERN, 3600) + part(MINUTES_PATTERN, 60) + part(SECONDS_PATTERN, 1)
-    return total + part(DAYS_PATTERN, 86400) if days else total
+    clock = F.regexp_replace(text, DAYS_PATTERN, "P") if days else text
+    total = (
+        part(clock, HOURS_PATTERN, 3600)
+        + part(clock, MINUTES_PATTERN, 60)
+        + part(clock, SECONDS_PATTERN, 1)
+    )
+    return total + part(text, DAYS_PATTERN, 86400) if days else total
 
 
 def iso_weekday(c: Column | str) -> Column:

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratavid.functions import year_month
 from stratavid.operators.snapshot import SnapshotRules, silver_snapshot
 
 # Fixed value: the mark of an empty target.
@@ -24,9 +25,21 @@ def high_water_mark(target: DataFrame, column: str) -> Column:
     return target.select(F.coalesce(F.max(column), floor)).scalar()
 
 
-def above_mark(source: DataFrame, target: DataFrame, source_column: str, target_column: str) -> DataFrame:
-    """Rows strictly newer than anything in ``target``."""
-    return source.filter(F.col(source_column) > high_water_mark(target, target_column))
+def above_mark(
+    source: DataFrame,
+    target: DataFrame,
+    source_column: str,
+    target_column: str,
+    month_column: str | None = None,
+) -> DataFrame:
+    """Rows strictly newer than anything in ``target``.
+
+    ``month_column`` names a ``yyyyMM`` partition column of the source, if it has one:
+    months before the mark's are then not listed at all.
+    """
+    mark = high_water_mark(target, target_column)
+    newer = source.filter(F.col(source_column) > mark)
+    return newer if month_column is None else newer.filter(F.col(month_column) >= year_month(mark))
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -439,7 +439,7 @@ _SQL = {
              FROM part) d USING (p_partkey)""",
     "duration_seconds_with_days": """
         SELECT p_partkey, CAST(0 AS BIGINT) AS seconds,
-               CAST((p_size % 4) * 86400 AS BIGINT) AS seconds_with_days FROM part""",
+               CAST((p_size % 4) * 86400 + 7200 AS BIGINT) AS seconds_with_days FROM part""",
     "surrogate_key": """
         SELECT o_orderkey, md5(o_custkey || '-' || CAST(o_orderdate AS DATE)) AS day_key,
                md5(o_custkey || '-' || CASE WHEN o_orderstatus = 'P' THEN '_dbt_utils_surrogate_key_null_'

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavid.operators.history import extend_open, merge_open
-from stratavid.operators.incremental import high_water_mark
+from stratavid.operators.incremental import above_mark
 from stratavid.operators.quality import enforce
 from stratavid.operators.star import calendar, date_spine
 from stratavid.plans import checks, gold, silver
@@ -95,9 +95,9 @@ class Warehouse:
         """Build every table from all raw rows."""
         day = "date_key"
         stg = silver.stg_channels(raw_channels, as_of, channel_tiebreak)
-        sinks.write_by_month(stg, self.path("stg_channels"), day)
+        sinks.write_by_month(stg, self.path("stg_channels"), day, sort_by=["channel_id"])
         stg = silver.stg_videos(raw_videos, as_of, video_tiebreak)
-        sinks.write_by_month(stg, self.path("stg_videos"), day)
+        sinks.write_by_month(stg, self.path("stg_videos"), day, sort_by=["video_id"])
 
         sinks.write_versions(gold.channel_snapshot(self.stg_channels), self.path("snapshot_channel"))
         sinks.write_versions(gold.video_snapshot(self.stg_videos), self.path("snapshot_video"))
@@ -109,9 +109,9 @@ class Warehouse:
         sinks.write_versions(gold.opened(pairs), self.path("bridge_video_tag"))
 
         fact = gold.fact_channel_metrics(self.stg_channels, self.dim_channel)
-        sinks.write_by_month(fact, self.path("fact_channel_metrics"), day)
+        sinks.write_by_month(fact, self.path("fact_channel_metrics"), day, sort_by=["channel_sk"])
         fact = gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
-        sinks.write_by_month(fact, self.path("fact_video_performance"), day)
+        sinks.write_by_month(fact, self.path("fact_video_performance"), day, sort_by=["video_sk"])
 
     def refresh(
         self,
@@ -185,8 +185,9 @@ class Warehouse:
         """Raw rows above the stored mark, which is looked up in the last month alone."""
         stored = self.spark.read.parquet(self.path(stg))
         last_month = stored.select(F.max(sinks.MONTH)).scalar()
-        mark = high_water_mark(stored.filter(F.col(sinks.MONTH) == last_month), "loaded_at")
-        return raw.filter(F.col("ts") > mark)
+        recent = stored.filter(F.col(sinks.MONTH) == last_month)
+        month = sinks.MONTH if sinks.MONTH in raw.columns else None
+        return above_mark(raw, recent, "ts", "loaded_at", month)
 
     def _keep(self, fresh: DataFrame, name: str, load: str) -> DataFrame:
         """The batch as a written table: later steps must not see the mark it moves."""

@@ -59,5 +59,4 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
         return folder.rstrip("/")
     if fallback is None:
         raise ValueError("spark.checkpoint.dir is not set; name a folder all executors share")
-    spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback.rstrip("/")

@@ -67,13 +67,22 @@ def with_month(df: DataFrame, date_column: str) -> DataFrame:
     return df.withColumn(MONTH, year_month(date_column))
 
 
-def write_by_month(df: DataFrame, path: str, date_column: str, mode: str = "overwrite") -> None:
+def write_by_month(
+    df: DataFrame,
+    path: str,
+    date_column: str,
+    mode: str = "overwrite",
+    sort_by: Sequence[str] = (),
+) -> None:
     """Write month partitions; in overwrite mode only months present in ``df`` are replaced.
 
     Rebalancing keeps each month in few files, and lets AQE cut a month that is far
-    larger than the others into several tasks.
+    larger than the others into several tasks. ``sort_by`` orders the rows of each file,
+    so a lookup by that key skips row groups by their minimum and maximum.
     """
     months = with_month(df, date_column).hint("rebalance", MONTH)
+    if sort_by:
+        months = months.sortWithinPartitions(MONTH, *sort_by)
     (
         months.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
