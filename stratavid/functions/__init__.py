@@ -20,8 +20,10 @@ from stratavid.functions.text import (
     truncate,
 )
 from stratavid.functions.times import (
+    interval_seconds,
     iso_duration_seconds,
     iso_weekday,
+    length_seconds,
     not_future,
     parse_timestamp,
     year_month,
@@ -33,9 +35,11 @@ __all__ = [
     "contains_any_case",
     "correlation",
     "equals_or_missing",
+    "interval_seconds",
     "iso_duration_seconds",
     "iso_weekday",
     "join_list",
+    "length_seconds",
     "lacks_text",
     "lenient_bool",
     "lenient_long",

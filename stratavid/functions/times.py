@@ -6,8 +6,9 @@ or month never depends on the session time zone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # How hours, minutes and seconds are found in an ISO-8601 duration.
 # Only the part after ``PT`` counts, so a day part is not read here.
@@ -41,6 +42,20 @@ def iso_duration_seconds(c: Column | str, days: bool = False) -> Column:
     return total + part(text, DAYS_PATTERN, 86400) if days else total
 
 
+def interval_seconds(c: Column | str) -> Column:
+    """Seconds in a day-time interval, as double."""
+    c = _col(c)
+    units = (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60), ("SECOND", 1))
+    parts = [F.extract(F.lit(unit), c).cast("double") * seconds for unit, seconds in units]
+    return parts[0] + parts[1] + parts[2] + parts[3]
+
+
+def length_seconds(df: DataFrame, column: str) -> Column:
+    """Seconds of a length stored as a day-time interval or as ISO text."""
+    kind = df.schema[column].dataType
+    return interval_seconds(column) if isinstance(kind, T.DayTimeIntervalType) else iso_duration_seconds(column)
+
+
 def iso_weekday(c: Column | str) -> Column:
     """Monday 1 to Sunday 7."""
     return F.weekday(_col(c)) + 1

@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MEGABYTE = 1 << 20
 
 # Below this an extra exchange costs less than running the next stages on one core.
 SPREAD_LIMIT = 256 * MEGABYTE
 
+# A broadcast side is held once per executor.
+BROADCAST_LIMIT = 32 * MEGABYTE
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate; for a file scan, the size of the files."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def broadcast_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """``df`` marked for broadcast if its estimated size allows it, else left to the join planner."""
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df
+
+
 def spread_small(df: DataFrame, key: str, limit: int = SPREAD_LIMIT) -> DataFrame:
     """Small input spread over all cores by ``key``; a large one is left as its splits come.
 

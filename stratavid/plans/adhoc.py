@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stratavid.functions import (
     contains_any_case,
     correlation,
-    iso_duration_seconds,
+    length_seconds,
     ratio,
     round_half_up,
 )
@@ -56,7 +56,7 @@ def category_duration(videos: DataFrame) -> DataFrame:
     """Mean length, views and likes per category, most viewed first."""
     timed = videos.filter(F.col("duration").isNotNull())
     means = timed.groupBy("category_id").agg(
-        (F.avg(iso_duration_seconds("duration")) / 60).alias("avg_duration_minutes"),
+        (F.avg(length_seconds(timed, "duration")) / 60).alias("avg_duration_minutes"),
         F.avg("view_count").alias("avg_views"),
         F.avg("like_count").alias("avg_likes"),
         F.count("*").alias("video_count"),
@@ -67,7 +67,7 @@ def category_duration(videos: DataFrame) -> DataFrame:
 def duration_correlation(videos: DataFrame) -> DataFrame:
     """Correlation of length and views over all rows."""
     known = videos.filter(F.col("duration").isNotNull() & F.col("view_count").isNotNull())
-    seconds = known.withColumn("duration_seconds", iso_duration_seconds("duration"))
+    seconds = known.withColumn("duration_seconds", length_seconds(known, "duration"))
     return seconds.agg(correlation("duration_seconds", "view_count").alias("duration_view_correlation"))
 
 
@@ -90,7 +90,7 @@ def optimal_length(videos: DataFrame, categories: Sequence[int]) -> DataFrame:
         & F.col("category_id").isin(list(categories))
     )
     rates = viewed.select(
-        round_half_up(iso_duration_seconds("duration") / 60).alias("duration_minutes"),
+        round_half_up(length_seconds(viewed, "duration") / 60).alias("duration_minutes"),
         ratio(_interactions(), F.col("view_count")).alias("engagement_rate"),
     )
     means = rates.groupBy("duration_minutes").agg(F.avg("engagement_rate").alias("avg_engagement_rate"))

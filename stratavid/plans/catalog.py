@@ -7,6 +7,7 @@ compare exactly with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,7 @@ from stratavid.operators.tokens import token_rows
 from stratavid.plans import adhoc, analytics, checks, gold, secure
 from stratavid.plans.layers import Layers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, part_duration
+from stratavid.plans.silver import CHANNEL_RULES
 from stratavid.schemas import CHANNEL_PAYLOAD, VIDEO_PAYLOAD
 from stratavid.sources.files import (
     read_parquet,
@@ -371,6 +373,15 @@ def silver_videos(w: Layers) -> DataFrame:
     return w.stg_videos
 
 
+@query
+def silver_uncleaned(w: Layers) -> DataFrame:
+    """Daily snapshot as landed: renamed and deduplicated, nothing cleaned or dropped."""
+    rules = replace(
+        CHANNEL_RULES, texts=(), counters=(), times=(), evidence=(), tiebreak=CHANNEL_TIEBREAK
+    )
+    return silver_snapshot(w.raw_channels, rules, w.as_of)
+
+
 @query
 def channel_cleaning(w: Layers) -> DataFrame:
     kept = clean_channels(w.raw_channels, country="building", unwanted="00", min_views=500)

@@ -11,6 +11,7 @@ from stratavid.operators.history import (
     versioned_view,
     with_version_key,
 )
+from stratavid.operators.sizing import broadcast_small
 from stratavid.operators.star import DimensionLink, build_fact
 from stratavid.operators.tokens import first_bridge_snapshot, token_bridge, token_dim
 
@@ -62,11 +63,9 @@ def dim_channel(snapshot: DataFrame) -> DataFrame:
 
 
 def dim_video(snapshot: DataFrame, categories: DataFrame) -> DataFrame:
-    """Video dimension with its category name; a category outside the seed has none.
-
-    The seed is a fixed 15-row lookup, which bounds what is broadcast.
-    """
-    named = snapshot.join(F.broadcast(categories), "category_id", "left").drop("category_id")
+    """Video dimension with its category name; a category outside the seed has none."""
+    seed = broadcast_small(categories)
+    named = snapshot.join(seed, "category_id", "left").drop("category_id")
     return with_version_key(versioned_view(named), "video_id").select(
         "video_sk", "video_id", "title", "published_at", "category_name", "duration", "definition",
         "caption", "licensed_content", "privacy_status", "license", "region_restriction",

@@ -449,6 +449,13 @@ _SQL = {
         FROM orders""",
     "silver_clean": _STG_CHANNELS,
     "silver_videos": _STG_VIDEOS,
+    "silver_uncleaned": """
+        SELECT channel_id, title, description, custom_url, subscribers, views AS total_views,
+               videos AS total_videos, hidden AS hidden_subscribers,
+               CAST(published AS VARCHAR) AS published_at, country, lang AS default_language,
+               keywords, uploads AS uploads_playlist_id, topics, CAST(ts AS VARCHAR) AS loaded_at,
+               CAST(day AS VARCHAR) AS date_key
+        FROM day_channels""",
     "channel_cleaning": """
         SELECT o_orderkey, channel_id AS "channelId", title, country, views, videos
         FROM raw_channels

@@ -122,23 +122,27 @@ class Warehouse:
         channel_tiebreak: tuple[str, ...] = (),
         video_tiebreak: tuple[str, ...] = (),
         restate_last_day: bool = False,
+        version_per_sighting: bool = False,
     ) -> None:
         """Take in the raw rows newer than the stored ones, touching only what they change.
 
         ``load`` names the run, for example its day. Facts take days after the last
-        stored one; ``restate_last_day`` also replaces that day's rows.
+        stored one; ``restate_last_day`` also replaces that day's rows. With
+        ``version_per_sighting`` every load opens a version of a channel's keyword.
         """
         days = self._last_fact_days()
         fresh = self._newer(raw_channels, "stg_channels")
         fresh = self._keep(silver.stg_channels(fresh, as_of, channel_tiebreak), "channels", load)
         sinks.upsert_by_month(
-            self.spark, self.path("stg_channels"), fresh, ["channel_id", "date_key"], "date_key"
-        )
+            self.spark, self.path("stg_channels"), fresh, ["channel_id", "date_key"], "date_key",
+            sort_by=["channel_id"],
+        )
         fresh_videos = self._newer(raw_videos, "stg_videos")
         fresh_videos = self._keep(silver.stg_videos(fresh_videos, as_of, video_tiebreak), "videos", load)
         sinks.upsert_by_month(
-            self.spark, self.path("stg_videos"), fresh_videos, ["video_id", "date_key"], "date_key"
-        )
+            self.spark, self.path("stg_videos"), fresh_videos, ["video_id", "date_key"], "date_key",
+            sort_by=["video_id"],
+        )
 
         self._extend("snapshot_channel", gold.channel_snapshot_rows(fresh), "natural_channel_id",
                      gold.CHANNEL_CHECKS, load)
@@ -147,9 +151,10 @@ class Warehouse:
         self._rebuild_dimensions(as_of)
 
         pairs = self._channel_pairs(fresh, as_of)
-        # A sighting alone changes nothing about a keyword: only new pairs open.
-        self._merge_bridge("bridge_channel_keyword", pairs, ["channel_sk", "keyword_id"], as_of, load,
-                           check_cols=["channel_sk", "keyword_id"])
+        keys = ["channel_sk", "keyword_id"]
+        # By default a sighting alone changes nothing about a keyword: only new pairs open.
+        checked = None if version_per_sighting else keys
+        self._merge_bridge("bridge_channel_keyword", pairs, keys, as_of, load, checked)
         pairs = self._video_pairs(fresh_videos, as_of)
         self._merge_bridge("bridge_video_tag", pairs, ["video_sk", "tag_id"], as_of, load)
 

@@ -77,12 +77,19 @@ VIDEOS_CSV = _all_text(
     "likeCount", "commentCount", "privacyStatus", "license", "topicCategories",
 )
 
-# The collector's full video file, before the columns nobody queries are dropped.
+# Columns of the collector's full video file that are dropped when its batches are combined.
 UNUSED_VIDEO_COLUMNS = (
     "description", "dimension", "embeddable", "publicStatsViewable", "recordingDate",
     "recordingLocation",
 )
 
+VIDEO_BATCH_CSV = _all_text(
+    "videoId", "title", "description", "publishedAt", "tags", "categoryId", "channelId", "duration",
+    "dimension", "definition", "caption", "licensedContent", "regionRestriction", "viewCount",
+    "likeCount", "commentCount", "privacyStatus", "license", "embeddable", "publicStatsViewable",
+    "topicCategories", "recordingDate", "recordingLocation",
+)
+
 CHANNEL_PAYLOAD = T.StructType(
     [
         _field(
@@ -141,6 +148,7 @@ VIDEO_PAYLOAD = T.StructType(
                             T.StructType(
                                 [
                                     _field("title", _text),
+                                    _field("description", _text),
                                     _field("publishedAt", _text),
                                     _field("tags", T.ArrayType(_text)),
                                     _field("categoryId", _text),
@@ -153,6 +161,7 @@ VIDEO_PAYLOAD = T.StructType(
                             T.StructType(
                                 [
                                     _field("duration", _text),
+                                    _field("dimension", _text),
                                     _field("definition", _text),
                                     _field("caption", _text),
                                     _field("licensedContent", _flag),
@@ -162,11 +171,23 @@ VIDEO_PAYLOAD = T.StructType(
                             ),
                         ),
                         _field("statistics", _all_text("viewCount", "likeCount", "commentCount")),
-                        _field("status", _all_text("privacyStatus", "license")),
+                        _field(
+                            "status",
+                            T.StructType(
+                                [
+                                    _field("privacyStatus", _text),
+                                    _field("license", _text),
+                                    _field("embeddable", _flag),
+                                    _field("publicStatsViewable", _flag),
+                                ]
+                            ),
+                        ),
                         _field(
                             "topicDetails",
                             T.StructType([_field("topicCategories", T.ArrayType(_text))]),
                         ),
+                        # The place stays the JSON text of the nested object.
+                        _field("recordingDetails", _all_text("recordingDate", "location")),
                     ]
                 )
             ),

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from stratavid.functions import lenient_bool, lenient_long, parse_timestamp
 from stratavid.operators.latest import latest_by_key
-from stratavid.schemas import CATEGORIES, CHANNELS_CSV, VIDEOS_CSV
+from stratavid.schemas import CATEGORIES, CHANNELS_CSV, UNUSED_VIDEO_COLUMNS, VIDEOS_CSV
 
 # The category seed.
 VIDEO_CATEGORIES = (
@@ -74,6 +74,13 @@ def read_many_csv(
     return read_csv(spark, [base, *batches], schema, multi_line)
 
 
+def read_video_batches(
+    spark: SparkSession, base: str, batches: Sequence[str], schema: T.StructType
+) -> DataFrame:
+    """The collector's full video files put together, without the columns nobody queries."""
+    return read_many_csv(spark, base, batches, schema).drop(*UNUSED_VIDEO_COLUMNS)
+
+
 def union_batches(batches: Iterable[DataFrame]) -> DataFrame:
     """All rows of all batches, columns matched by name, absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
@@ -96,7 +103,9 @@ def category_seed(spark: SparkSession, path: str | None = None) -> DataFrame:
     """The category lookup: 15 fixed rows, or a CSV with the same two columns."""
     if path is not None:
         return read_csv(spark, path, CATEGORIES, multi_line=False, fill=None)
-    return spark.createDataFrame(VIDEO_CATEGORIES, CATEGORIES)
+    rows = [F.struct(F.lit(i), F.lit(name)) for i, name in VIDEO_CATEGORIES]
+    kind = T.ArrayType(CATEGORIES)
+    return spark.range(1).select(F.inline(F.array(*rows).cast(kind)))
 
 
 def coerce_channels_csv(rows: DataFrame, as_of: Column) -> DataFrame:
@@ -129,6 +138,16 @@ def _coerce(
     )
 
 
+def fill_load_time(rows: DataFrame, as_of: Column) -> DataFrame:
+    """Rows landed without observation time or load day get those of the load."""
+    return rows.withColumns(
+        {
+            "ts": F.coalesce("ts", as_of),
+            "loaded_at": F.coalesce("loaded_at", F.to_date(as_of)),
+        }
+    )
+
+
 def _unreadable(conversions: Mapping[str, Column]) -> Column:
     """True where some non-blank text has no value after its conversion."""
     bad = [(F.trim(name) != "") & value.isNull() for name, value in conversions.items()]

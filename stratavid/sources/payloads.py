@@ -43,10 +43,13 @@ def flatten_channel_payload(payloads: DataFrame, column: str, as_of: Column) ->
     )
 
 
-def flatten_video_payload(payloads: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """One raw video row per item of each JSON payload."""
+def flatten_video_payload(
+    payloads: DataFrame, column: str, as_of: Column, full: bool = False
+) -> DataFrame:
+    """One raw video row per item of each JSON payload; ``full`` adds the columns of a full file."""
     parsed = F.from_json(column, VIDEO_PAYLOAD)
-    return payloads.select(F.explode(parsed["items"]).alias("i")).select(
+    items = payloads.select(F.explode(parsed["items"]).alias("i"))
+    return items.select(
         as_of.alias("ts"),
         F.col("i.id").alias("videoId"),
         _text("i.snippet.title").alias("title"),
@@ -66,4 +69,17 @@ def flatten_video_payload(payloads: DataFrame, column: str, as_of: Column) -> Da
         _text("i.status.license").alias("license"),
         join_list("i.topicDetails.topicCategories").alias("topicCategories"),
         F.to_date(as_of).alias("loaded_at"),
+        *(_full_columns() if full else []),
     )
+
+
+def _full_columns() -> list[Column]:
+    """Columns that are collected but not loaded; absent ones stay null."""
+    return [
+        F.col("i.snippet.description").alias("description"),
+        F.col("i.contentDetails.dimension").alias("dimension"),
+        F.col("i.status.embeddable").alias("embeddable"),
+        F.col("i.status.publicStatsViewable").alias("publicStatsViewable"),
+        F.col("i.recordingDetails.recordingDate").alias("recordingDate"),
+        F.col("i.recordingDetails.location").alias("recordingLocation"),
+    ]

@@ -102,14 +102,19 @@ def touched_months(stored: DataFrame, batch: DataFrame, date_column: str) -> Dat
 
 
 def upsert_by_month(
-    spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], date_column: str
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    date_column: str,
+    sort_by: Sequence[str] = (),
 ) -> None:
     """Rows of ``batch`` replace stored rows with the same key, which must include the date.
 
     Only months the batch touches are read and written.
     """
     stored = touched_months(spark.read.parquet(path), batch, date_column).drop(MONTH)
-    write_by_month(upsert(stored, batch, keys), path, date_column)
+    write_by_month(upsert(stored, batch, keys), path, date_column, sort_by=sort_by)
 
 
 def compact_by_month(

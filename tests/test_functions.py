@@ -132,3 +132,10 @@ def test_sanity_rules(frame):
     assert values(df, S.non_negative("n")) == [None, 0, None]
     assert values(df, S.not_future("t", as_of)) == [None, datetime(2024, 1, 1), None]
     assert values(df, S.ratio(F.lit(3), F.col("n"))) == [-3.0, None, None]
+
+
+def test_interval_lengths(spark):
+    df = spark.sql("SELECT INTERVAL '1 02:03:04.5' DAY TO SECOND AS d, 'PT1M30S' AS t")
+    assert values(df, S.interval_seconds("d")) == [93784.5]
+    assert values(df, S.length_seconds(df, "d")) == [93784.5]
+    assert values(df, S.length_seconds(df, "t")) == [90]

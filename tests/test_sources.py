@@ -3,17 +3,26 @@ import json
 from pyspark.sql import functions as F
 
 from stratavid.functions import parse_timestamp
-from stratavid.schemas import CATEGORIES, CHANNELS_CSV, RAW_CHANNELS, RAW_VIDEOS, VIDEOS_CSV
+from stratavid.schemas import (
+    CATEGORIES,
+    CHANNELS_CSV,
+    RAW_CHANNELS,
+    RAW_VIDEOS,
+    VIDEO_BATCH_CSV,
+    VIDEOS_CSV,
+)
 from stratavid.sources import sinks
 from stratavid.sources.files import (
     category_seed,
     coerce_channels_csv,
     coerce_videos_csv,
+    fill_load_time,
     read_csv,
     read_csv_infer,
     read_many_csv,
     read_parquet,
     read_table_latest,
+    read_video_batches,
     rejected_rows,
     tolerant_parse,
     union_batches,
@@ -212,3 +221,33 @@ def test_compaction_and_retention(spark, frame, tmp_path):
     kept = str(tmp_path / "kept")
     sinks.rewrite_retained(spark, path, kept, "day", F.lit("2024-04-15").cast("date"), 90)
     assert rows_of(spark.read.parquet(kept), "day") == [("2024-02-01",)]
+
+
+def test_full_video_batches(spark, frame, tmp_path):
+    header = ",".join(VIDEO_BATCH_CSV.names)
+    paths = [landed(tmp_path, f"v{i}.csv", f"{header}\nv{i}{',' * 22}\n") for i in range(2)]
+    rows = read_video_batches(spark, paths[0], paths[1:], VIDEO_BATCH_CSV)
+    assert rows.columns == VIDEOS_CSV.names and rows_of(rows, "videoId") == [("v0",), ("v1",)]
+    body = {
+        "items": [
+            {
+                "id": "v1",
+                "snippet": {"description": "d"},
+                "status": {"embeddable": True},
+                "recordingDetails": {"recordingDate": "2020-01-01", "location": {"latitude": 1.5}},
+            }
+        ]
+    }
+    full = flatten_video_payload(frame("j string", (json.dumps(body),)), "j", at("2024-06-01"), full=True)
+    [row] = full.collect()
+    assert (row.description, row.embeddable, row.publicStatsViewable) == ("d", True, None)
+    assert json.loads(row.recordingLocation) == {"latitude": 1.5} and row.recordingDate == "2020-01-01"
+
+
+def test_load_time_defaults(frame):
+    rows = frame("id int, ts timestamp_ntz", (1, None), (2, "2024-01-01 10:00:00")).withColumn(
+        "loaded_at", F.to_date("ts")
+    )
+    assert rows_of(fill_load_time(rows, at("2024-06-01 08:00:00"))) == [
+        (1, "2024-06-01 08:00:00", "2024-06-01"), (2, "2024-01-01 10:00:00", "2024-01-01"),
+    ]
