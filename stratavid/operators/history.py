@@ -38,11 +38,10 @@ def scd2_history(
     state = F.struct(*check_cols)
     # The state struct is never null itself, so a null lag means "first row" even
     # where every checked column is null.
-    before = F.lag(state).over(along)
-    changes = (
-        observed.withColumn("__changed", before.isNull() | ~state.eqNullSafe(before))
-        .filter("__changed")
-        .drop("__changed", *tiebreak)
+    compared = observed.withColumn("__before", F.lag(state).over(along))
+    before = F.col("__before")
+    changes = compared.filter(before.isNull() | ~state.eqNullSafe(before)).drop(
+        "__before", *tiebreak
     )
     return changes.withColumnRenamed(ts, VALID_FROM).withColumn(
         VALID_TO, F.lead(VALID_FROM).over(Window.partitionBy(*keys).orderBy(VALID_FROM))
@@ -187,7 +186,7 @@ def asof_join(
         raise ValueError("an as-of join is inner or left")
 
     def bucket(c: Column) -> Column:
-        return F.least(F.date_trunc(span, c), F.date_trunc(span, horizon)).cast("date")
+        return F.least(F.trunc(F.to_date(c), span), F.trunc(F.to_date(horizon), span))
 
     start, end = F.col(VALID_FROM), F.coalesce(F.col(VALID_TO), horizon)
     step = F.expr(f"interval 1 {span}")

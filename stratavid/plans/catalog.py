@@ -49,7 +49,6 @@ from stratavid.plans import adhoc, analytics, checks, gold, secure
 from stratavid.plans.layers import Layers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, part_duration
 from stratavid.plans.silver import CHANNEL_RULES
-from stratavid.schemas import CHANNEL_PAYLOAD, VIDEO_PAYLOAD
 from stratavid.sources.files import (
     read_parquet,
     rejected_rows,
@@ -149,7 +148,7 @@ def channel_payload_flatten(w: Layers) -> DataFrame:
             F.struct(F.array("country", "defaultLanguage").alias("topicCategories")),
         ).alias("topicDetails"),
     )
-    body = F.struct(F.array(item).cast(CHANNEL_PAYLOAD["items"].dataType).alias("items"))
+    body = F.struct(F.array(item).alias("items"))
     landed = r.select(F.to_json(body).alias("payload"))
     return flatten_channel_payload(landed, "payload", w.as_of)
 
@@ -182,7 +181,7 @@ def video_payload_flatten(w: Layers) -> DataFrame:
         F.struct("privacyStatus", "license").alias("status"),
         F.struct(F.split("topicCategories", ", ").alias("topicCategories")).alias("topicDetails"),
     )
-    body = F.struct(F.array(item).cast(VIDEO_PAYLOAD["items"].dataType).alias("items"))
+    body = F.struct(F.array(item).alias("items"))
     landed = r.select(F.to_json(body).alias("payload"))
     return flatten_video_payload(landed, "payload", w.as_of)
 

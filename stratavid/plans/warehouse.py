@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from stratavid.operators.history import extend_open, merge_open
 from stratavid.operators.incremental import above_mark
 from stratavid.operators.quality import enforce
+from stratavid.operators.sizing import scanned_bytes, widen_shuffles
 from stratavid.operators.star import calendar, date_spine
 from stratavid.plans import checks, gold, silver
 from stratavid.sources import sinks
@@ -93,6 +94,7 @@ class Warehouse:
         video_tiebreak: tuple[str, ...] = (),
     ) -> None:
         """Build every table from all raw rows."""
+        widen_shuffles(self.spark, scanned_bytes(raw_channels, raw_videos))
         day = "date_key"
         stg = silver.stg_channels(raw_channels, as_of, channel_tiebreak)
         sinks.write_by_month(stg, self.path("stg_channels"), day, sort_by=["channel_id"])

@@ -158,13 +158,17 @@ def read_open_versions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col(STATE) == OPEN).drop(STATE)
 
 
-def write_merged_versions(merged: DataFrame, path: str, load: str) -> None:
+def write_merged_versions(
+    merged: DataFrame, path: str, load: str, full_snapshot: bool = False
+) -> None:
     """Store what a batch made of the open versions; closed history is not touched.
 
     ``merged`` may read the open partition it replaces. Versions the batch closed go
     to a partition named after the ``load``, so the same load run twice replaces them
-    instead of adding them again.
+    instead of adding them again. Only a ``full_snapshot`` can close every version; the
+    open partition, which no row would then replace, is emptied.
     """
+    none_open = full_snapshot and merged.filter(F.col(VALID_TO).isNull()).isEmpty()
     (
         _placed(merged, load)
         .write.mode("overwrite")
@@ -172,6 +176,9 @@ def write_merged_versions(merged: DataFrame, path: str, load: str) -> None:
         .partitionBy(STATE)
         .parquet(path)
     )
+    if none_open:
+        nothing = merged.sparkSession.createDataFrame([], merged.schema)
+        full_refresh(nothing, f"{path}/{STATE}={OPEN}")
 
 
 def _placed(versions: DataFrame, closed_in: str) -> DataFrame:

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from stratavid.functions import parse_timestamp
+from stratavid.operators.history import merge_open
 from stratavid.schemas import (
     CATEGORIES,
     CHANNELS_CSV,
@@ -251,3 +252,30 @@ def test_load_time_defaults(frame):
     assert rows_of(fill_load_time(rows, at("2024-06-01 08:00:00"))) == [
         (1, "2024-06-01 08:00:00", "2024-06-01"), (2, "2024-01-01 10:00:00", "2024-01-01"),
     ]
+
+
+def test_stored_versions(spark, frame, tmp_path):
+    path = str(tmp_path / "versions")
+    schema = "id string, v string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    first = frame(
+        schema,
+        ("a", "0", "2023-01-01", "2024-01-01"), ("a", "1", "2024-01-01", None),
+        ("b", "1", "2024-01-01", None),
+    )
+    sinks.write_versions(first, path)
+    history = sorted(p.name for p in (tmp_path / "versions" / "state=history").glob("*.parquet"))
+    batch = frame("id string, v string, ts timestamp_ntz", ("a", "2", "2024-02-01"))
+    for _ in range(2):  # the same load twice stores the same versions
+        opened = sinks.read_open_versions(spark, path)
+        merged = merge_open(opened, batch, ["id"], "ts", at("2024-03-01"), check_cols=["v"])
+        sinks.write_merged_versions(merged, path, "feb")
+        assert rows_of(sinks.read_versions(spark, path), "id", "v", "valid_to") == [
+            ("a", "0", "2024-01-01 00:00:00"), ("a", "1", "2024-02-01 00:00:00"), ("a", "2", None),
+            ("b", "1", None),
+        ]
+    assert sorted(p.name for p in (tmp_path / "versions" / "state=history").glob("*.parquet")) == history
+    opened = sinks.read_open_versions(spark, path)
+    gone = merge_open(opened, batch.limit(0), ["id"], "ts", at("2024-03-01"), full_snapshot=True)
+    sinks.write_merged_versions(gone, path, "mar", full_snapshot=True)
+    assert sinks.read_open_versions(spark, path).count() == 0
+    assert sinks.read_versions(spark, path).count() == 4

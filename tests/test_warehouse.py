@@ -1,7 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratavid.operators.sizing import estimated_bytes, spread_small
+from stratavid.operators.sizing import (
+    broadcast_small,
+    estimated_bytes,
+    scanned_bytes,
+    spread_small,
+    widen_shuffles,
+)
 from stratavid.plans import catalog
 from stratavid.plans.layers import Layers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, VIDEO_TIEBREAK
@@ -89,6 +95,26 @@ def test_spreading_is_for_small_inputs(layers):
     assert rows_of(spread_small(orders, "o_custkey")) == rows_of(orders)
 
 
+def test_shuffle_width_follows_the_input(spark, layers):
+    orders, customer = layers.source("orders"), layers.source("customer")
+    read = scanned_bytes(layers.raw_channels)
+    assert read == estimated_bytes(orders) + estimated_bytes(customer)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert widen_shuffles(spark, read) == int(before)
+        assert widen_shuffles(spark, 1 << 40) == 3 * 2048
+        assert widen_shuffles(spark, 100 << 40) == 100_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_broadcast_is_for_small_sides(layers):
+    plan = broadcast_small(layers.categories)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" in plan
+    orders = layers.source("orders")
+    assert broadcast_small(orders, limit=10) is orders
+
+
 def test_shared_folder(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark, "/some/share/") == (named or "/some/share")
