@@ -155,7 +155,9 @@ def extend_open(
 
 
 def versioned_view(snapshot: DataFrame) -> DataFrame:
-    """Versions with an ``is_current`` flag."""
+    """Versions with an ``is_current`` flag, which stored versions already carry."""
+    if "is_current" in snapshot.columns:
+        return snapshot
     return snapshot.withColumn("is_current", F.col(VALID_TO).isNull())
 
 

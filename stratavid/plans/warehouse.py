@@ -7,6 +7,7 @@ and a lost executor costs at most its tasks of the running step.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,6 +41,9 @@ class Warehouse:
     def _dated(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name)).drop(sinks.MONTH)
 
+    def _versions(self, name: str, load: str | None = None) -> DataFrame:
+        return sinks.read_versions(self.spark, self.path(name), load)
+
     @property
     def stg_channels(self) -> DataFrame:
         return self._dated("stg_channels")
@@ -50,12 +54,11 @@ class Warehouse:
 
     @property
     def dim_channel(self) -> DataFrame:
-        return gold.dim_channel(sinks.read_versions(self.spark, self.path("snapshot_channel")))
+        return gold.dim_channel(self._versions("snapshot_channel"))
 
     @property
     def dim_video(self) -> DataFrame:
-        snapshot = sinks.read_versions(self.spark, self.path("snapshot_video"))
-        return gold.dim_video(snapshot, self.categories)
+        return gold.dim_video(self._versions("snapshot_video"), self.categories)
 
     @property
     def dim_date(self) -> DataFrame:
@@ -71,11 +74,11 @@ class Warehouse:
 
     @property
     def bridge_channel_keyword(self) -> DataFrame:
-        return gold.versions(sinks.read_versions(self.spark, self.path("bridge_channel_keyword")))
+        return self._versions("bridge_channel_keyword")
 
     @property
     def bridge_video_tag(self) -> DataFrame:
-        return gold.versions(sinks.read_versions(self.spark, self.path("bridge_video_tag")))
+        return self._versions("bridge_video_tag")
 
     @property
     def fact_channel_metrics(self) -> DataFrame:
@@ -95,26 +98,40 @@ class Warehouse:
     ) -> None:
         """Build every table from all raw rows."""
         widen_shuffles(self.spark, scanned_bytes(raw_channels, raw_videos))
-        day = "date_key"
-        stg = silver.stg_channels(raw_channels, as_of, channel_tiebreak)
-        sinks.write_by_month(stg, self.path("stg_channels"), day, sort_by=["channel_id"])
-        stg = silver.stg_videos(raw_videos, as_of, video_tiebreak)
-        sinks.write_by_month(stg, self.path("stg_videos"), day, sort_by=["video_id"])
+        # The two sides share nothing up to the video fact, so their jobs may overlap.
+        with ThreadPoolExecutor(2) as sides:
+            done = [
+                sides.submit(self._build_channels, raw_channels, as_of, channel_tiebreak),
+                sides.submit(self._build_videos, raw_videos, as_of, video_tiebreak),
+            ]
+            for side in done:
+                side.result()
+        fact = gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
+        sinks.write_by_month(
+            fact, self.path("fact_video_performance"), "date_key", sort_by=["video_sk"]
+        )
+        self._rebuild_calendar(as_of)
 
+    def _build_channels(self, raw: DataFrame, as_of: Column, tiebreak: tuple[str, ...]) -> None:
+        stg = silver.stg_channels(raw, as_of, tiebreak)
+        sinks.write_by_month(stg, self.path("stg_channels"), "date_key", sort_by=["channel_id"])
         sinks.write_versions(gold.channel_snapshot(self.stg_channels), self.path("snapshot_channel"))
-        sinks.write_versions(gold.video_snapshot(self.stg_videos), self.path("snapshot_video"))
-        self._rebuild_dimensions(as_of)
-
+        self._rebuild_keywords()
         pairs = self._channel_pairs(self.stg_channels, as_of)
         sinks.write_versions(gold.opened(pairs), self.path("bridge_channel_keyword"))
+        fact = gold.fact_channel_metrics(self.stg_channels, self.dim_channel)
+        sinks.write_by_month(
+            fact, self.path("fact_channel_metrics"), "date_key", sort_by=["channel_sk"]
+        )
+
+    def _build_videos(self, raw: DataFrame, as_of: Column, tiebreak: tuple[str, ...]) -> None:
+        stg = silver.stg_videos(raw, as_of, tiebreak)
+        sinks.write_by_month(stg, self.path("stg_videos"), "date_key", sort_by=["video_id"])
+        sinks.write_versions(gold.video_snapshot(self.stg_videos), self.path("snapshot_video"))
+        self._rebuild_tags()
         pairs = self._video_pairs(self.stg_videos, as_of)
         sinks.write_versions(gold.opened(pairs), self.path("bridge_video_tag"))
 
-        fact = gold.fact_channel_metrics(self.stg_channels, self.dim_channel)
-        sinks.write_by_month(fact, self.path("fact_channel_metrics"), day, sort_by=["channel_sk"])
-        fact = gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
-        sinks.write_by_month(fact, self.path("fact_video_performance"), day, sort_by=["video_sk"])
-
     def refresh(
         self,
         raw_channels: DataFrame,
@@ -150,14 +167,16 @@ class Warehouse:
                      gold.CHANNEL_CHECKS, load)
         self._extend("snapshot_video", gold.video_snapshot_rows(fresh_videos), "video_id",
                      gold.VIDEO_CHECKS, load)
-        self._rebuild_dimensions(as_of)
+        self._rebuild_keywords()
+        self._rebuild_tags()
+        self._rebuild_calendar(as_of)
 
-        pairs = self._channel_pairs(fresh, as_of)
+        pairs = self._channel_pairs(fresh, as_of, load)
         keys = ["channel_sk", "keyword_id"]
         # By default a sighting alone changes nothing about a keyword: only new pairs open.
         checked = None if version_per_sighting else keys
         self._merge_bridge("bridge_channel_keyword", pairs, keys, as_of, load, checked)
-        pairs = self._video_pairs(fresh_videos, as_of)
+        pairs = self._video_pairs(fresh_videos, as_of, load)
         self._merge_bridge("bridge_video_tag", pairs, ["video_sk", "tag_id"], as_of, load)
 
         facts = {
@@ -232,9 +251,13 @@ class Warehouse:
         merged = merge_open(opened, pairs, keys, "loaded_at", as_of, check_cols=check_cols)
         sinks.write_merged_versions(merged, self.path(name), load)
 
-    def _rebuild_dimensions(self, as_of: Column) -> None:
+    def _rebuild_keywords(self) -> None:
         sinks.full_refresh(gold.dim_keyword(self.stg_channels), self.path("dim_keyword"))
+
+    def _rebuild_tags(self) -> None:
         sinks.full_refresh(gold.dim_tag(self.stg_videos), self.path("dim_tag"))
+
+    def _rebuild_calendar(self, as_of: Column) -> None:
         first = F.least(
             self.stg_channels.select(F.min("date_key")).scalar(),
             self.stg_videos.select(F.min("date_key")).scalar(),
@@ -242,8 +265,15 @@ class Warehouse:
         bounds = self.spark.range(1).select(first.alias("first"), F.to_date(as_of).alias("last"))
         sinks.full_refresh(calendar(date_spine(bounds, "first", "last")), self.path("dim_date"))
 
-    def _channel_pairs(self, stg: DataFrame, as_of: Column) -> DataFrame:
-        return gold.channel_keyword_pairs(stg, self.dim_channel, self.dim_keyword, as_of)
+    def _channel_pairs(self, stg: DataFrame, as_of: Column, load: str | None = None) -> DataFrame:
+        """Pairs of a whole snapshot, or of the rows a ``load`` brought.
+
+        Rows of a load are newer than every version closed before it, so only versions
+        open before or after it can match them.
+        """
+        dim = gold.dim_channel(self._versions("snapshot_channel", load))
+        return gold.channel_keyword_pairs(stg, dim, self.dim_keyword, as_of)
 
-    def _video_pairs(self, stg: DataFrame, as_of: Column) -> DataFrame:
-        return gold.video_tag_pairs(stg, self.dim_video, self.dim_tag, as_of)
+    def _video_pairs(self, stg: DataFrame, as_of: Column, load: str | None = None) -> DataFrame:
+        dim = gold.dim_video(self._versions("snapshot_video", load), self.categories)
+        return gold.video_tag_pairs(stg, dim, self.dim_tag, as_of)

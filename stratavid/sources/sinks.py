@@ -148,9 +148,16 @@ def write_versions(versions: DataFrame, path: str) -> None:
     full_refresh(_placed(versions, "history"), path, STATE)
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    """All stored versions."""
-    return spark.read.parquet(path).drop(STATE)
+def read_versions(spark: SparkSession, path: str, load: str | None = None) -> DataFrame:
+    """Stored versions, or only those open before or after a ``load``.
+
+    ``is_current`` stems from the partition, so filtering by it leaves closed history
+    unlisted and unread.
+    """
+    stored = spark.read.parquet(path)
+    if load is not None:
+        stored = stored.filter(F.col(STATE).isin(OPEN, load))
+    return stored.withColumn("is_current", F.col(STATE) == OPEN).drop(STATE)
 
 
 def read_open_versions(spark: SparkSession, path: str) -> DataFrame:

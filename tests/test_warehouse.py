@@ -14,6 +14,7 @@ from stratavid.plans.raw import CHANNEL_TIEBREAK, VIDEO_TIEBREAK
 from stratavid.plans.warehouse import Warehouse
 from stratavid.schemas import RAW_CHANNELS, RAW_VIDEOS
 from stratavid.session import shared_folder
+from stratavid.sources.sinks import touched_months
 from tests.conftest import rows_of
 from tests.test_oracle import SF_DIR
 
@@ -88,6 +89,19 @@ def test_declared_checks(warehouse):
     assert failing == {("stg_channels", "channel_id"), ("stg_videos", "video_id")}
 
 
+def test_current_rows_are_read_from_their_partition(warehouse):
+    for dim in (warehouse.dim_channel, warehouse.dim_video, warehouse.bridge_video_tag):
+        plan = dim.filter("is_current")._jdf.queryExecution().executedPlan().toString()
+        assert "(state#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_upsert_reads_only_touched_months(spark, warehouse):
+    stored = spark.read.parquet(warehouse.path("stg_videos"))
+    batch = warehouse.stg_videos.filter("date_key = '2000-03-03'")
+    plan = touched_months(stored, batch, "date_key")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_spreading_is_for_small_inputs(layers):
     orders = layers.source("orders")
     assert 0 < estimated_bytes(orders) < 1 << 20
