@@ -7,7 +7,6 @@ and a lost executor costs at most its tasks of the running step.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -98,14 +97,8 @@ class Warehouse:
     ) -> None:
         """Build every table from all raw rows."""
         widen_shuffles(self.spark, scanned_bytes(raw_channels, raw_videos))
-        # The two sides share nothing up to the video fact, so their jobs may overlap.
-        with ThreadPoolExecutor(2) as sides:
-            done = [
-                sides.submit(self._build_channels, raw_channels, as_of, channel_tiebreak),
-                sides.submit(self._build_videos, raw_videos, as_of, video_tiebreak),
-            ]
-            for side in done:
-                side.result()
+        self._build_channels(raw_channels, as_of, channel_tiebreak)
+        self._build_videos(raw_videos, as_of, video_tiebreak)
         fact = gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
         sinks.write_by_month(
             fact, self.path("fact_video_performance"), "date_key", sort_by=["video_sk"]
