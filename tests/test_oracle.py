@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from stratavid.plans import catalog, oracle
 from tests.compare import check, connect
 
 SF_DIR = entry.SMOKE_DIR
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
