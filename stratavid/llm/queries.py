@@ -6,8 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratavid.llm.common import documents
+from stratavid.llm.common import documents, scratch
 from stratavid.llm.exact_dedup import exact_groups
+from stratavid.llm.packing import pack
+from stratavid.llm.token_output import read_token_files, write_token_files
+
+
+def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens: one row per piece."""
+    return pack(documents(spark, sf_dir)).drop("ids")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +22,18 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), keep="largest")
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, from the token files written for all documents."""
+    files = write_token_files(documents(spark, sf_dir), scratch(spark, "token-files"))
+    return read_token_files(spark, files)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_exact_dedup": op8_exact_dedup}
+    return {
+        "op6_pack": op6_pack,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op10_token_output": op10_token_output,
+    }
 
 
 OP8_SQL = """
