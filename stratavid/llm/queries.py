@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratavid.llm.common import documents, scratch
 from stratavid.llm.exact_dedup import exact_groups
+from stratavid.llm.mixing import mix
 from stratavid.llm.packing import pack
 from stratavid.llm.token_output import read_token_files, write_token_files
 
@@ -22,6 +24,12 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir), keep="largest")
 
 
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in a mixture of the sources at tempered weights."""
+    placed = mix(documents(spark, sf_dir).select("doc_id", "source"))
+    return placed.select(F.col("row.doc_id").alias("doc_id"), *placed.columns[1:])
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, from the token files written for all documents."""
     files = write_token_files(documents(spark, sf_dir), scratch(spark, "token-files"))
@@ -32,6 +40,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_pack": op6_pack,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_mix_sources": op9_mix_sources,
         "op10_token_output": op10_token_output,
     }
 
