@@ -9,11 +9,24 @@ from pyspark.sql import functions as F
 
 from stratavid.llm.common import documents, scratch
 from stratavid.llm.exact_dedup import exact_groups
+from stratavid.llm.fingerprint import edit_resistance
 from stratavid.llm.mixing import mix
 from stratavid.llm.packing import pack
+from stratavid.llm.quality import score_documents, train
 from stratavid.llm.token_output import read_token_files, write_token_files
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return edit_resistance(documents(spark, sf_dir))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score, learned from the labels that are not held out."""
+    docs = documents(spark, sf_dir)
+    return score_documents(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens: one row per piece."""
     return pack(documents(spark, sf_dir)).drop("ids")
@@ -38,6 +51,8 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprint": op1_fingerprint,
+        "op5_quality": op5_quality,
         "op6_pack": op6_pack,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mix_sources": op9_mix_sources,
