@@ -11,6 +11,7 @@ from stratavid.llm.common import documents, scratch
 from stratavid.llm.exact_dedup import exact_groups
 from stratavid.llm.fingerprint import edit_resistance
 from stratavid.llm.mixing import mix
+from stratavid.llm.neardup import Rule, near_groups
 from stratavid.llm.packing import pack
 from stratavid.llm.quality import score_documents, train
 from stratavid.llm.token_output import read_token_files, write_token_files
@@ -21,6 +22,11 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_resistance(documents(spark, sf_dir))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component on word 3-shingles at a similarity of 0.85."""
+    return near_groups(documents(spark, sf_dir), Rule(words=3, percent=85))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, learned from the labels that are not held out."""
     docs = documents(spark, sf_dir)
@@ -52,6 +58,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
+        "op4_near_dedup": op4_near_dedup,
         "op5_quality": op5_quality,
         "op6_pack": op6_pack,
         "op8_exact_dedup": op8_exact_dedup,
