@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratavid.llm import pii, secrets
 from stratavid.llm.common import documents, scratch
 from stratavid.llm.exact_dedup import exact_groups
 from stratavid.llm.fingerprint import edit_resistance
@@ -15,6 +16,7 @@ from stratavid.llm.neardup import Rule, near_groups
 from stratavid.llm.packing import pack
 from stratavid.llm.quality import score_documents, train
 from stratavid.llm.token_output import read_token_files, write_token_files
+from stratavid.llm.warc import derivatives, responses
 
 
 def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +24,17 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_resistance(documents(spark, sf_dir))
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return derivatives(responses(spark.read.parquet(f"{sf_dir}/pages.parquet")))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = documents(spark, sf_dir)
+    return pii.find_personal_data(docs, pii.train(docs))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's near-duplicate component on word 3-shingles at a similarity of 0.85."""
     return near_groups(documents(spark, sf_dir), Rule(words=3, percent=85))
@@ -38,6 +51,12 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir)).drop("ids")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = documents(spark, sf_dir)
+    return secrets.find_secrets(docs, secrets.train(docs))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the row that stays for its text."""
     return exact_groups(documents(spark, sf_dir), keep="largest")
@@ -58,9 +77,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprint": op1_fingerprint,
+        "op2_warc_derivatives": op2_warc_derivatives,
+        "op3_personal_data": op3_personal_data,
         "op4_near_dedup": op4_near_dedup,
         "op5_quality": op5_quality,
         "op6_pack": op6_pack,
+        "op7_secrets": op7_secrets,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_mix_sources": op9_mix_sources,
         "op10_token_output": op10_token_output,
