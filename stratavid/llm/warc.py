@@ -47,7 +47,8 @@ _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 
 def plain_text(page: str) -> str:
     """Visible text: one line per block element, white space collapsed, entities resolved."""
-    page = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub(" ", page)))
+    page = " ".join(_DROPPED.sub(" ", page).split())  # line ends of the source are white space
+    page = _TAG.sub("", _BREAK.sub("\n", page))
     lines = (" ".join(line.split()) for line in html.unescape(page).replace("\r", "\n").split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -157,9 +158,12 @@ def write_warc(records: DataFrame, folder: str) -> None:
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """The records of such files, with the columns of RECORD; large files are split at records."""
     lines = spark.read.option("lineSep", SEPARATOR).text(folder)
-    # The first record of a file has its version line, the last one the file's final line ends.
-    whole = F.regexp_replace(F.regexp_replace("value", f"^{VERSION}\r\n", ""), "\r\n\r\n$", "")
-    record = lines.select(F.split(whole, "\r\n\r\n", 2).alias("p")).select(F.col("p")[0].alias("head"), F.col("p")[1].alias("block"))
+    # The first record of a file has its version line; the last block is followed by line ends, which
+    # blocks themselves do not have.
+    whole = F.regexp_replace("value", f"^{VERSION}\r\n", "")
+    record = lines.select(F.split(whole, "\r\n\r\n", 2).alias("p")).select(
+        F.col("p")[0].alias("head"), F.substring_index(F.col("p")[1], "\r", 1).alias("block")
+    )
     field = lambda name: F.regexp_extract("head", f"(?:^|\r\n){name}: ([^\r\n]*)", 1)
     headers = F.unbase64(field("X-Source-Headers"))
     return record.select(
