@@ -17,7 +17,7 @@ def surrogate_key(*cols: Column | str) -> Column:
     return F.md5(F.concat_ws("-", *texts))
 
 
-def pseudonym(c: Column | str, salt: str = "") -> Column:
+def pseudonym(c: Column | str, salt: str) -> Column:
     """Salted hash text: equal values stay equal, the plain text is hidden, null stays null."""
     c = F.col(c) if isinstance(c, str) else c
     return F.sha2(F.concat(F.lit(salt), c.cast("string")), 256)

@@ -178,11 +178,11 @@ def asof_join(
 ) -> DataFrame:
     """Each fact with the version valid at its time; a fact exactly at ``valid_to`` gets the newer one.
 
-    An equi join on the key alone would compare every fact of a hot key with every
-    version of it. Versions are spread over the calendar ``span``s they cover and the
-    join runs on (key, span), which leaves at most a span's worth of versions to
-    compare and splits a hot key over many partitions. Times after ``horizon`` share
-    the last span; it affects balance, not the result.
+    Versions and facts meet in windows over (key, ``span``), so a hot key is spread over as many
+    groups as it has spans with facts. A version lies in the span it starts in; each span with
+    facts also gets the last version from before it. Rows in flight are therefore versions
+    and facts and at most one row per key and span of facts, however long a version is open.
+    ``horizon`` (or later) is the span of all later times; it affects balance, not the result.
     """
     if how not in ("inner", "left"):
         raise ValueError("an as-of join is inner or left")
@@ -190,18 +190,51 @@ def asof_join(
     def bucket(c: Column) -> Column:
         return F.least(F.trunc(F.to_date(c), span), F.trunc(F.to_date(horizon), span))
 
-    start, end = F.col(VALID_FROM), F.coalesce(F.col(VALID_TO), horizon)
-    step = F.expr(f"interval 1 {span}")
-    spans = F.sequence(bucket(start), F.greatest(bucket(start), bucket(end)), step)
-    covering = versions.withColumn("__span", F.explode(spans)).alias("v")
-    placed = facts.withColumn("__span", bucket(F.col(at))).alias("f")
-    time = F.col(f"f.{at}")
-    condition = (
-        (F.col(f"f.{key}") == F.col(f"v.{version_key}"))
-        & (F.col("f.__span") == F.col("v.__span"))
-        & (time >= F.col(f"v.{VALID_FROM}"))
-        & (F.col(f"v.{VALID_TO}").isNull() | (time < F.col(f"v.{VALID_TO}")))
+    extra = [c for c in versions.columns if c not in facts.columns]
+    # The start leads the struct, so the largest one is the latest version.
+    started = versions.select(
+        F.col(version_key).alias("__key"),
+        bucket(F.col(VALID_FROM)).alias("__span"),
+        F.struct(
+            F.col(VALID_FROM).alias("__from"),
+            F.col(VALID_TO).alias("__to"),
+            F.struct(*extra).alias("__row"),
+        ).alias("__version"),
+    )
+    placed = facts.select(
+        F.col(key).alias("__key"),
+        bucket(F.col(at)).alias("__span"),
+        F.col(at).alias("__at"),
+        F.struct(*facts.columns).alias("__fact"),
+    )
+    no_version = F.lit(None).cast(started.schema["__version"].dataType)
+    marks = (
+        started.select("__key", "__span", "__version", F.lit(False).alias("__wanted"))
+        .unionByName(placed.select("__key", "__span", no_version.alias("__version"), F.lit(True).alias("__wanted")))
+        .groupBy("__key", "__span")
+        .agg(F.max("__version").alias("__last"), F.max("__wanted").alias("__wanted"))
+    )
+    earlier = Window.partitionBy("__key").orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        marks.withColumn("__version", F.last("__last", ignorenulls=True).over(earlier))
+        .filter("__wanted AND __version IS NOT NULL")
+        .select("__key", "__span", "__version")
+    )
+    no_fact = F.lit(None).cast(placed.schema["__fact"].dataType)
+    events = (
+        started.unionByName(carried)
+        .select("__key", "__span", F.col("__version.__from").alias("__at"), no_fact.alias("__fact"), "__version")
+        .unionByName(placed.withColumn("__version", no_version))
+    )
+    # At equal times the version comes first: a fact at its start belongs to it.
+    order = Window.partitionBy("__key", "__span").orderBy("__at", F.col("__fact").isNotNull())
+    found = events.withColumn("__version", F.last("__version", ignorenulls=True).over(order)).filter(
+        F.col("__fact").isNotNull()
+    )
+    ended = F.col("__version.__to")
+    valid = F.col("__version").isNotNull() & F.col("__key").isNotNull() & (ended.isNull() | (F.col("__at") < ended))
+    if how == "inner":
+        found = found.filter(valid)
+    return found.select(
+        "__fact.*", *[F.when(valid, F.col(f"__version.__row.{c}")).alias(c) for c in extra]
     )
-    fact_cols = [F.col(f"f.{c}") for c in facts.columns]
-    version_cols = [F.col(f"v.{c}") for c in versions.columns if c not in facts.columns]
-    return placed.join(covering, condition, how).select(*fact_cols, *version_cols)

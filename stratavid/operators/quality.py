@@ -104,11 +104,13 @@ class DataCheckError(Exception):
 
 
 def enforce(checked: DataFrame) -> DataFrame:
-    """Raise if a check of severity ``error`` failed; warnings only stay in the report.
+    """The report, collected; raises if a check of severity ``error`` failed, warnings stay in it.
 
-    The report has one row per declared check, which is what reaches the driver.
+    The report has one row per declared check, which is what reaches the driver, so showing
+    the result runs no check again.
     """
-    failed = checked.filter((F.col("severity") == ERROR) & (F.col("failing_rows") > 0)).collect()
+    rows = checked.collect()
+    failed = [r for r in rows if r.severity == ERROR and r.failing_rows > 0]
     if failed:
         raise DataCheckError("; ".join(f"{r.check}({r.column}): {r.failing_rows} rows" for r in failed))
-    return checked
+    return checked.sparkSession.createDataFrame(rows, checked.schema)

@@ -2,22 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MEGABYTE = 1 << 20
-
-# Below this an extra exchange costs less than running the next stages on one core.
-SPREAD_LIMIT = 256 * MEGABYTE
-
 # A broadcast side is held once per executor.
-BROADCAST_LIMIT = 32 * MEGABYTE
-
-# Rows in a shuffle take about this many times the bytes of their columnar files.
-COLUMNAR_GROWTH = 3
-SHUFFLE_PARTITION = 512 * MEGABYTE
-# More partitions than this cost the shuffle service more than larger ones cost in spill.
-MAX_SHUFFLE_WIDTH = 100_000
+BROADCAST_LIMIT = 32 << 20
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -25,41 +14,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def scanned_bytes(*frames: DataFrame) -> int:
-    """Bytes the given plans read, which unlike ``estimated_bytes`` does not multiply in joins."""
-    total = 0
-    for df in frames:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
-        while leaves.hasNext():
-            total += int(leaves.next().stats().sizeInBytes())
-    return total
-
-
-def widen_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the session's shuffle width to suit an input; it is never lowered.
-
-    AQE joins small shuffle partitions but does not cut large ones of an aggregation or
-    window, so the width has to follow the data.
-    """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-input_bytes * COLUMNAR_GROWTH // SHUFFLE_PARTITION)
-    width = max(now, min(wanted, MAX_SHUFFLE_WIDTH))
-    if width > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(width))
-    return width
-
-
 def broadcast_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """``df`` marked for broadcast if its estimated size allows it, else left to the join planner."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
-def spread_small(df: DataFrame, key: str, limit: int = SPREAD_LIMIT) -> DataFrame:
-    """Small input spread over all cores by ``key``; a large one is left as its splits come.
-
-    A small file has one row group, hence one task for everything up to the next
-    exchange. A large table has more splits than cores and gets no extra exchange.
-    """
-    if estimated_bytes(df) > limit:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)

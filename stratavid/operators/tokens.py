@@ -26,7 +26,6 @@ def token_dim(df: DataFrame, column: str, id_name: str, token: str) -> DataFrame
 def token_bridge(
     staging: DataFrame,
     versions: DataFrame,
-    tokens: DataFrame,
     entity: str,
     version_entity: str,
     entity_sk: str,
@@ -37,8 +36,9 @@ def token_bridge(
 ) -> DataFrame:
     """Entity-token pairs seen while some version of the entity was valid, newest sighting as ``loaded_at``.
 
-    The as-of join runs on the short list rows, tokens are split after it, and the
-    pairs are reduced before they meet the token dimension.
+    The as-of join runs on the short list rows and tokens are split after it. A token's key is the
+    hash that the token dimension has for it, so no join with the dimension is needed; the
+    declared relationship check compares the two.
     """
     lists = staging.select(entity, column, "loaded_at").filter(
         F.col(column).isNotNull() & (F.col(column) != "")
@@ -50,7 +50,7 @@ def token_bridge(
         .groupBy(entity_sk, token)
         .agg(F.max("loaded_at").alias("loaded_at"))
     )
-    return pairs.join(tokens.select(token, token_id), token).select(entity_sk, token_id, "loaded_at")
+    return pairs.select(entity_sk, surrogate_key(token).alias(token_id), "loaded_at")
 
 
 def first_bridge_snapshot(pairs: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from stratavid.functions import (
     contains_any_case,
+    interval_seconds,
     iso_duration_seconds,
     join_list,
     lenient_bool,
@@ -29,9 +30,12 @@ from stratavid.functions import (
 from stratavid.operators import quality
 from stratavid.operators.history import (
     asof_join,
+    extend_open,
+    merge_open,
     scd2_history,
     scd2_merge,
     scd2_merge_timestamp,
+    split_versions,
     versioned_view,
 )
 from stratavid.operators.incremental import (
@@ -43,10 +47,10 @@ from stratavid.operators.incremental import (
 from stratavid.operators.latest import daily_latest, first_by_key, latest_by_key, top_per_key
 from stratavid.operators.masking import FULL, LIMITED
 from stratavid.operators.snapshot import SnapshotRules, clean_channels, silver_snapshot
-from stratavid.operators.star import calendar, date_spine
+from stratavid.operators.star import calendar, date_dim, date_spine
 from stratavid.operators.tokens import token_rows
-from stratavid.plans import adhoc, analytics, checks, gold, secure
-from stratavid.plans.layers import Layers
+from stratavid.plans import adhoc, analytics, checks, gold, secure, silver
+from stratavid.plans.layers import Layers, StoredLayers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, part_duration
 from stratavid.plans.silver import CHANNEL_RULES
 from stratavid.sources.files import (
@@ -55,12 +59,18 @@ from stratavid.sources.files import (
     tolerant_parse,
     union_batches,
 )
-from stratavid.sources.payloads import flatten_channel_payload, flatten_video_payload
+from stratavid.sources.payloads import (
+    flatten_channel_payload,
+    flatten_video_payload,
+    rejected_payloads,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {}
 
 PLACES = 4
+# Salt of the registered masked lists, which are compared with SQL; a deployment keeps its own secret.
+SALT = "registered"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -119,9 +129,8 @@ def json_flatten(w: Layers) -> DataFrame:
     )
 
 
-@query
-def channel_payload_flatten(w: Layers) -> DataFrame:
-    """Channel observations written as API payloads, then flattened again."""
+def _channel_items(w: Layers) -> DataFrame:
+    """Channel observations as items of API payloads."""
     r = w.raw_channels
     item = F.struct(
         F.col("channelId").alias("id"),
@@ -148,9 +157,35 @@ def channel_payload_flatten(w: Layers) -> DataFrame:
             F.struct(F.array("country", "defaultLanguage").alias("topicCategories")),
         ).alias("topicDetails"),
     )
-    body = F.struct(F.array(item).alias("items"))
-    landed = r.select(F.to_json(body).alias("payload"))
-    return flatten_channel_payload(landed, "payload", w.as_of)
+    return r.select(F.floor(F.col("o_orderkey") / 8).alias("payload_id"), item.alias("item"))
+
+
+def _landed(items: DataFrame) -> DataFrame:
+    """Payloads of several items each; some are cut off, some hold no item, some nothing at all."""
+    body = F.to_json(F.struct(F.collect_list("item").alias("items")))
+    kind = F.col("payload_id") % 30
+    return items.groupBy("payload_id").agg(body.alias("whole")).select(
+        "payload_id",
+        F.when(kind == 0, F.expr("left(whole, length(whole) - 9)"))
+        .when(kind == 1, '{"items": []}')
+        .when(kind == 2, F.lit(None).cast("string"))
+        .when(kind == 3, "not json")
+        .when(kind == 4, '{"error": {"code": 403}}')
+        .otherwise(F.col("whole"))
+        .alias("payload"),
+    )
+
+
+@query
+def channel_payload_flatten(w: Layers) -> DataFrame:
+    """Channel observations written as API payloads, then flattened again."""
+    return flatten_channel_payload(_landed(_channel_items(w)), "payload", w.as_of)
+
+
+@query
+def payload_rejects(w: Layers) -> DataFrame:
+    """The payloads that flattening leaves out, and why."""
+    return rejected_payloads(_landed(_channel_items(w)), "payload", "channel").select("payload_id", "reason")
 
 
 @query
@@ -171,7 +206,7 @@ def video_payload_flatten(w: Layers) -> DataFrame:
             "definition",
             F.col("caption").cast("string").alias("caption"),
             F.when(F.col("licensedContent"), True).alias("licensedContent"),
-            F.lit(None).cast("string").alias("regionRestriction"),
+            F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit("blocked "), "definition")).alias("regionRestriction"),
         ).alias("contentDetails"),
         F.struct(
             F.col("viewCount").cast("string").alias("viewCount"),
@@ -181,9 +216,8 @@ def video_payload_flatten(w: Layers) -> DataFrame:
         F.struct("privacyStatus", "license").alias("status"),
         F.struct(F.split("topicCategories", ", ").alias("topicCategories")).alias("topicDetails"),
     )
-    body = F.struct(F.array(item).alias("items"))
-    landed = r.select(F.to_json(body).alias("payload"))
-    return flatten_video_payload(landed, "payload", w.as_of)
+    items = r.select(F.floor(F.col("l_orderkey") / 4).alias("payload_id"), item.alias("item"))
+    return flatten_video_payload(_landed(items), "payload", w.as_of)
 
 
 @query
@@ -383,15 +417,61 @@ def silver_uncleaned(w: Layers) -> DataFrame:
 
 @query
 def channel_cleaning(w: Layers) -> DataFrame:
-    kept = clean_channels(w.raw_channels, country="building", unwanted="00", min_views=500)
+    """Channels with a 7 in their title go, and with them those of other or busy channels."""
+    kept = clean_channels(w.raw_channels, country="building", unwanted="7", min_views=500)
     return kept.select("o_orderkey", "channelId", "title", "country", "views", "videos")
 
 
+def cleaned_head(w: Layers, rows: int) -> DataFrame:
+    """The first cleaned rows in a stated order."""
+    cleaned = clean_channels(w.raw_channels, country="BUILDING")
+    return cleaned.select("o_orderkey", "channelId", "videos").orderBy("o_orderkey").limit(rows)
+
+
 @query
 def cleaned_channel_head(w: Layers) -> DataFrame:
-    """The collector's run size: the first 100 cleaned rows in a stated order."""
-    cleaned = clean_channels(w.raw_channels, country="BUILDING")
-    return cleaned.select("o_orderkey", "channelId", "videos").orderBy("o_orderkey").limit(100)
+    """The collector's run size, 100 rows."""
+    return cleaned_head(w, 100)
+
+
+def untidy_channels(w: Layers) -> DataFrame:
+    """Channel observations with cells missing, negative or in the future, some with no evidence at all."""
+    raw = w.raw_channels
+    key = F.col("o_orderkey")
+    void = key % 13 == 0
+    blank = lambda c, when: F.when(~when, F.col(c))
+    return raw.withColumns(
+        {
+            "title": blank("title", void),
+            "description": blank("description", key % 3 == 0),
+            "subscribers": F.when(~void, F.when(key % 11 == 0, -F.col("subscribers")).otherwise(F.col("subscribers"))),
+            "views": F.when(~void, F.when(key % 7 == 0, F.lit(-1)).otherwise(F.col("views"))),
+            "videos": blank("videos", void),
+            "hiddenSubscribers": blank("hiddenSubscribers", void),
+            "publishedAt": F.when(key % 5 == 0, w.as_of + F.expr("interval 1 day")).otherwise(F.col("publishedAt")),
+            "country": blank("country", key % 2 == 0),
+        }
+    )
+
+
+@query
+def silver_untidy(w: Layers) -> DataFrame:
+    """Untidy observations cleaned: bad cells become null, and days without evidence go."""
+    rows = silver.stg_channels(untidy_channels(w), w.as_of, CHANNEL_TIEBREAK)
+    return rows.select(
+        "channel_id", "date_key", "title", "subscribers", "total_views", "total_videos", "published_at", "country"
+    )
+
+
+@query
+def history_untidy(w: Layers) -> DataFrame:
+    """Versions whose checked columns change from and to null."""
+    rows = silver.stg_channels(untidy_channels(w), w.as_of, CHANNEL_TIEBREAK)
+    versions = scd2_history(
+        rows.select("channel_id", "description", "country", "loaded_at"), ["channel_id"], "loaded_at",
+        ["description", "country"], daily=True,
+    )
+    return versioned_view(versions)
 
 
 EVENT_RULES = SnapshotRules(
@@ -499,9 +579,83 @@ def scd2_asof_join(w: Layers) -> DataFrame:
     return asof_join(orders, versions, "o_custkey", "v_custkey", "o_orderdate", w.as_of).drop("v_custkey")
 
 
+LOADS = ("1995-06-01", "1998-06-01")
+
+
+def _loads(rows: DataFrame, column: str = "loaded_at", loads: tuple[str, ...] = LOADS) -> list[DataFrame]:
+    """The rows as they arrive: up to each load time, then the rest."""
+    marks = [None, *loads, None]
+    return [
+        rows.filter(
+            (F.lit(True) if a is None else F.col(column) >= moment(a)) & (F.lit(True) if b is None else F.col(column) < moment(b))
+        )
+        for a, b in zip(marks, marks[1:])
+    ]
+
+
+def _folded(first: DataFrame, batches: list[DataFrame], fold: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Versions after several loads, as the warehouse keeps them: only open ones meet a batch."""
+    opened, closed = split_versions(first)
+    for batch in batches:
+        opened, gone = split_versions(fold(opened, batch))
+        closed = closed.unionByName(gone)
+    return versioned_view(opened.unionByName(closed))
+
+
+@query
+def channel_history_loads(w: Layers) -> DataFrame:
+    """Channel versions built from the first load and extended by the second."""
+    first, second = _loads(gold.channel_snapshot_rows(w.stg_channels), loads=LOADS[1:])
+    key, checked = ["natural_channel_id"], gold.CHANNEL_CHECKS
+    start = scd2_history(first, key, "loaded_at", checked, daily=True)
+    return _folded(start, [second], lambda o, b: extend_open(o, b, key, "loaded_at", checked))
+
+
+@query
+def video_history_loads(w: Layers) -> DataFrame:
+    """Video versions over three loads."""
+    first, *rest = _loads(gold.video_snapshot_rows(w.stg_videos))
+    key, checked = ["video_id"], gold.VIDEO_CHECKS
+    start = scd2_history(first, key, "loaded_at", checked, daily=True)
+    return _folded(start, rest, lambda o, b: extend_open(o, b, key, "loaded_at", checked))
+
+
+@query
+def video_tag_loads(w: Layers) -> DataFrame:
+    """Video-tag pairs over three loads; a load that sees a pair again opens a version."""
+    first, *rest = (gold.video_tag_pairs(rows, w.dim_video, w.as_of) for rows in _loads(w.stg_videos))
+    keys = ["video_sk", "tag_id"]
+    return _folded(gold.opened(first), rest, lambda o, b: merge_open(o, b, keys, "loaded_at", w.as_of))
+
+
+@query
+def channel_keyword_loads(w: Layers) -> DataFrame:
+    """Channel-keyword pairs over three loads, each a full snapshot: pairs a load lacks are closed."""
+    first, *rest = (gold.channel_keyword_pairs(rows, w.dim_channel, w.as_of) for rows in _loads(w.stg_channels))
+    keys = ["channel_sk", "keyword_id"]
+    return _folded(
+        gold.opened(first), rest, lambda o, b: merge_open(o, b, keys, "loaded_at", w.as_of, True, keys)
+    )
+
+
 # Gold
 
 
+@query
+def calendar_from_start(w: Layers) -> DataFrame:
+    """Calendar from its fixed first day to the last event."""
+    last = w.source("events").select(F.max("ts")).scalar()
+    return date_dim(w.spark, last)
+
+
+@query
+def shipping_intervals(w: Layers) -> DataFrame:
+    """Seconds between order and shipping, from an interval."""
+    items = w.source("lineitem").join(w.source("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    waited = F.col("l_shipdate") - F.col("o_orderdate")
+    return items.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", interval_seconds(waited).alias("seconds"))
+
+
 @query
 def dim_date(w: Layers) -> DataFrame:
     """Calendar over the days the orders span."""
@@ -645,12 +799,12 @@ def secure_top_videos_every_version(w: Layers) -> DataFrame:
 
 @query
 def masked_top_channels(w: Layers) -> DataFrame:
-    return secure.top_channels(w.fact_channel_metrics, w.dim_channel, LIMITED)
+    return secure.top_channels(w.fact_channel_metrics, w.dim_channel, LIMITED, SALT)
 
 
 @query
 def masked_top_videos(w: Layers) -> DataFrame:
-    return secure.top_videos(w.fact_video_performance, w.dim_video, LIMITED)
+    return secure.top_videos(w.fact_video_performance, w.dim_video, LIMITED, SALT)
 
 
 # Ad-hoc questions on the silver rows
@@ -748,7 +902,8 @@ def dq_staging_report(w: Layers) -> DataFrame:
 
 @query
 def dq_channel_star_report(w: Layers) -> DataFrame:
-    """Every declared check on the channel side of the star schema."""
+    """Every declared check on the channel side of the star schema, on tables written once."""
+    w = StoredLayers(w.spark, w.sf_dir)
     tables = {
         "fact_channel_metrics": w.fact_channel_metrics,
         "dim_channel": w.dim_channel,
@@ -761,11 +916,13 @@ def dq_channel_star_report(w: Layers) -> DataFrame:
 
 @query
 def dq_video_star_report(w: Layers) -> DataFrame:
-    """Every declared check on the video side of the star schema."""
+    """Every declared check on the video side of the star schema, on tables written once."""
+    w = StoredLayers(w.spark, w.sf_dir)
     tables = {
         "fact_video_performance": w.fact_video_performance,
         "dim_video": w.dim_video,
         "dim_tag": w.dim_tag,
         "bridge_video_tag": w.bridge_video_tag,
     }
-    return reduce(DataFrame.unionByName, checks.check_gold(tables))
+    parents = {"dim_channel": w.dim_channel, "dim_date": dim_date(w)}
+    return reduce(DataFrame.unionByName, checks.check_gold(tables | parents, only=tuple(tables)))

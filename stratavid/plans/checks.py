@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from stratavid.operators.quality import (
@@ -15,6 +17,7 @@ from stratavid.operators.quality import (
     unique,
 )
 
+# The declared columns, keys and relations.
 # Columns that must be present, per table.
 REQUIRED = {
     "fact_channel_metrics": ("id", "channel_sk", "date_key"),
@@ -84,10 +87,14 @@ def _check_staging(table: str, df: DataFrame, key: str, checks: list[RowCheck])
     return report(table, [row_checks(df, checks), unique(df, key, WARN)])
 
 
-def check_gold(tables: dict[str, DataFrame]) -> list[DataFrame]:
-    """One report per gold table present in ``tables``."""
+def check_gold(tables: dict[str, DataFrame], only: Sequence[str] | None = None) -> list[DataFrame]:
+    """One report per gold table of ``tables``, or per table named in ``only``.
+
+    Every relation declared for a reported table is checked; a parent that is not given is an error.
+    """
     reports = []
-    for name, df in tables.items():
+    for name in tables if only is None else only:
+        df = tables[name]
         rows = [not_null(c) for c in REQUIRED[name]]
         if name == "fact_video_performance":
             rows.append(accepted_range("view_count", 0))
@@ -95,7 +102,9 @@ def check_gold(tables: dict[str, DataFrame]) -> list[DataFrame]:
         if name in UNIQUE:
             results.append(unique(df, UNIQUE[name]))
         for child, column, parent in RELATIONS:
-            if child == name and parent in tables:
+            if child == name:
+                if parent not in tables:
+                    raise ValueError(f"{child}.{column} refers to {parent}, which is not given")
                 results.append(relationships(df, column, tables[parent], column))
         reports.append(report(name, results))
     return reports

@@ -15,6 +15,7 @@ from stratavid.operators.sizing import broadcast_small
 from stratavid.operators.star import DimensionLink, build_fact
 from stratavid.operators.tokens import first_bridge_snapshot, token_bridge, token_dim
 
+# The columns whose change opens a version.
 CHANNEL_CHECKS = (
     "title", "description", "custom_url", "hidden_subscribers", "country", "default_language",
     "topics",
@@ -81,20 +82,18 @@ def dim_tag(stg_videos: DataFrame) -> DataFrame:
     return token_dim(stg_videos, "tags", "tag_id", "tag_name")
 
 
-def channel_keyword_pairs(
-    stg: DataFrame, channels: DataFrame, keywords: DataFrame, as_of: Column
-) -> DataFrame:
+def channel_keyword_pairs(stg: DataFrame, channels: DataFrame, as_of: Column) -> DataFrame:
     """Channel-keyword pairs with their newest sighting."""
     return token_bridge(
-        stg, channels, keywords, "channel_id", "natural_channel_id", "channel_sk",
+        stg, channels, "channel_id", "natural_channel_id", "channel_sk",
         "keywords", "keyword", "keyword_id", as_of,
     )
 
 
-def video_tag_pairs(stg: DataFrame, videos: DataFrame, tags: DataFrame, as_of: Column) -> DataFrame:
+def video_tag_pairs(stg: DataFrame, videos: DataFrame, as_of: Column) -> DataFrame:
     """Video-tag pairs with their newest sighting."""
     return token_bridge(
-        stg, videos.withColumnRenamed("video_id", "__video_id"), tags, "video_id", "__video_id",
+        stg, videos.withColumnRenamed("video_id", "__video_id"), "video_id", "__video_id",
         "video_sk", "tags", "tag_name", "tag_id", as_of,
     )
 

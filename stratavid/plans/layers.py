@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,7 @@ from stratavid.plans.raw import (
     raw_videos,
     table,
 )
+from stratavid.session import shared_folder
 from stratavid.sources.files import category_seed
 
 
@@ -68,15 +71,13 @@ class Layers:
     @cached_property
     def bridge_channel_keyword(self) -> DataFrame:
         return gold.bridge(
-            gold.channel_keyword_pairs(
-                self.stg_channels, self.dim_channel, self.dim_keyword, self.as_of
-            )
+            gold.channel_keyword_pairs(self.stg_channels, self.dim_channel, self.as_of)
         )
 
     @cached_property
     def bridge_video_tag(self) -> DataFrame:
         return gold.bridge(
-            gold.video_tag_pairs(self.stg_videos, self.dim_video, self.dim_tag, self.as_of)
+            gold.video_tag_pairs(self.stg_videos, self.dim_video, self.as_of)
         )
 
     @cached_property
@@ -86,3 +87,36 @@ class Layers:
     @cached_property
     def fact_video_performance(self) -> DataFrame:
         return gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
+
+
+STORED = (
+    "stg_channels", "stg_videos", "dim_channel", "dim_video", "dim_keyword", "dim_tag",
+    "bridge_channel_keyword", "bridge_video_tag", "fact_channel_metrics", "fact_video_performance",
+)
+
+
+class StoredLayers(Layers):
+    """The same tables, each written to the shared folder when it is first asked for.
+
+    For work that reads tables many times, such as the check reports.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        local = spark.sparkContext.master.startswith("local[")
+        self.folder = f"{shared_folder(spark, tempfile.gettempdir() if local else None)}/layers-{uuid.uuid4().hex}"
+
+
+def _written(name: str) -> cached_property:
+    def get(self: StoredLayers) -> DataFrame:
+        df = getattr(Layers, name).func(self)
+        df.write.parquet(f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    prop = cached_property(get)
+    prop.__set_name__(StoredLayers, name)
+    return prop
+
+
+for _name in STORED:
+    setattr(StoredLayers, _name, _written(_name))

@@ -144,6 +144,30 @@ _LAYERS = {
         SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey,
                arg_max(o_orderstatus, o_orderkey) AS o_orderstatus
         FROM orders GROUP BY o_custkey, o_orderdate""",
+    # Channel days with untidy cells; every 13th order has none but its key.
+    "day_untidy": """
+        SELECT channel_id, ts, day, CASE WHEN o_orderkey % 13 <> 0 THEN title END AS title,
+               CASE WHEN o_orderkey % 3 <> 0 THEN description END AS description,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL
+                    WHEN o_orderkey % 11 = 0 THEN -subscribers ELSE subscribers END AS subscribers,
+               CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN -1 ELSE views END
+                   AS views,
+               CASE WHEN o_orderkey % 13 <> 0 THEN videos END AS videos,
+               CASE WHEN o_orderkey % 13 <> 0 THEN hidden END AS hidden,
+               CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '2002-01-01' ELSE published END AS published,
+               CASE WHEN o_orderkey % 2 <> 0 THEN country END AS country
+        FROM day_channels""",
+    # Newest sighting of each pair within each of three loads.
+    "video_sightings": """
+        SELECT md5(video_id) AS video_sk, md5(word) AS tag_id, max(ts) AS seen
+        FROM video_words
+        GROUP BY video_id, word, CASE WHEN ts < TIMESTAMP '1995-06-01' THEN 1
+                                      WHEN ts < TIMESTAMP '1998-06-01' THEN 2 ELSE 3 END""",
+    "channel_sightings": """
+        SELECT md5(channel_id) AS channel_sk, md5(word) AS keyword_id, max(ts) AS seen,
+               CASE WHEN ts < TIMESTAMP '1995-06-01' THEN 1
+                    WHEN ts < TIMESTAMP '1998-06-01' THEN 2 ELSE 3 END AS load
+        FROM channel_words GROUP BY channel_id, word, load""",
     "order_versions": """
         SELECT o_custkey, o_orderstatus, o_orderdate AS valid_from,
                lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to
@@ -264,6 +288,10 @@ def _all(parts: list[str]) -> str:
 
 
 _DAYS = "(SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)"
+_CALENDAR = (
+    "(SELECT CAST(unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE), "
+    "INTERVAL 1 DAY)) AS DATE) AS day FROM orders)"
+)
 _KEYWORDS = "(SELECT DISTINCT md5(word) AS id, word FROM channel_words)"
 _TAGS = "(SELECT DISTINCT md5(word) AS id, word FROM video_words)"
 
@@ -332,6 +360,11 @@ _VIDEO_STAR_REPORT = _all(
         _orphans(
             "fact_video_performance", "video_sk", "fact_videos", "video_sk", "video_versions", "video_sk"
         ),
+        _orphans(
+            "fact_video_performance", "channel_sk", "fact_videos", "channel_sk", "channel_versions",
+            "channel_sk",
+        ),
+        _orphans("fact_video_performance", "date_key", "fact_videos", "day", _CALENDAR, "day"),
         _nulls("dim_video", "video_sk", "video_versions", "video_sk"),
         _nulls("dim_video", "video_id", "video_versions", "video_id"),
         _nulls("dim_video", "valid_from", "video_versions", "valid_from"),
@@ -366,16 +399,22 @@ _SQL = {
                lang AS "defaultLanguage", keywords, uploads AS "uploadsPlaylistId",
                CASE WHEN lang <> 'F' THEN country || ', ' || lang ELSE '' END AS topics,
                '2001-12-31' AS loaded_at
-        FROM raw_channels""",
+        FROM raw_channels WHERE (o_orderkey // 8) % 30 > 4""",
+    "payload_rejects": """
+        SELECT DISTINCT o_orderkey // 8 AS payload_id,
+               CASE WHEN (o_orderkey // 8) % 30 IN (0, 2, 3) THEN 'malformed' ELSE 'no items' END AS reason
+        FROM raw_channels WHERE (o_orderkey // 8) % 30 <= 4""",
     "video_payload_flatten": """
         SELECT '2001-12-31 00:00:00' AS ts, video_id AS "videoId", title,
                CAST(published AS VARCHAR) AS "publishedAt", tags, category_id AS "categoryId",
                channel_id AS "channelId", duration, definition, caption,
-               licensed AS "licensedContent", '' AS "regionRestriction", views AS "viewCount",
+               licensed AS "licensedContent",
+               CASE WHEN l_linenumber % 3 = 0 THEN 'blocked ' || definition ELSE '' END
+                   AS "regionRestriction", views AS "viewCount",
                likes AS "likeCount", coalesce(comments, 0) AS "commentCount",
                'public' AS "privacyStatus", license, topics AS "topicCategories",
                '2001-12-31' AS loaded_at
-        FROM raw_videos""",
+        FROM raw_videos WHERE (l_orderkey // 4) % 30 > 4""",
     "bronze_latest": """
         SELECT channel_id AS "channelId", CAST(CAST(ts AS DATE) AS VARCHAR) AS loaded_at,
                CAST(max(ts) AS VARCHAR) AS ts, arg_max(subscribers, o_orderkey) AS subscribers,
@@ -459,13 +498,35 @@ _SQL = {
     "channel_cleaning": """
         SELECT o_orderkey, channel_id AS "channelId", title, country, views, videos
         FROM raw_channels
-        WHERE videos BETWEEN 1 AND 1000 AND views > 500 AND position('00' IN title) = 0
+        WHERE videos BETWEEN 1 AND 1000 AND views > 500 AND position('7' IN title) = 0
           AND (country = '' OR upper(country) = 'BUILDING')""",
     "cleaned_channel_head": """
         SELECT o_orderkey, channel_id AS "channelId", videos FROM raw_channels
         WHERE videos BETWEEN 1 AND 1000 AND position('topic' IN title) = 0
           AND (country = '' OR country = 'BUILDING')
         ORDER BY o_orderkey LIMIT 100""",
+    "silver_untidy": """
+        SELECT channel_id, CAST(day AS VARCHAR) AS date_key, title,
+               CASE WHEN subscribers >= 0 THEN subscribers END AS subscribers,
+               CASE WHEN views >= 0 THEN views END AS total_views, videos AS total_videos,
+               CAST(CASE WHEN published <= TIMESTAMP '2001-12-31' THEN published END AS VARCHAR)
+                   AS published_at,
+               nullif(trim(country), '') AS country
+        FROM day_untidy
+        WHERE NOT (title IS NULL AND (subscribers IS NULL OR subscribers < 0)
+                   AND (views IS NULL OR views < 0) AND videos IS NULL AND hidden IS NULL)""",
+    "history_untidy": """
+        SELECT channel_id, description, country, CAST(ts AS VARCHAR) AS valid_from,
+               CAST(lead(ts) OVER (PARTITION BY channel_id ORDER BY ts) AS VARCHAR) AS valid_to,
+               lead(ts) OVER (PARTITION BY channel_id ORDER BY ts) IS NULL AS is_current
+        FROM (SELECT *, row_number() OVER o AS n,
+                     lag(description) OVER o IS DISTINCT FROM description
+                     OR lag(country) OVER o IS DISTINCT FROM country AS fresh
+              FROM (SELECT channel_id, ts, nullif(trim(description), '') AS description,
+                           nullif(trim(country), '') AS country
+                    FROM day_untidy WHERE title IS NOT NULL)
+              WINDOW o AS (PARTITION BY channel_id ORDER BY ts))
+        WHERE n = 1 OR fresh""",
     "incremental_upsert": """
         SELECT user_id, event_type, round(value, 4) AS value, CAST(ts AS VARCHAR) AS loaded_at,
                CAST(day AS VARCHAR) AS date_key
@@ -501,6 +562,27 @@ _SQL = {
                CAST(v.valid_to AS VARCHAR) AS valid_to
         FROM orders o ASOF JOIN order_versions v
           ON o.o_custkey = v.o_custkey AND o.o_orderdate >= v.valid_from""",
+    "video_tag_loads": """
+        SELECT video_sk, tag_id, CAST(seen AS VARCHAR) AS valid_from,
+               CAST(lead(seen) OVER p AS VARCHAR) AS valid_to, lead(seen) OVER p IS NULL AS is_current
+        FROM video_sightings WINDOW p AS (PARTITION BY video_sk, tag_id ORDER BY seen)""",
+    # A pair's versions are its runs of loads without a gap; a run that ends early was closed.
+    "channel_keyword_loads": """
+        SELECT channel_sk, keyword_id, CAST(min(seen) AS VARCHAR) AS valid_from,
+               CASE WHEN max(load) < 3 THEN '2001-12-31 00:00:00' END AS valid_to, max(load) = 3 AS is_current
+        FROM (SELECT *, load - row_number() OVER (PARTITION BY channel_sk, keyword_id ORDER BY load) AS run
+              FROM channel_sightings)
+        GROUP BY channel_sk, keyword_id, run""",
+    "calendar_from_start": """
+        SELECT CAST(d AS VARCHAR) AS date_key, CAST(d AS VARCHAR) AS date, year(d) AS year,
+               quarter(d) AS quarter, month(d) AS month, day(d) AS day, isodow(d) AS week_day,
+               isodow(d) >= 6 AS is_weekend
+        FROM (SELECT CAST(unnest(generate_series(DATE '2005-01-01', CAST(max(ts) AS DATE), INTERVAL 1 DAY))
+                          AS DATE) AS d FROM events)""",
+    "shipping_intervals": """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+               round(CAST(epoch(l_shipdate) - epoch(o_orderdate) AS DOUBLE), 4) AS seconds
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey""",
     "dim_date": """
         SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date_key, CAST(CAST(d AS DATE) AS VARCHAR) AS date,
                CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
@@ -602,13 +684,13 @@ _SQL = {
         GROUP BY 1 HAVING count(DISTINCT video_sk) > 10
         ORDER BY avg(rate) DESC, 1 LIMIT 10""",
     "secure_top_channels": _CHANNEL_TOP.format(title="title"),
-    "masked_top_channels": _CHANNEL_TOP.format(title="sha256(title) AS channel_title_masked"),
+    "masked_top_channels": _CHANNEL_TOP.format(title="sha256('registered' || title) AS channel_title_masked"),
     "secure_top_videos": _VIDEO_TOP.format(title="title, category_name", versions="open_videos"),
     "secure_top_videos_every_version": _VIDEO_TOP.format(
         title="title, category_name", versions="video_versions"
     ),
     "masked_top_videos": _VIDEO_TOP.format(
-        title="sha256(title) AS video_title_masked, '***' AS category_title_masked",
+        title="sha256('registered' || title) AS video_title_masked, '***' AS category_title_masked",
         versions="open_videos",
     ),
     "legacy_top_topic": """
@@ -700,6 +782,19 @@ _SQL = {
 }
 
 
+# Extending history load by load gives what all rows at once give, with the columns of a snapshot.
+_SQL["channel_history_loads"] = _SQL["dim_channel"]
+_SQL["video_history_loads"] = """
+    SELECT md5(r.video_id) AS video_sk, r.video_id, r.title,
+           CAST(CASE WHEN r.published <= TIMESTAMP '2001-12-31' THEN r.published END AS VARCHAR)
+               AS published_at,
+           r.category_id, r.duration, r.definition, r.caption, r.licensed AS licensed_content,
+           'public' AS privacy_status, r.license, '' AS region_restriction,
+           r.topics AS topic_categories, CAST(v.valid_from AS VARCHAR) AS valid_from,
+           CAST(v.valid_to AS VARCHAR) AS valid_to, v.valid_to IS NULL AS is_current
+    FROM video_versions v JOIN day_videos r ON r.video_id = v.video_id AND r.ts = v.valid_from"""
+
+
 def oracle_sql() -> dict[str, str]:
     """One self-contained statement per registered query."""
     return {name: f"{_BASE}\n{sql}" for name, sql in _SQL.items()}

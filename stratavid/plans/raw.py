@@ -11,8 +11,6 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavid.operators.sizing import spread_small
-
 # All supplied observations are older than this load time.
 AS_OF = datetime(2001, 12, 31)
 
@@ -36,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Channel observations, with the order key as tie-break."""
-    orders = spread_small(table(spark, sf_dir, "orders"), "o_custkey")
+    orders = table(spark, sf_dir, "orders")
     rows = orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     born = F.date_add(F.lit("1995-01-01").cast("date"), ((F.col("c_custkey") * 7) % 4000).cast("int"))
     blank_home = F.col("c_nationkey") % 7 == 0
@@ -87,7 +85,7 @@ def part_category() -> Column:
 
 def raw_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video observations, with the remaining line-item columns as tie-break."""
-    items = spread_small(table(spark, sf_dir, "lineitem"), "l_partkey")
+    items = table(spark, sf_dir, "lineitem")
     rows = items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     channels = table(spark, sf_dir, "customer").select(F.count("*")).scalar()
     born = F.date_add(F.lit("1994-01-01").cast("date"), ((F.col("p_partkey") * 11) % 3000).cast("int"))

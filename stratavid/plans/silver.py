@@ -62,11 +62,16 @@ VIDEO_RULES = SnapshotRules(
 )
 
 
+def daily(raw: DataFrame, rules: SnapshotRules, as_of: Column, tiebreak: tuple[str, ...] = ()) -> DataFrame:
+    """One row per entity and day by the given rules."""
+    return silver_snapshot(raw, replace(rules, tiebreak=tiebreak), as_of)
+
+
 def stg_channels(raw: DataFrame, as_of: Column, tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """One row per channel and day."""
-    return silver_snapshot(raw, replace(CHANNEL_RULES, tiebreak=tiebreak), as_of)
+    return daily(raw, CHANNEL_RULES, as_of, tiebreak)
 
 
 def stg_videos(raw: DataFrame, as_of: Column, tiebreak: tuple[str, ...] = ()) -> DataFrame:
     """One row per video and day."""
-    return silver_snapshot(raw, replace(VIDEO_RULES, tiebreak=tiebreak), as_of)
+    return daily(raw, VIDEO_RULES, as_of, tiebreak)

@@ -8,9 +8,34 @@ from pyspark.sql import functions as F
 from stratavid.functions import join_list, lenient_long, parse_timestamp, truncate
 from stratavid.schemas import CHANNEL_PAYLOAD, VIDEO_PAYLOAD
 
+# Descriptions are stored up to this length unless the caller says otherwise.
 DESCRIPTION_LENGTH = 500
 
 
+def rejected_payloads(payloads: DataFrame, column: str, kind: str) -> DataFrame:
+    """The payloads that flattening leaves out, as they were landed, each with a ``reason``.
+
+    ``kind`` is ``channel`` or ``video``. A payload is left out if it is no JSON of that kind
+    (``malformed``) or holds no items (``no items``); the batch goes on without it.
+    """
+    schema = {"channel": CHANNEL_PAYLOAD, "video": VIDEO_PAYLOAD}[kind]
+    reason = _reason(F.from_json(column, schema), F.col(column))
+    return payloads.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
+def _reason(parsed: Column, text: Column) -> Column:
+    """Why a payload has no rows, or null. Text that is no JSON parses to no value at all."""
+    well_formed = F.get_json_object(text, "$").isNotNull()
+    items = F.size(parsed["items"])
+    return F.when(~well_formed | text.isNull(), "malformed").when(F.coalesce(items, F.lit(-1)) < 1, "no items")
+
+
+def _items(payloads: DataFrame, column: str, schema) -> DataFrame:
+    parsed = F.from_json(column, schema)
+    good = payloads.filter(_reason(parsed, F.col(column)).isNull())
+    return good.select(F.explode(parsed["items"]).alias("i"))
+
+
 def _text(path: str) -> Column:
     """Nested text, empty where any level of the path is absent."""
     return F.coalesce(F.col(path), F.lit(""))
@@ -20,14 +45,21 @@ def _flag(path: str) -> Column:
     return F.coalesce(F.col(path), F.lit(False))
 
 
-def flatten_channel_payload(payloads: DataFrame, column: str, as_of: Column) -> DataFrame:
-    """One raw channel row per item of each JSON payload."""
-    parsed = F.from_json(column, CHANNEL_PAYLOAD)
-    return payloads.select(F.explode(parsed["items"]).alias("i")).select(
+def flatten_channel_payload(
+    payloads: DataFrame, column: str, as_of: Column, description_length: int | None = DESCRIPTION_LENGTH
+) -> DataFrame:
+    """One raw channel row per item of each JSON payload; ``rejected_payloads`` has the others.
+
+    Descriptions longer than ``description_length`` are cut; ``None`` keeps them whole.
+    """
+    description = _text("i.snippet.description")
+    if description_length is not None:
+        description = truncate(description, description_length)
+    return _items(payloads, column, CHANNEL_PAYLOAD).select(
         as_of.alias("ts"),
         F.col("i.id").alias("channelId"),
         _text("i.snippet.title").alias("title"),
-        truncate(_text("i.snippet.description"), DESCRIPTION_LENGTH).alias("description"),
+        description.alias("description"),
         _text("i.snippet.customUrl").alias("customUrl"),
         lenient_long("i.statistics.subscriberCount").alias("subscribers"),
         lenient_long("i.statistics.viewCount").alias("views"),
@@ -46,10 +78,11 @@ def flatten_channel_payload(payloads: DataFrame, column: str, as_of: Column) ->
 def flatten_video_payload(
     payloads: DataFrame, column: str, as_of: Column, full: bool = False
 ) -> DataFrame:
-    """One raw video row per item of each JSON payload; ``full`` adds the columns of a full file."""
-    parsed = F.from_json(column, VIDEO_PAYLOAD)
-    items = payloads.select(F.explode(parsed["items"]).alias("i"))
-    return items.select(
+    """One raw video row per item of each JSON payload; ``full`` adds the columns of a full file.
+
+    ``rejected_payloads`` has the payloads without rows.
+    """
+    return _items(payloads, column, VIDEO_PAYLOAD).select(
         as_of.alias("ts"),
         F.col("i.id").alias("videoId"),
         _text("i.snippet.title").alias("title"),

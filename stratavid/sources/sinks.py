@@ -3,7 +3,8 @@
 Tables are plain folders. A rewrite replaces whole partitions in dynamic overwrite
 mode: new files are staged first and swapped in when the job commits, so a query may
 read the partitions it replaces, a lost executor only repeats its tasks, and a rerun
-of the same batch writes the same partitions again.
+of the same batch writes the same partitions again. Where a whole table is replaced, the
+new rows are complete elsewhere before an old one goes.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from stratavid.operators.latest import latest_by_key
 
 MONTH = "yyyymm"
 STATE = "state"
-OPEN = "open"
+PART = "part"
+OPEN, CLOSED = "open", "closed"
 
 
 def write_csv(df: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
@@ -38,22 +40,41 @@ def append_rows(df: DataFrame, path: str, partition: str | None = None) -> None:
 
 
 def create_or_append(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Append to a catalogue table if it exists, else create it with the schema of ``df``."""
+    """Append to a catalogue table if it exists, else create it with the schema of ``df``.
+
+    Columns of the table that ``df`` lacks are null; columns the table lacks are an error.
+    """
     if spark.catalog.tableExists(table):
-        df.select(*spark.table(table).columns).write.mode("append").saveAsTable(table)
+        known = spark.table(table)
+        unknown = [c for c in df.columns if c not in known.columns]
+        if unknown:
+            raise ValueError(f"{table} has no column {', '.join(unknown)}")
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in known.schema if f.name not in df.columns}
+        df.withColumns(missing).select(*known.columns).write.mode("append").saveAsTable(table)
     else:
         df.write.format("parquet").saveAsTable(table)
 
 
 def create_table_as_select(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Drop and rebuild a catalogue table from a query."""
+    """Rebuild a catalogue table from a query, which may read it; a failing query leaves it as it was."""
+    fresh = f"{table}__new"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    df.write.format("parquet").saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.format("parquet").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
 
+def full_refresh(df: DataFrame, path: str, partition: str | None = None, staging: str | None = None) -> None:
+    """Replace a whole table; ``df`` may read it.
 
-def full_refresh(df: DataFrame, path: str, partition: str | None = None) -> None:
-    """Replace a whole table; ``df`` must not read it."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    The rows are first written to ``staging`` (by default a folder next to the table), so a failing
+    query leaves the table as it was, and they are still there if the replacing copy is cut off.
+    """
+    staging = staging or f"{path.rstrip('/')}__staged"
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
+    rows = spark.read.schema(df.schema).parquet(staging)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
 
 
@@ -76,13 +97,15 @@ def write_by_month(
 ) -> None:
     """Write month partitions; in overwrite mode only months present in ``df`` are replaced.
 
-    Rebalancing keeps each month in few files, and lets AQE cut a month that is far
-    larger than the others into several tasks. ``sort_by`` orders the rows of each file,
-    so a lookup by that key skips row groups by their minimum and maximum.
+    With ``sort_by`` rows are dealt by ranges of (month, key), so each file holds a narrow range
+    of keys and a lookup skips files and row groups by their minimum and maximum; the ranges are
+    of equal size, however much larger one month is. Without it each month is rebalanced.
     """
-    months = with_month(df, date_column).hint("rebalance", MONTH)
+    months = with_month(df, date_column)
     if sort_by:
-        months = months.sortWithinPartitions(MONTH, *sort_by)
+        months = months.repartitionByRange(MONTH, *sort_by).sortWithinPartitions(MONTH, *sort_by)
+    else:
+        months = months.hint("rebalance", MONTH)
     (
         months.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -137,60 +160,66 @@ def compact_by_month(
 def rewrite_retained(
     spark: SparkSession, path: str, target: str, date_column: str, as_of: Column, days: int = 90
 ) -> None:
-    """Copy the rows whose retention still runs to ``target``; whole expired months are not read."""
+    """Make ``target`` hold the rows whose retention still runs, and nothing else.
+
+    Whole expired months are not read, and what ``target`` held from an earlier run is replaced.
+    ``target`` may be ``path`` itself.
+    """
     first_month = year_month(F.date_sub(as_of, days))
     stored = spark.read.parquet(path).filter(F.col(MONTH) >= first_month).drop(MONTH)
-    write_by_month(unexpired(stored, date_column, as_of, days), target, date_column)
+    full_refresh(with_month(unexpired(stored, date_column, as_of, days), date_column), target, MONTH)
 
 
-def write_versions(versions: DataFrame, path: str) -> None:
-    """Store version rows anew, the open ones in a partition of their own."""
-    full_refresh(_placed(versions, "history"), path, STATE)
+def bucket_of(key: str, buckets: int) -> Column:
+    """Partition name of a key's bucket; a bucket's rows are rewritten together."""
+    return F.concat(F.lit("b"), F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"))
 
 
-def read_versions(spark: SparkSession, path: str, load: str | None = None) -> DataFrame:
-    """Stored versions, or only those open before or after a ``load``.
+def touched_buckets(batch: DataFrame, key: str, buckets: int) -> list[str]:
+    """Buckets a batch has keys in: at most ``buckets`` names."""
+    return sorted(r[0] for r in batch.select(bucket_of(key, buckets)).distinct().collect())
 
-    ``is_current`` stems from the partition, so filtering by it leaves closed history
-    unlisted and unread.
-    """
-    stored = spark.read.parquet(path)
-    if load is not None:
-        stored = stored.filter(F.col(STATE).isin(OPEN, load))
-    return stored.withColumn("is_current", F.col(STATE) == OPEN).drop(STATE)
 
+def place_versions(versions: DataFrame, key: str, buckets: int, run: str) -> DataFrame:
+    """Versions with their partition: open ones by bucket of their key, closed ones by run.
 
-def read_open_versions(spark: SparkSession, path: str) -> DataFrame:
-    """The open versions, without reading closed history."""
-    return spark.read.parquet(path).filter(F.col(STATE) == OPEN).drop(STATE)
-
+    A bucket's partition also has the versions the run closed in it, so that it is replaced
+    even where none is left open; readers of open versions pass them over.
+    """
+    is_open = F.col(VALID_TO).isNull()
+    spot = lambda state, part: F.struct(F.lit(state).alias(STATE), part.alias(PART))
+    in_bucket, in_run = spot(OPEN, bucket_of(key, buckets)), spot(CLOSED, F.lit(run))
+    spots = F.when(is_open, F.array(in_bucket)).otherwise(F.array(in_run, in_bucket))
+    return versions.withColumn("__spot", F.explode(spots)).select("*", f"__spot.{STATE}", f"__spot.{PART}").drop("__spot")
 
-def write_merged_versions(
-    merged: DataFrame, path: str, load: str, full_snapshot: bool = False
-) -> None:
-    """Store what a batch made of the open versions; closed history is not touched.
 
-    ``merged`` may read the open partition it replaces. Versions the batch closed go
-    to a partition named after the ``load``, so the same load run twice replaces them
-    instead of adding them again. Only a ``full_snapshot`` can close every version; the
-    open partition, which no row would then replace, is emptied.
-    """
-    none_open = full_snapshot and merged.filter(F.col(VALID_TO).isNull()).isEmpty()
+def publish(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Replace the partitions that ``rows`` have; the same rows published again change nothing."""
     (
-        _placed(merged, load)
+        rows.hint("rebalance", *partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(STATE)
+        .partitionBy(*partitions)
         .parquet(path)
     )
-    if none_open:
-        nothing = merged.sparkSession.createDataFrame([], merged.schema)
-        full_refresh(nothing, f"{path}/{STATE}={OPEN}")
 
 
-def _placed(versions: DataFrame, closed_in: str) -> DataFrame:
-    state = F.when(F.col(VALID_TO).isNull(), OPEN).otherwise(closed_in)
-    return versions.withColumn(STATE, state)
+def read_versions(stored: DataFrame) -> DataFrame:
+    """All versions of a table of placed versions, the open ones flagged ``is_current``.
+
+    The flag stems from the partition, so filtering by it leaves closed history
+    unlisted and unread.
+    """
+    flagged = stored.withColumn("is_current", F.col(STATE) == OPEN)
+    return flagged.filter((F.col(STATE) == CLOSED) | F.col(VALID_TO).isNull()).drop(STATE, PART)
+
+
+def read_open_versions(stored: DataFrame, buckets: Sequence[str] | None = None) -> DataFrame:
+    """The open versions, all or those of some buckets, without reading closed history."""
+    rows = stored.filter((F.col(STATE) == OPEN) & F.col(VALID_TO).isNull())
+    if buckets is not None:
+        rows = rows.filter(F.col(PART).isin(list(buckets)))
+    return rows.drop(STATE, PART)
 
 
 def table_stats(df: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stratavid.operators.incremental import upsert
 from stratavid.operators.latest import latest_by_key
 from stratavid.operators.snapshot import SnapshotRules, silver_snapshot
 from stratavid.sources.sinks import touched_months, write_by_month
@@ -44,12 +44,11 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
 def merge_daily_rows(stored: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Stored daily rows with those of a batch; per key and day the newest stays.
 
-    A late row may be older than the stored one, so both are ranked together.
+    A late row may be older than the stored one, so both are ranked together, in one pass over
+    either. Of equally new rows the one with the larger row hash stays, whichever came first.
     """
-    keys = [key, "date_key"]
-    rivals = stored.join(batch.select(*keys).distinct(), keys, "left_semi")
-    newest = latest_by_key(rivals.unionByName(batch), keys, "loaded_at")
-    return upsert(stored, newest, keys)
+    rows = stored.unionByName(batch)
+    return latest_by_key(rows, [key, "date_key"], "loaded_at", [F.xxhash64(*rows.columns)])
 
 
 def daily_snapshot_stream(
@@ -63,11 +62,15 @@ def daily_snapshot_stream(
 
     def load(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        clean = silver_snapshot(batch, rules, as_of)
-        if _table_exists(spark, path):
-            stored = touched_months(spark.read.parquet(path), clean, "date_key")
-            clean = merge_daily_rows(stored.select(*clean.columns), clean, rules.key)
-        write_by_month(clean, path, "date_key")
+        clean = silver_snapshot(batch, rules, as_of).persist()  # read for its months and its rows
+        try:
+            rows = clean
+            if _table_exists(spark, path):
+                stored = touched_months(spark.read.parquet(path), clean, "date_key")
+                rows = merge_daily_rows(stored.select(*clean.columns), clean, rules.key)
+            write_by_month(rows, path, "date_key")
+        finally:
+            clean.unpersist()
 
     return (
         raw.writeStream.foreachBatch(load)
@@ -78,9 +81,11 @@ def daily_snapshot_stream(
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder holds anything, on whatever file system it names."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
+    """Whether a folder holds a table, on whatever file system it names."""
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
 
 
 def first_sightings(rows: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:

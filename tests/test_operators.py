@@ -217,7 +217,7 @@ def test_equal_titles_merge_only_in_the_open_report(frame):
     dim = frame("channel_sk string, title string, is_current boolean", ("a", "t", True), ("b", "t", True))
     assert rows_of(analytics.top_channels(fact, dim)) == [("t", 12)]
     assert rows_of(secure.top_channels(fact, dim, FULL)) == [("t", 5), ("t", 7)]
-    masked = secure.top_channels(fact, dim, LIMITED)
+    masked = secure.top_channels(fact, dim, LIMITED, "salt")
     assert masked.columns == ["channel_title_masked", "views"]
     assert len({r[0] for r in masked.collect()}) == 1 and masked.first()[0] != "t"
 
@@ -230,7 +230,7 @@ def test_closed_versions_do_not_multiply_rows(frame):
     )
     assert rows_of(secure.top_videos(fact, dim, FULL)) == [("new", None, 10)]
     assert secure.top_videos(fact, dim, FULL, every_version=True).count() == 2
-    hidden = secure.top_videos(fact, dim, LIMITED)
+    hidden = secure.top_videos(fact, dim, LIMITED, "salt")
     assert hidden.columns == ["video_title_masked", "category_title_masked", "view_count"]
     assert hidden.first()[1] == "***"
 

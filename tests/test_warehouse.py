@@ -1,20 +1,15 @@
 import pytest
 from pyspark.sql import functions as F
 
-from stratavid.operators.sizing import (
-    broadcast_small,
-    estimated_bytes,
-    scanned_bytes,
-    spread_small,
-    widen_shuffles,
-)
+from stratavid.operators.sizing import broadcast_small
 from stratavid.plans import catalog
 from stratavid.plans.layers import Layers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, VIDEO_TIEBREAK
+from stratavid.plans import silver
 from stratavid.plans.warehouse import Warehouse
 from stratavid.schemas import RAW_CHANNELS, RAW_VIDEOS
 from stratavid.session import shared_folder
-from stratavid.sources.sinks import touched_months
+from stratavid.sources.sinks import descriptions, touched_months
 from tests.conftest import rows_of
 from tests.test_oracle import SF_DIR
 
@@ -102,26 +97,6 @@ def test_upsert_reads_only_touched_months(spark, warehouse):
     assert "dynamicpruning" in plan
 
 
-def test_spreading_is_for_small_inputs(layers):
-    orders = layers.source("orders")
-    assert 0 < estimated_bytes(orders) < 1 << 20
-    assert spread_small(orders, "o_custkey", limit=0) is orders
-    assert rows_of(spread_small(orders, "o_custkey")) == rows_of(orders)
-
-
-def test_shuffle_width_follows_the_input(spark, layers):
-    orders, customer = layers.source("orders"), layers.source("customer")
-    read = scanned_bytes(layers.raw_channels)
-    assert read == estimated_bytes(orders) + estimated_bytes(customer)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert widen_shuffles(spark, read) == int(before)
-        assert widen_shuffles(spark, 1 << 40) == 3 * 2048
-        assert widen_shuffles(spark, 100 << 40) == 100_000
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def test_broadcast_is_for_small_sides(layers):
     plan = broadcast_small(layers.categories)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" in plan
@@ -137,6 +112,194 @@ def test_shared_folder(spark):
             shared_folder(spark)
 
 
+@pytest.fixture
+def landed(frame):
+    """Channel and video rows of a small world: (id, title, list, views, time); videos are of channel c1."""
+
+    def build(channels, videos):
+        one = frame("channelId string, title string, keywords string, views bigint, ts timestamp_ntz", *channels)
+        two = frame("videoId string, title string, tags string, viewCount bigint, ts timestamp_ntz", *videos)
+        two = two.withColumn("channelId", F.lit("c1"))
+        return [
+            df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in df.columns})
+            for df, schema in ((one, RAW_CHANNELS), (two, RAW_VIDEOS))
+        ]
+
+    return build
+
+
+CLOCK = "2024-06-01"
+TABLES = (
+    "stg_channels", "stg_videos", "dim_channel", "dim_video", "dim_date", "dim_keyword", "dim_tag",
+    "bridge_channel_keyword", "bridge_video_tag", "fact_channel_metrics", "fact_video_performance",
+)
+DAY1 = [("c1", "t", "k", 1, "2024-01-01 08:00:00")], [("v1", "A", "x, y", 1, "2024-01-01 08:00:00")]
+DAY2 = (
+    [*DAY1[0], ("c1", "t", "k, l", 2, "2024-01-02 08:00:00")],
+    [*DAY1[1], ("v1", "B", "x, y", 2, "2024-01-02 08:00:00"), ("v2", "N", "z", 1, "2024-01-02 09:00:00")],
+)
+DAY3 = [*DAY2[0], ("c1", "t", "k, l", 3, "2024-02-03 08:00:00")], [*DAY2[1], ("v1", "C", "y", 3, "2024-02-03 20:00:00")]
+
+
+def clock():
+    return F.lit(CLOCK).cast("timestamp_ntz")
+
+
+def contents(store, current=False):
+    """All tables as rows; of versions only what a rebuild gives too, their keys and whether they are open."""
+    out = {}
+    for name in TABLES:
+        df = getattr(store, name)
+        cols = sorted(c for c in df.columns if not (name.startswith("bridge") and c.startswith("valid")))
+        df = df.filter("is_current") if name.startswith("bridge") or (current and "is_current" in df.columns) else df
+        out[name] = rows_of(df, *cols)
+    return out
+
+
+@pytest.fixture
+def make(spark, tmp_path):
+    return lambda name: Warehouse(spark, str(tmp_path / name), buckets=4)
+
+
+@pytest.fixture
+def rebuilt(make, landed):
+    def build(day):
+        store = make(f"rebuilt-{len(day[1])}")
+        store.build(*landed(*day), clock())
+        return store
+
+    return build
+
+
+def test_one_load_name_used_twice_loses_nothing(make, landed, rebuilt):
+    store = make("w")
+    store.build(*landed(*DAY1), clock())
+    store.refresh(*landed(*DAY2), clock(), "history")
+    store.refresh(*landed(*DAY3), clock(), "history")
+    assert contents(store) == contents(rebuilt(DAY3))
+    assert rows_of(store.dim_video.filter("video_id = 'v1'"), "title", "is_current") == [
+        ("A", False), ("B", False), ("C", True)
+    ]
+    store.check()
+
+
+STEPS = ["stg_channels", "stg_videos", "snapshot_channel", "snapshot_video", "dim_keyword", "dim_tag",
+         "bridge_channel_keyword", "bridge_video_tag", "fact_channel_metrics", "fact_video_performance"]
+
+
+@pytest.mark.parametrize("after", ["note", "publish"])
+@pytest.mark.parametrize("step", STEPS[1::2])
+def test_a_run_cut_off_is_finished_by_the_next(make, landed, rebuilt, step, after, monkeypatch):
+    store = make("w")
+    store.build(*landed(*DAY1), clock())
+    note, staged = Warehouse._note, Warehouse._staged
+
+    def dying_note(self, run, name, text=""):
+        note(self, run, name, text)
+        if name == step:
+            raise KeyboardInterrupt  # the result is written aside, nothing published
+
+    def dying_staged(self, run, name, rows):
+        following = STEPS.index(step) + 1
+        if following < len(STEPS) and name == STEPS[following]:
+            raise KeyboardInterrupt  # the step is published, the next one not begun
+        return staged(self, run, name, rows)
+
+    with monkeypatch.context() as patch:
+        if after == "note":
+            patch.setattr(Warehouse, "_note", dying_note)
+        elif step == STEPS[-1]:
+            patch.setattr(Warehouse, "_note", lambda self, run, name, text="": (_ for _ in ()).throw(KeyboardInterrupt) if name == "done" else note(self, run, name, text))
+        else:
+            patch.setattr(Warehouse, "_staged", dying_staged)
+        with pytest.raises(KeyboardInterrupt):
+            store.refresh(*landed(*DAY2), clock(), "day2")
+    again = make("w")
+    again.refresh(*landed(*DAY3), clock(), "day3")
+    assert contents(again) == contents(rebuilt(DAY3))
+    again.check()
+
+
+def test_a_rebuild_replaces_all_months_and_a_cut_off_one_none(make, landed, rebuilt, monkeypatch):
+    store = make("w")
+    store.build(*landed(*DAY3), clock())
+    before = contents(store)
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_publish_calendar", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            store.build(*landed(*DAY1), clock())
+    assert contents(make("w")) == before
+    store.build(*landed(*DAY1), clock())
+    assert contents(make("w")) == contents(rebuilt(DAY1))
+
+
+def test_a_correction_on_a_stored_day_closes_what_it_withdraws(make, landed, rebuilt):
+    evening = DAY1[0], [*DAY1[1], ("v1", "A", "y", 1, "2024-01-01 20:00:00")]
+    store = make("w")
+    store.build(*landed(*DAY1), clock())
+    store.refresh(*landed(*evening), clock(), "evening")
+    assert rows_of(store.bridge_video_tag.filter("is_current"), "tag_id") == rows_of(
+        rebuilt(evening).bridge_video_tag, "tag_id"
+    )
+    assert store.bridge_video_tag.filter("NOT is_current").count() == 1
+    store.check()
+
+
+def test_a_full_snapshot_closes_what_it_lacks(make, landed):
+    store = make("w")
+    store.build(*landed(*DAY2), clock())
+    third = DAY2[0] + [("c1", "t", "l", 3, "2024-01-03 08:00:00")], DAY2[1] + [("v1", "B", "x", 3, "2024-01-03 08:00:00")]
+    store.refresh(*landed(*third), clock(), "day3", full_snapshot=True)
+    assert rows_of(store.dim_video.filter("is_current"), "video_id") == [("v1",)]
+    assert rows_of(store.dim_video.filter("video_id = 'v2'"), "valid_to") == [("2024-06-01 00:00:00",)]
+    assert store.bridge_video_tag.filter("is_current").count() == 1
+    assert store.bridge_channel_keyword.filter("is_current").count() == 1
+    store.refresh(*landed(*third), clock(), "day3", full_snapshot=False)  # nothing new, nothing changed
+    assert store.bridge_video_tag.filter("is_current").count() == 1
+
+
+def test_stored_tables_take_new_columns_and_drop_old_ones(spark, make, landed, tmp_path):
+    from dataclasses import replace
+
+    store = make("w")
+    store.build(*landed(*DAY1), clock())
+    columns = {k: v for k, v in silver.VIDEO_RULES.columns.items() if k != "caption"} | {"extra": "title"}
+    later = Warehouse(spark, store.root, buckets=4, video_rules=replace(silver.VIDEO_RULES, columns=columns))
+    rows = later._silver("stg_videos", landed(*DAY2)[1], clock(), ())
+    later._upsert("r-test", "stg_videos", rows.filter("date_key = '2024-01-02'"), ["video_id", "date_key"], "video_id")
+    plain = make("w").stg_videos
+    assert "caption" not in plain.columns
+    assert rows_of(plain, "date_key", "extra") == [("2024-01-01", None), ("2024-01-02", "B"), ("2024-01-02", "N")]
+
+
+def test_a_daily_load_touches_its_month_and_buckets_only(spark, make, landed):
+    store = make("w")
+    store.build(*landed(*DAY2), clock())
+
+    def files(name):
+        return {r[0]: r[1] for r in spark.read.parquet(store.path(name)).selectExpr("_metadata.file_path AS p", "_metadata.file_modification_time AS t").distinct().collect()}
+
+    names = ("stg_videos", "fact_video_performance", "snapshot_video", "bridge_video_tag")
+    before = {n: files(n) for n in names}
+    later = DAY2[0], [*DAY2[1], ("v1", "C", "y", 3, "2024-02-03 20:00:00")]
+    store.refresh(*landed(*later), clock(), "day3")
+    for name in names:
+        kept = {p for p in before[name] if p in files(name)}
+        changed = set(before[name]) - kept
+        if "/yyyymm=" in next(iter(before[name])):
+            assert not changed  # old months are as they were
+        else:
+            assert len({p.split("/part=")[1].split("/")[0] for p in changed}) == 1
+    touched = [r.note for r in store.log() if r.step == "stg_videos"]
+    assert len(touched) == 1
+
+
+def test_columns_are_described(warehouse):
+    assert descriptions(warehouse.dim_video)["valid_to"].startswith("Observation or load")
+    assert "version_sk" in descriptions(warehouse.dim_channel)
+    assert set(descriptions(warehouse.fact_channel_metrics)) == {"id", "channel_sk", "date_key"}
+
+
 def test_last_day_can_be_restated(spark, frame, tmp_path):
     """A second load on a day updates the snapshot; the fact follows only on request."""
     def channels(*rows):
