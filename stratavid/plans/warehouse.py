@@ -77,9 +77,10 @@ class Warehouse:
         return self._notes
 
     def _note(self, run: str, step: str, note: str = "") -> None:
-        row = (len(self.log()), run, step, note)
+        known = self.log()
+        row = T.Row(seq=len(known), run=run, step=step, note=note)
         self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
-        self._notes = None
+        self._notes = [*known, row]  # a store has one writer
 
     def _noted(self, run: str, step: str) -> str | None:
         return next((r.note for r in reversed(self.log()) if (r.run, r.step) == (run, step)), None)
@@ -232,7 +233,6 @@ class Warehouse:
             self._note(run, "built")
         finally:
             self._building = None
-            self._notes = None
 
     def _silver(self, name: str, raw: DataFrame, as_of: Column, tiebreak: tuple[str, ...]) -> DataFrame:
         return silver.daily(raw, self.rules[name], as_of, tiebreak)

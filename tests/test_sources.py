@@ -28,7 +28,7 @@ from stratavid.sources.files import (
     tolerant_parse,
     union_batches,
 )
-from stratavid.sources.payloads import flatten_channel_payload, flatten_video_payload
+from stratavid.sources.payloads import flatten_channel_payload, flatten_video_payload, rejected_payloads
 from tests.conftest import rows_of
 
 
@@ -126,6 +126,19 @@ def test_channel_payload_defaults(frame):
     assert str(two.publishedAt) == "2024-06-01 00:00:00"
 
 
+def test_payload_rejects(frame):
+    good = json.dumps({"items": [{"id": "c1"}, {"id": "c2"}]})
+    payloads = frame("n int, j string", (1, good), (2, good[:-3]), (3, "{}"), (4, None), (5, '{"items": []}'), (6, ""))
+    assert rows_of(rejected_payloads(payloads, "j", "channel"), "n", "reason") == [
+        (2, "malformed"), (3, "no items"), (4, "malformed"), (5, "no items"), (6, "malformed"),
+    ]
+    for flatten in (flatten_channel_payload, flatten_video_payload):
+        assert flatten(payloads, "j", at("2024-06-01")).count() == 2
+    long = json.dumps({"items": [{"id": "c", "snippet": {"description": "d" * 700}}]})
+    whole = flatten_channel_payload(frame("j string", (long,)), "j", at("2024-06-01"), description_length=None)
+    assert len(whole.first().description) == 700
+
+
 def test_video_payload_defaults(frame):
     body = {
         "items": [
@@ -164,8 +177,11 @@ def test_append_and_refresh(spark, frame, tmp_path):
     assert read_parquet(spark, f"{path}/*.parquet").count() == 2
     stats = sinks.table_stats(spark.read.parquet(path))
     assert sum(r.row_count for r in stats.collect()) == 2 and stats.count() == 2
-    sinks.full_refresh(df, path)
+    sinks.full_refresh(spark.read.parquet(path).distinct(), path)  # it may read what it replaces
     assert spark.read.parquet(path).count() == 1
+    with pytest.raises(Exception, match="no good"):
+        sinks.full_refresh(spark.read.parquet(path).select(F.raise_error(F.lit("no good"))), path)
+    assert rows_of(spark.read.parquet(path)) == [(1,)]
 
 
 def test_catalogue_tables(spark, frame):
@@ -175,6 +191,15 @@ def test_catalogue_tables(spark, frame):
     sinks.create_or_append(spark, frame("a int, b string", (1, "x")), "t_grown")
     sinks.create_or_append(spark, frame("b string, a int", ("y", 2)), "t_grown")
     assert rows_of(spark.table("t_grown")) == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError, match="extra"):
+        sinks.create_or_append(spark, frame("a int, b string, extra int", (3, "z", 1)), "t_grown")
+    sinks.create_or_append(spark, frame("a int", (3,)), "t_grown")
+    assert rows_of(spark.table("t_grown")) == [(1, "x"), (2, "y"), (3, None)]
+    with pytest.raises(Exception, match="no good"):
+        sinks.create_table_as_select(spark, spark.range(1).select(F.raise_error(F.lit("no good")).alias("a")), "t_rebuilt")
+    assert rows_of(spark.table("t_rebuilt")) == [(2, "y")]
+    sinks.create_table_as_select(spark, spark.table("t_rebuilt").select("b"), "t_rebuilt")
+    assert rows_of(spark.table("t_rebuilt")) == [("y",)]
     sinks.describe_table(spark, "t_grown", "A channel's rows")
     comments = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED t_grown").collect()}
     assert comments["Comment"] == "A channel's rows"
@@ -222,6 +247,11 @@ def test_compaction_and_retention(spark, frame, tmp_path):
     kept = str(tmp_path / "kept")
     sinks.rewrite_retained(spark, path, kept, "day", F.lit("2024-04-15").cast("date"), 90)
     assert rows_of(spark.read.parquet(kept), "day") == [("2024-02-01",)]
+    sinks.write_by_month(dated(frame, (1, "2024-06-01", 3)), path, "day")
+    sinks.rewrite_retained(spark, path, kept, "day", F.lit("2024-06-15").cast("date"), 90)
+    assert rows_of(spark.read.parquet(kept), "day") == [("2024-06-01",)]  # the expired month is gone
+    sinks.rewrite_retained(spark, path, path, "day", F.lit("2024-06-15").cast("date"), 90)
+    assert rows_of(spark.read.parquet(path), "day") == [("2024-06-01",)]
 
 
 def test_full_video_batches(spark, frame, tmp_path):
@@ -262,20 +292,32 @@ def test_stored_versions(spark, frame, tmp_path):
         ("a", "0", "2023-01-01", "2024-01-01"), ("a", "1", "2024-01-01", None),
         ("b", "1", "2024-01-01", None),
     )
-    sinks.write_versions(first, path)
-    history = sorted(p.name for p in (tmp_path / "versions" / "state=history").glob("*.parquet"))
+    def store(versions, run):
+        sinks.publish(sinks.place_versions(versions, "id", 4, run), path, sinks.STATE, sinks.PART)
+
+    def stored():
+        return spark.read.parquet(path)
+
+    def files(state):
+        return sorted(str(p) for p in (tmp_path / "versions" / f"state={state}").glob("part=*/*.parquet"))
+
+    store(first, "r-build")
+    history = files("closed")
     batch = frame("id string, v string, ts timestamp_ntz", ("a", "2", "2024-02-01"))
-    for _ in range(2):  # the same load twice stores the same versions
-        opened = sinks.read_open_versions(spark, path)
-        merged = merge_open(opened, batch, ["id"], "ts", at("2024-03-01"), check_cols=["v"])
-        sinks.write_merged_versions(merged, path, "feb")
-        assert rows_of(sinks.read_versions(spark, path), "id", "v", "valid_to") == [
+    buckets = sinks.touched_buckets(batch, "id", 4)
+    opened = sinks.read_open_versions(stored(), buckets)
+    merged = merge_open(opened, batch, ["id"], "ts", at("2024-03-01"), check_cols=["v"])
+    rows = merged.collect()
+    untouched = [f for f in files("open") if f"part={buckets[0]}/" not in f]
+    for _ in range(2):  # published twice, the same versions are stored
+        store(spark.createDataFrame(rows, merged.schema), "r-feb")
+        assert rows_of(sinks.read_versions(stored()), "id", "v", "valid_to") == [
             ("a", "0", "2024-01-01 00:00:00"), ("a", "1", "2024-02-01 00:00:00"), ("a", "2", None),
             ("b", "1", None),
         ]
-    assert sorted(p.name for p in (tmp_path / "versions" / "state=history").glob("*.parquet")) == history
-    opened = sinks.read_open_versions(spark, path)
+    assert set(history) <= set(files("closed")) and set(untouched) <= set(files("open"))
+    opened = sinks.read_open_versions(stored())
     gone = merge_open(opened, batch.limit(0), ["id"], "ts", at("2024-03-01"), full_snapshot=True)
-    sinks.write_merged_versions(gone, path, "mar", full_snapshot=True)
-    assert sinks.read_open_versions(spark, path).count() == 0
-    assert sinks.read_versions(spark, path).count() == 4
+    store(spark.createDataFrame(gone.collect(), gone.schema), "r-mar")
+    assert sinks.read_open_versions(stored()).count() == 0
+    assert sinks.read_versions(stored()).count() == 4
