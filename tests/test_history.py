@@ -133,11 +133,15 @@ def test_asof_boundaries(frame):
 
 
 def test_asof_join_spreads_a_hot_key(spark, frame):
-    versions = frame("vid int, valid_from timestamp_ntz, valid_to timestamp_ntz", (1, "2020-01-01", None))
-    facts = frame("id int, at timestamp_ntz", (1, "2020-05-05"))
+    """The window that facts meet versions in is split by span, and an open version does not fan out."""
+    versions = frame("vid int, valid_from timestamp_ntz, valid_to timestamp_ntz", (1, "2000-01-01", None))
+    facts = frame("id int, at timestamp_ntz", (1, "2020-05-05"), (1, "2020-05-06"), (1, "2020-09-01"))
     joined = asof_join(facts, versions, "id", "vid", "at", at("2021-01-01"))
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "__span" in plan.split("Join Inner")[1].split("\n")[0]
+    meeting = plan.split("Window [last(__version")[1].split("\n")[0]
+    assert "[__key#" in meeting and "__span#" in meeting.split("windowspecdefinition")[1].split("ASC")[0]
+    assert "Join" not in plan and "explode" not in plan
+    assert joined.count() == 3
 
 
 DAYS = [date(2024, 1, 1) + timedelta(days=i) for i in range(5)]
