@@ -200,7 +200,7 @@ def test_one_load_name_used_twice_loses_nothing(copy, landed, built):
     store.check()
 
 
-@pytest.mark.parametrize("step, published", [("stg_videos", True), ("snapshot_video", False), ("bridge_video_tag", True)])
+@pytest.mark.parametrize("step, published", [("snapshot_video", False), ("bridge_video_tag", True)])
 def test_a_run_cut_off_is_finished_by_the_next(spark, copy, landed, built, step, published, monkeypatch):
     """Cut off right after a step's result is written aside, or right after it is published."""
     store = copy(DAY1)
