@@ -19,6 +19,7 @@ WORD_LIMIT = 400_000
 # Lower-case letters of basic Latin and Latin-1, whose words are single pieces for the tokenizer.
 _PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
 _UPPER = str.maketrans({chr(c): chr(c + 32) for c in [*range(0xC0, 0xD7), *range(0xD8, 0xDF)]})
+_ASCII_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 # Punctuation right behind a Latin letter begins a piece, so a space between them changes nothing.
 # The apostrophe may begin a contraction and stays.
 _BEHIND = r"([a-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~])"
@@ -36,12 +37,16 @@ class WordEncoder:
     The tokenizer never joins pieces across white space, so a text is the concatenation of its words.
     Words the library's normaliser could treat in context are given to it whole; plain words skip
     the normaliser and are encoded many at a time with the same model.
+
+    The library cuts raw texts at its added tokens before anything else, so these are cut out first too.
+    What is left has none, whatever it looks like once it is in lower case, and is encoded without them.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        self.parts = Tokenizer.from_file(path)
+        self.parts.encode_special_tokens = True
         self.plain = Tokenizer(self.full.model)
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -50,6 +55,10 @@ class WordEncoder:
         self.size = max(vocab.values()) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for word, i in vocab.items() if word.endswith("</w>")]] = True
+        self.added = {token.content: i for i, token in self.full.get_added_tokens_decoder().items()}
+        self.cut = "|".join(map(re.escape, self.added))
+        # An added token's word has an upper-case letter, which no other word has.
+        self.marks = {content: f"T{i}" for content, i in self.added.items()}
         self._forget()
 
     def _forget(self) -> None:
@@ -58,6 +67,7 @@ class WordEncoder:
         self.start = np.zeros(1 << 18, np.int64)
         self.length = np.zeros(1 << 18, np.int64)
         self.used = 0
+        self._remember(list(self.marks.values()), np.array(list(self.added.values()), np.uint32), np.ones(len(self.marks), np.int64))
 
     def _remember(self, words: list[str], ids: np.ndarray, length: np.ndarray) -> None:
         n, k = len(self.slot), len(words)
@@ -89,7 +99,7 @@ class WordEncoder:
             ends = np.flatnonzero(self.ends[ids])  # one id that ends a word for each word
             self._remember(plain, ids, np.diff(ends, prepend=-1))
         if odd:
-            found = [x.ids for x in self.full.encode_batch_fast(odd, add_special_tokens=False)]
+            found = [x.ids for x in self.parts.encode_batch_fast(odd, add_special_tokens=False)]
             ids = np.array([i for x in found for i in x], np.uint32)
             self._remember(odd, ids, np.array([len(x) for x in found], np.int64))
         if alias:
@@ -98,9 +108,20 @@ class WordEncoder:
             self._remember(words, np.zeros(0, np.uint32), self.length[same])
             self.start[n : n + len(words)] = self.start[same]
 
+    def _lowered(self, texts: pa.Array) -> pa.Array:
+        """The texts in lower case, with a mark between spaces for each added token of the raw text."""
+        lowered = pc.ascii_lower(texts)
+        if not self.added or not pc.any(has := pc.match_substring_regex(texts, self.cut)).as_py():
+            return lowered
+        marked = [
+            "".join(f" {self.marks[p]} " if p in self.marks else p.translate(_ASCII_UPPER) for p in re.split(f"({self.cut})", t))
+            for t in texts.filter(has).to_pylist()
+        ]
+        return pc.replace_with_mask(lowered, has, pa.array(marked, lowered.type))
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and the offset of each text; null is empty."""
-        spaced = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), _BEHIND, r"\1 \2")
+        spaced = pc.replace_substring_regex(self._lowered(pc.fill_null(texts, "")), _BEHIND, r"\1 \2")
         lists = pc.ascii_split_whitespace(spaced)
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()

@@ -6,6 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tokenizers import Tokenizer
+
 import corpus_pipeline
 from stratavid.llm import queries
 from stratavid.llm.common import components
@@ -23,6 +25,11 @@ def words():
     return WordEncoder(vocabulary_path())
 
 
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(vocabulary_path())
+
+
 def plain_ids(words, text):
     return np.array(words.full.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
@@ -51,6 +58,19 @@ def test_encoder_equals_the_library_on_any_text(words, some):
         assert ids[bounds[n] : bounds[n + 1]].tolist() == plain_ids(words, text)[:-1].tolist()
 
 
+ADDED = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endoftext|", "T49407", "t49407", "Σ", "é", "\u0301", "'s", " ", "Word,"]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ADDED) | st.text(max_size=4), max_size=8).map("".join), max_size=5))
+def test_encoder_equals_an_unmodified_library_on_added_tokens(words, library, some):
+    some = ["one doc <|endoftext|> next", *(t.encode("utf-8", "ignore").decode() for t in some), "<|ENDOFTEXT|><|startoftext|>A"]
+    ids, bounds = words.encode(pa.array(some, pa.string()))
+    for n, text in enumerate(some):
+        assert ids[bounds[n] : bounds[n + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert ids[: bounds[1]].tolist() == [637, 7251, 49407, 1131]
+
+
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1), max_size=9), max_size=6))
 def test_codes_decode_to_their_values(lists):
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)]).astype(np.int64)
