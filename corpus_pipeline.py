@@ -13,7 +13,7 @@ from stratavid.llm.common import documents, stored
 from stratavid.llm.exact_dedup import drop_copies
 from stratavid.llm.mixing import mixed_rows
 from stratavid.llm.neardup import Rule, drop_near
-from stratavid.llm.packing import pack
+from stratavid.llm.packing import pack, written_order
 from stratavid.llm.quality import keep_good, train
 
 
@@ -38,8 +38,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of at most 4096 tokens, filled with neighbours of the mixture."""
-    return pack(docs).drop("ids")
+    """Windows of at most 4096 tokens, filled with neighbours of the mixture and numbered along it."""
+    return pack(written_order(docs.select("doc_id", "text"))).drop("ids")
 
 
 STAGES = [

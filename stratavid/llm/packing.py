@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,6 +106,26 @@ def _levelled(parts: list[list[tuple[int, int, int]]], capacity: int) -> list[li
     return out
 
 
+def written_order(docs: DataFrame) -> DataFrame:
+    """Rows of part files in the order they were written in: by part number, file and row.
+
+    A scan sorts files by size and puts several into a task, so an order over all files must be
+    restored, by ranges: task numbers ascend with it. Rows that are no plain scan of files have
+    no such place, and stay as they are.
+    """
+    try:
+        placed = docs.select(
+            "*",
+            F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long").alias("_part"),
+            F.col("_metadata.file_name").alias("_file"),
+            F.col("_metadata.row_index").alias("_row"),
+        )
+    except AnalysisException:
+        return docs
+    place = ["_part", "_file", "_row"]
+    return placed.repartitionByRange(*place).sortWithinPartitions(*place).drop(*place)
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -119,8 +140,9 @@ def pack(
 
     Each task packs its own input split, a group of about ``group_tokens`` at a time, so nothing is
     shuffled, a hot source changes nothing, and memory is bounded by a group and one document.
-    Neighbours in the input share windows, so an order given by an earlier step holds. Less than
-    one window of padding is left per group. Sequence numbers are unique and start anew with each
+    Neighbours in the input share windows, and groups ascend with the input's partitions; an order over
+    part files is restored by ``written_order`` first. Less than one window of padding is left per
+    group. Sequence numbers are unique and start anew with each
     task's number in the upper bits; a task that runs again gives the same rows.
 
     Nulls: a null text is empty and has the end id alone; a null id stays null. Repeated rows are

@@ -12,7 +12,7 @@ import corpus_pipeline
 from stratavid.llm import queries
 from stratavid.llm.common import components
 from stratavid.llm.mixing import mix, mixed_rows
-from stratavid.llm.packing import differencing, pack, pack_lengths
+from stratavid.llm.packing import differencing, pack, pack_lengths, written_order
 from stratavid.llm.token_output import decode_values, encode_values, read_token_files, write_token_files
 from stratavid.llm.tokens import WordEncoder, vocabulary_path
 from stratavid.llm.warc import derivatives, plain_text, read_warc, responses, write_warc
@@ -286,6 +286,31 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, words, texts):
     check_packing(packing(spark, four, SF_DIR).collect(), {i: plain_ids(words, texts[i]) for i in alone})
 
 
+def test_packing_follows_the_mixture_over_part_files(spark, tmp_path):
+    path, sizes = str(tmp_path / "mixture"), [30, 2000, 5, 800, 1, 400]
+    bounds = np.cumsum([0, *sizes]).tolist()
+    for n, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:])):
+        made = spark.range(lo, hi, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word', id, ' '), 20) AS text", "'s' AS source")
+        made.write.parquet(f"{path}-{n}")
+        (file,) = (tmp_path / f"mixture-{n}").glob("part-*.parquet")
+        (tmp_path / "mixture").mkdir(exist_ok=True)
+        (tmp_path / "mixture" / f"part-{99998 + n:05d}-x-c000.snappy.parquet").write_bytes(file.read_bytes())
+    adaptive = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(adaptive)
+    spark.conf.set(adaptive, "false")
+    try:
+        docs = spark.read.parquet(path)
+        assert [r["doc_id"] for r in written_order(docs).collect()] == list(range(bounds[-1]))
+        rows = corpus_pipeline.packing(spark, docs, SF_DIR).collect()
+    finally:
+        spark.conf.set(adaptive, before)
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(r["sequence_id"] >> 32, set()).add(r["doc_id"])
+    assert len(tasks) > 1
+    assert [i for t in sorted(tasks) for i in sorted(tasks[t])] == list(range(bounds[-1]))
+
+
 def test_pipeline_runs_as_one(spark, words, texts):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     check_packing(rows, {i: plain_ids(words, texts[i]) for i in {r["doc_id"] for r in rows}})
