@@ -22,6 +22,10 @@ KINDS = ("assign", "access", "hex")
 SAMPLE_DOCS = 20_000
 EXAMPLES = 300
 PLAIN_EACH, PLAIN = 2, 1500
+# Share of a kind's credentials that may lie below what counts as its format, and rounds of sorting
+# bare credentials out of the plain examples.
+FLOOR = 0.02
+ROUNDS = 5
 # Confidence of the test that keeps two states apart.
 ALPHA = 0.01
 # A candidate is a run of so many credential characters at least.
@@ -181,17 +185,20 @@ def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
 
 @dataclass
 class Grammar:
-    """An automaton for each kind, one for plain candidates, and the excess that marks a secret."""
+    """An automaton for each kind with the least likelihood its format has, and one for plain candidates."""
 
     kinds: dict[str, Automaton]
+    floors: dict[str, float]
     plain: Automaton
-    least: float
 
     def score(self, symbols: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best excess over the plain automaton, and the number of the kind that has it."""
+        """Best excess over the plain automaton, and the number of the kind that has it.
+
+        Only kinds whose format a run has count; without any the excess is minus infinity.
+        """
         own = np.stack([a.likelihood(symbols, starts, lengths) for a in self.kinds.values()])
-        best = own.argmax(axis=0)
-        return own.max(axis=0) - self.plain.likelihood(symbols, starts, lengths), best
+        own[own < np.array([[self.floors[k]] for k in self.kinds])] = -math.inf
+        return own.max(axis=0) - self.plain.likelihood(symbols, starts, lengths), own.argmax(axis=0)
 
 
 def runs(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -215,7 +222,7 @@ def find(grammar: Grammar | None, texts: list[str]) -> list[tuple[list[Span], li
     if len(starts):
         excess, kind = grammar.score(symbols, starts, lengths)
         names = list(grammar.kinds)
-        for n in np.flatnonzero(excess > grammar.least).tolist():
+        for n in np.flatnonzero(excess > 0).tolist():
             text = int(np.searchsorted(at, starts[n], side="right")) - 1
             start = len(raw[text][: starts[n] - at[text]].decode())
             more[text].append((names[kind[n]], start, start + int(lengths[n])))
@@ -226,7 +233,7 @@ def find(grammar: Grammar | None, texts: list[str]) -> list[tuple[list[Span], li
 
 
 def examples(text: str) -> list[tuple[str, str]]:
-    """Labelled credentials of the text by kind, and up to PLAIN_EACH candidates that are none."""
+    """Labelled credentials of the text by kind, and up to PLAIN_EACH candidates without a label."""
     found = base_matches(text)
     out = [(kind, credential) for kind, _, _, credential in found]
     raw = text.encode()
@@ -264,31 +271,31 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gr
     return fit(picked)
 
 
+def _laid(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols of all pieces, and start and length of each."""
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    return _SYMBOL[np.frombuffer("\n".join(pieces).encode(), np.uint8)], np.cumsum(lengths + 1) - lengths - 1, lengths
+
+
 def fit(picked: dict[str, list[str]]) -> Grammar | None:
-    """The automata, and the excess that no plain example reaches and most credentials do.
+    """The automata. A secret has a kind's format and is likelier as that kind than as plain text.
 
-    Half of the plain examples train their automaton, and all set the border; it lies halfway between
-    the highest plain example and the median credential above it, and a secret is always likelier as
-    a credential than as plain text.
+    A run has the format of a kind if all but the least likely FLOOR of its labelled credentials are no
+    likelier. Plain examples only lack a label, so those that would be secrets themselves are taken out
+    and the plain automaton is inferred anew, until none is left or ROUNDS are over.
     """
     kinds = {k: infer(picked[k]) for k in KINDS if len(picked.get(k, [])) >= 5}
-    plain = picked.get("plain", [])
     if not kinds:
         return None
-    grammar = Grammar(kinds, infer(plain[::2] or ["plainwords"]), math.inf)
-
-    def scores(pieces: list[str]) -> np.ndarray:
-        if not pieces:
-            return np.zeros(0)
-        joined = "\n".join(pieces).encode()
-        lengths = np.array([len(p) for p in pieces])
-        return grammar.score(_SYMBOL[np.frombuffer(joined, np.uint8)], np.cumsum(lengths + 1) - lengths - 1, lengths)[0]
-
-    good = scores([p for k in kinds for p in picked[k]])
-    top = max(scores(plain), default=0.0)
-    above = good[good > top]
-    if len(above):
-        grammar.least = max(0.0, float((top + np.median(above)) / 2))
+    floors = {k: float(np.quantile(a.likelihood(*_laid(picked[k])), FLOOR)) for k, a in kinds.items()}
+    plain = picked.get("plain", [])
+    grammar = Grammar(kinds, floors, infer(plain or ["plainwords"]))
+    for _ in range(ROUNDS):
+        bare = grammar.score(*_laid(plain))[0] > 0 if plain else np.zeros(0, bool)
+        if not bare.any():
+            break
+        plain = [p for p, out in zip(plain, bare) if not out]
+        grammar.plain = infer(plain or ["plainwords"])
     return grammar
 
 

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from stratavid.llm import pii, queries, secrets
@@ -205,6 +206,25 @@ def test_inferred_grammar_tells_credentials_from_words():
     assert secrets.find(grammar, ["", word()]) == [([], []), ([], [])]
 
 
+@pytest.mark.parametrize("bare_share", [0.01, 0.3])
+def test_bare_credentials_of_a_labelled_format_are_found(bare_share):
+    draw = random.Random(6)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    make = lambda: "".join(draw.choice(letters) for _ in range(32))
+    word = lambda: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randrange(12, 20)))
+    bare = [make() for _ in range(int(1000 * bare_share))]
+    texts = [f"password={make()} and {word()} {word()}" for _ in range(200)] + [f"{word()} is {b} here" for b in bare]
+    texts += [f"{word()} {word()}" for _ in range(600)]
+    picked = {}
+    for kind, piece in {x: None for t in texts for x in secrets.examples(t)}:
+        picked.setdefault(kind, []).append(piece)
+    assert set(bare) <= set(picked["plain"])  # unlabelled, so they lie among the plain examples
+    found = secrets.find(secrets.fit(picked), texts)
+    added = {t[s:e] for t, (own, every) in zip(texts, found) for _, s, e in every[len(own) :]}
+    assert len(added & set(bare)) >= 0.9 * len(bare)
+    assert len(added - set(bare)) <= 5  # plain words
+
+
 def test_automaton_recovers_a_repeating_format():
     draw = random.Random(8)
     grammar = secrets.infer(["".join(draw.choice("0123") + "-" for _ in range(draw.randrange(3, 9))) for _ in range(300)])
