@@ -50,7 +50,7 @@ def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 def window_hashes(words: pa.Array, bounds: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of every window inside one text: 64 hash bits, 16 bits of a second hash, its text and its start.
+    """Of every window inside one text: 64 hash bits, 32 bits of a second hash, its text and its start.
 
     Both are polynomials of the words' 128-bit digests modulo 2**64. They are built by doubling: a
     hash of 2k words from two of k, so a window of 20 words takes five multiplications.
@@ -65,10 +65,10 @@ def window_hashes(words: pa.Array, bounds: np.ndarray, window: int) -> tuple[np.
     doc = np.repeat(np.arange(len(count), dtype=np.int32), fits)
     start = (np.arange(total) - np.repeat(np.cumsum(fits) - fits, fits)).astype(np.int32)
     if not total:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint16), doc, start
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), doc, start
     first = np.repeat(bounds[:-1], fits) + start
     lanes = [_polynomial(value[at, n], window, BASES[n])[first] for n in (0, 1)]
-    return lanes[0], (lanes[1] >> np.uint64(48)).astype(np.uint16), doc, start
+    return lanes[0], (lanes[1] >> np.uint64(32)).astype(np.uint32), doc, start
 
 
 def _polynomial(values: np.ndarray, window: int, base: int) -> np.ndarray:
@@ -132,7 +132,7 @@ def _few(doc: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray
     return ids[used], rows[used], number[doc]
 
 
-ENTRY_KINDS = (np.uint64, np.uint16, np.int32, np.int32)  # hash deltas, second hash, document, start
+ENTRY_KINDS = (np.uint64, np.uint32, np.int32, np.int32)  # hash deltas, second hash, document, start
 REMOVED_KINDS = (np.int32, np.int32)  # document, start
 
 
@@ -330,7 +330,7 @@ def repeated_passages(
     A word goes where a window of ``window`` words covers it whose sequence also starts earlier: in a
     smaller id, or earlier in the same one.
 
-    1. Every window is hashed (two polynomials, 80 bits). A task sorts its windows and sends each
+    1. Every window is hashed (two polynomials, 96 bits). A task sorts its windows and sends each
        sequence once, with its first place, to a bucket of the hash space: bounded messages of sorted
        differences, so a passage that a third of the rows share reaches its bucket once per flush.
     2. A bucket compares the first places of equal hashes and answers to a bucket of documents.
@@ -338,7 +338,7 @@ def repeated_passages(
 
     The number of buckets follows the bytes of text, so a bucket holds about ``bucket_bytes`` of it at
     any size. Equal hashes count as equal sequences: among n windows some pair is taken for equal
-    wrongly with a chance of about n**2 / 2**81 (130 million windows: 1e-8; 8e9, 30 GB: 3e-5).
+    wrongly with a chance of about n**2 / 2**97 (8e9 windows, 30 GB: 4e-10; 2.5e13, 100 TB: 4e-3).
 
     Null and empty texts and those of fewer words than a window have no interval. Null ids come before
     all others. Rows of one id are told apart by their texts and compared by start alone; repeated
