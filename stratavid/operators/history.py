@@ -154,6 +154,57 @@ def extend_open(
     ).select(*opened.columns)
 
 
+def merge_late(
+    versions: DataFrame,
+    late: DataFrame,
+    observed: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    check_cols: Sequence[str],
+) -> DataFrame:
+    """Versions after observations that arrive late: older than versions that are stored already.
+
+    ``late`` has at least the keys and times of the late rows, ``observed`` every daily row (one per key
+    and day, the late ones included) of the keys in ``late``; days before a key's first late
+    one are not needed, and rows of other keys are passed over. Loading in any order
+    gives what one rebuild from all rows gives.
+
+    A late row falls into the version that was valid then and cuts it. From that day on the key's
+    versions are derived anew, as sightings between two stored versions count too; what ended
+    before is kept, and so is every version of the other keys. A version that ended without a
+    successor (a key that was gone) still ends there.
+    """
+    attributes = [c for c in versions.columns if c not in (VALID_FROM, VALID_TO, "is_current")]
+    versions = versions.select(*attributes, VALID_FROM, VALID_TO)
+    cuts = late.groupBy(*keys).agg(F.date_trunc("day", F.min(ts)).cast(versions.schema[VALID_FROM].dataType).alias("__cut"))
+    untouched = versions.join(cuts, list(keys), "left_anti")
+    along = Window.partitionBy(*keys).orderBy(VALID_FROM)
+    touched = versions.join(cuts, list(keys)).withColumn("__next", F.lead(VALID_FROM).over(along))
+    settled = F.col(VALID_TO) < F.col("__cut")
+    kept = touched.filter(settled)
+    redone = touched.filter(~F.coalesce(settled, F.lit(False)))
+
+    def events(rows: DataFrame, at: str, alive: bool) -> DataFrame:
+        return rows.select(*attributes, F.col(at).alias("__at"), F.lit(alive).alias("__alive"))
+
+    cut_version = redone.filter(F.col(VALID_FROM) < F.col("__cut"))
+    gone = redone.filter(F.col(VALID_TO).isNotNull() & ~F.col(VALID_TO).eqNullSafe(F.col("__next")))
+    seen = observed.join(cuts, list(keys)).filter(F.col(ts) >= F.col("__cut"))
+    all_events = events(cut_version, VALID_FROM, True).unionByName(events(seen, ts, True)).unionByName(events(gone, VALID_TO, False))
+    # At equal times the end comes first: who is seen then is back.
+    order = Window.partitionBy(*keys).orderBy("__at", "__alive")
+    state = F.when(F.col("__alive"), F.struct(*check_cols))
+    compared = all_events.withColumn("__state", F.struct("__alive", state.alias("s"))).withColumn(
+        "__before", F.lag("__state").over(order)
+    )
+    changes = compared.filter(F.col("__before").isNull() | ~F.col("__state").eqNullSafe(F.col("__before")))
+    derived = changes.withColumn("__until", F.lead("__at").over(order)).filter("__alive")
+    return (
+        untouched.unionByName(kept.select(*untouched.columns))
+        .unionByName(derived.select(*attributes, F.col("__at").alias(VALID_FROM), F.col("__until").alias(VALID_TO)))
+    )
+
+
 def versioned_view(snapshot: DataFrame) -> DataFrame:
     """Versions with an ``is_current`` flag, which stored versions already carry."""
     if "is_current" in snapshot.columns:

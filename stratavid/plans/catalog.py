@@ -31,6 +31,7 @@ from stratavid.operators import quality
 from stratavid.operators.history import (
     asof_join,
     extend_open,
+    merge_late,
     merge_open,
     scd2_history,
     scd2_merge,
@@ -50,10 +51,11 @@ from stratavid.operators.snapshot import SnapshotRules, clean_channels, silver_s
 from stratavid.operators.star import calendar, date_dim, date_spine
 from stratavid.operators.tokens import token_rows
 from stratavid.plans import adhoc, analytics, checks, gold, secure, silver
-from stratavid.plans.layers import Layers, StoredLayers
+from stratavid.plans.layers import Layers, StoredLayers, scratch_folder
 from stratavid.plans.raw import CHANNEL_TIEBREAK, part_duration
 from stratavid.plans.silver import CHANNEL_RULES
 from stratavid.sources.files import (
+    read_many_csv,
     read_parquet,
     rejected_rows,
     tolerant_parse,
@@ -62,8 +64,10 @@ from stratavid.sources.files import (
 from stratavid.sources.payloads import (
     flatten_channel_payload,
     flatten_video_payload,
+    rejected_items,
     rejected_payloads,
 )
+from stratavid.sources.sinks import write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 _BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {}
@@ -129,8 +133,8 @@ def json_flatten(w: Layers) -> DataFrame:
     )
 
 
-def _channel_items(w: Layers) -> DataFrame:
-    """Channel observations as items of API payloads."""
+def _channel_items(w: Layers, *more: str) -> DataFrame:
+    """Channel observations as items of API payloads, with ``more`` columns of theirs."""
     r = w.raw_channels
     item = F.struct(
         F.col("channelId").alias("id"),
@@ -157,7 +161,7 @@ def _channel_items(w: Layers) -> DataFrame:
             F.struct(F.array("country", "defaultLanguage").alias("topicCategories")),
         ).alias("topicDetails"),
     )
-    return r.select(F.floor(F.col("o_orderkey") / 8).alias("payload_id"), item.alias("item"))
+    return r.select(F.floor(F.col("o_orderkey") / 8).alias("payload_id"), item.alias("item"), *more)
 
 
 def _landed(items: DataFrame) -> DataFrame:
@@ -188,6 +192,60 @@ def payload_rejects(w: Layers) -> DataFrame:
     return rejected_payloads(_landed(_channel_items(w)), "payload", "channel").select("payload_id", "reason")
 
 
+def _spoilt_payloads(w: Layers) -> DataFrame:
+    """Payloads whose items are channels by order key, every 17th of four kinds spoilt."""
+    items = _channel_items(w, "o_orderkey")
+    kind = F.col("o_orderkey") % 17
+    text = (
+        F.when(kind == 0, "5")
+        .when(kind == 1, "null")
+        .when(kind == 2, F.to_json(F.struct("item.snippet", "item.statistics")))
+        .when(kind == 3, F.to_json(F.struct("item.id", F.col("item.snippet.title").alias("snippet"))))
+        .otherwise(F.to_json("item"))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("o_orderkey", text.alias("text"))))
+    body = F.concat(F.lit('{"items": ['), F.array_join(ordered["text"], ", "), F.lit("]}"))
+    return items.groupBy("payload_id").agg(body.alias("payload"))
+
+
+@query
+def payload_item_rejects(w: Layers) -> DataFrame:
+    """The bad items of payloads that have good ones too: where they stand, and why they are bad."""
+    return rejected_items(_spoilt_payloads(w), "payload", "channel").select("payload_id", "position", "item_reason")
+
+
+@query
+def payload_items_kept(w: Layers) -> DataFrame:
+    """The good items of payloads that have bad ones too."""
+    rows = flatten_channel_payload(_spoilt_payloads(w), "payload", w.as_of)
+    return rows.select("channelId", "title", "views", "videos", "publishedAt", "topics")
+
+
+@query
+def csv_files_drift(w: Layers) -> DataFrame:
+    """Orders landed as CSV files of three layouts: as agreed, reordered with a column more, and with one fewer."""
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    orders = w.source("orders").select(*columns)
+    folder = scratch_folder(w.spark, "landed")
+    third = F.pmod("o_orderkey", F.lit(3))
+    layouts = {
+        "base": orders.filter(third == 0),
+        "batch0": orders.filter(third == 1).select(
+            "o_orderpriority", F.concat(F.lit("a \"note\",\n"), "o_custkey").alias("note"), "o_custkey", "o_orderkey", "o_orderstatus"
+        ),
+        "batch1": orders.filter(third == 2).drop("o_orderpriority"),
+    }
+    for name, rows in layouts.items():
+        write_csv(rows, f"{folder}/{name}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    read = read_many_csv(w.spark, f"{folder}/base", [f"{folder}/batch0", f"{folder}/batch1"], schema, rescued="others")
+    return read.select(
+        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+        F.col("o_custkey").cast("bigint").alias("o_custkey"),
+        "o_orderstatus", "o_orderpriority", F.col("others")["note"].alias("note"),
+    )
+
+
 @query
 def video_payload_flatten(w: Layers) -> DataFrame:
     """Video observations written as API payloads, then flattened again."""
@@ -579,6 +637,21 @@ def scd2_asof_join(w: Layers) -> DataFrame:
     return asof_join(orders, versions, "o_custkey", "v_custkey", "o_orderdate", w.as_of).drop("v_custkey")
 
 
+@query
+def scd2_late_rows(w: Layers) -> DataFrame:
+    """Customers' status versions where a third of the orders arrive after the others, in two late loads."""
+    orders = _order_history(w)
+    third = F.col("o_orderkey") % 6
+    arrived, keys, checked = orders.filter(~third.isin(0, 3)), ["o_custkey"], ["o_orderstatus"]
+    versions = _order_versions(w, arrived)
+    for load in (0, 3):
+        late = orders.filter(third == load)
+        arrived = arrived.unionByName(late)
+        days = daily_latest(arrived.join(late.select(*keys).distinct(), keys, "left_semi"), keys, "o_orderdate", ["o_orderkey"])
+        versions = merge_late(versions, late, days, keys, "o_orderdate", checked)
+    return versioned_view(versions)
+
+
 LOADS = ("1995-06-01", "1998-06-01")
 
 

@@ -89,6 +89,12 @@ class Layers:
         return gold.fact_video_performance(self.stg_videos, self.dim_video, self.dim_channel)
 
 
+def scratch_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder name in the shared folder; in a local one only for a local master without that setting."""
+    local = spark.sparkContext.master.startswith("local[")
+    return f"{shared_folder(spark, tempfile.gettempdir() if local else None)}/{tag}-{uuid.uuid4().hex}"
+
+
 STORED = (
     "stg_channels", "stg_videos", "dim_channel", "dim_video", "dim_keyword", "dim_tag",
     "bridge_channel_keyword", "bridge_video_tag", "fact_channel_metrics", "fact_video_performance",
@@ -103,8 +109,7 @@ class StoredLayers(Layers):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
-        local = spark.sparkContext.master.startswith("local[")
-        self.folder = f"{shared_folder(spark, tempfile.gettempdir() if local else None)}/layers-{uuid.uuid4().hex}"
+        self.folder = scratch_folder(spark, "layers")
 
 
 def _written(name: str) -> cached_property:

@@ -404,6 +404,23 @@ _SQL = {
         SELECT DISTINCT o_orderkey // 8 AS payload_id,
                CASE WHEN (o_orderkey // 8) % 30 IN (0, 2, 3) THEN 'malformed' ELSE 'no items' END AS reason
         FROM raw_channels WHERE (o_orderkey // 8) % 30 <= 4""",
+    "payload_item_rejects": """
+        SELECT payload_id, CAST(place AS INTEGER) AS position,
+               CASE k WHEN 0 THEN 'not an object' WHEN 1 THEN 'null item' WHEN 2 THEN 'no id'
+                      ELSE 'unreadable snippet' END AS item_reason
+        FROM (SELECT o_orderkey // 8 AS payload_id, o_orderkey % 17 AS k,
+                     row_number() OVER (PARTITION BY o_orderkey // 8 ORDER BY o_orderkey) - 1 AS place
+              FROM raw_channels)
+        WHERE k < 4""",
+    "payload_items_kept": """
+        SELECT channel_id AS "channelId", title, views, videos, CAST(published AS VARCHAR) AS "publishedAt",
+               CASE WHEN lang <> 'F' THEN country || ', ' || lang ELSE '' END AS topics
+        FROM raw_channels WHERE o_orderkey % 17 > 3""",
+    "csv_files_drift": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderkey % 3 < 2 THEN o_orderpriority ELSE '' END AS o_orderpriority,
+               CASE WHEN o_orderkey % 3 = 1 THEN 'a "note",' || chr(10) || o_custkey END AS note
+        FROM orders""",
     "video_payload_flatten": """
         SELECT '2001-12-31 00:00:00' AS ts, video_id AS "videoId", title,
                CAST(published AS VARCHAR) AS "publishedAt", tags, category_id AS "categoryId",
@@ -782,6 +799,7 @@ _SQL = {
 }
 
 
+_SQL["scd2_late_rows"] = _SQL["scd2_history"]
 # Extending history load by load gives what all rows at once give, with the columns of a snapshot.
 _SQL["channel_history_loads"] = _SQL["dim_channel"]
 _SQL["video_history_loads"] = """

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,10 +69,78 @@ def read_csv_infer(spark: SparkSession, path: str, multi_line: bool = True) -> D
 
 
 def read_many_csv(
-    spark: SparkSession, base: str, batches: Sequence[str], schema: T.StructType, multi_line: bool = True
+    spark: SparkSession,
+    base: str,
+    batches: Sequence[str],
+    schema: T.StructType,
+    multi_line: bool = True,
+    fill: str | None = "",
+    rescued: str | None = None,
 ) -> DataFrame:
-    """A base file and its numbered batches in one scan; all share the schema."""
-    return read_csv(spark, [base, *batches], schema, multi_line)
+    """A base file and its numbered batches in one scan, columns matched by the names in each file's header.
+
+    Files may differ in the order of their columns, lack some (texts are ``fill`` then, others null) and have
+    others, which go to the map column ``rescued`` if one is named (name to text, cells that are empty
+    left out). Cells that do not convert to their column's type are null. Paths may be files, folders or wildcards.
+
+    Only the headers are read beforehand, file by file. The scan then reads cells by position, and each
+    row takes those of its file's layout; rows choose among the few layouts there are, and only
+    files of other layouts than the commonest are named in the plan.
+    """
+    layouts = _layouts(spark, [base, *batches], multi_line)
+    if not layouts:
+        raise ValueError("no file to read")
+    ordered = sorted(layouts, key=lambda names: -len(layouts[names]))
+    width = max(map(len, ordered))
+    cells = T.StructType([T.StructField(f"_c{n}", T.StringType()) for n in range(width)])
+    paths = [path for files in layouts.values() for path, _ in files]
+    rows = read_csv(spark, paths, cells, multi_line, fill=None)
+    layout = F.lit(0)
+    for number, names in enumerate(ordered[1:], 1):
+        layout = F.when(F.col("_metadata.file_path").isin([encoded for _, encoded in layouts[names]]), number).otherwise(layout)
+    rows = rows.select("*", layout.alias("__layout"))
+
+    def of_layout(value: Callable[[tuple[str, ...]], Column]) -> Column:
+        chosen = value(ordered[0])
+        for number, names in enumerate(ordered[1:], 1):
+            chosen = F.when(F.col("__layout") == number, value(names)).otherwise(chosen)
+        return chosen
+
+    def cell(name: str) -> Callable[[tuple[str, ...]], Column]:
+        kind = schema[name].dataType
+        empty = F.lit(fill if isinstance(kind, T.StringType) else None).cast(kind)
+        return lambda names: F.coalesce(F.col(f"_c{names.index(name)}").try_cast(kind), empty) if name in names else empty
+
+    def others(names: tuple[str, ...]) -> Column:
+        unknown = [(n, c) for n, c in enumerate(names) if c not in schema.names]
+        pairs = [F.struct(F.lit(c).alias("key"), F.col(f"_c{n}").alias("value")) for n, c in unknown]
+        kind = "array<struct<key: string, value: string>>"
+        entries = F.array(*pairs).cast(kind) if pairs else F.array().cast(kind)
+        return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
+    columns = [of_layout(cell(c)).alias(c, metadata=schema[c].metadata) for c in schema.names]
+    if rescued is not None:
+        columns.append(of_layout(others).alias(rescued))
+    return rows.select(*columns)
+
+
+def _layouts(spark: SparkSession, paths: Sequence[str], multi_line: bool) -> dict[tuple[str, ...], list[tuple[str, str]]]:
+    """Files, each in the plain and the encoded form of its path, by the column names of their headers. Headers are read a few at a time."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*").load(list(paths))
+    # One row per file. The scan knows files by the second, encoded form of their name.
+    files = {r["path"]: r["file_path"] for r in found.select("path", "_metadata.file_path").collect()}
+
+    def names(path: str) -> tuple[str, ...]:
+        reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        return tuple(c.strip() for c in reader.csv(path).columns)
+
+    with ThreadPoolExecutor(16) as pool:
+        headers = dict(zip(files, pool.map(names, files)))
+    layouts: dict[tuple[str, ...], list[tuple[str, str]]] = {}
+    for path, encoded in sorted(files.items()):
+        if headers[path]:
+            layouts.setdefault(headers[path], []).append((path, encoded))
+    return layouts
 
 
 def read_video_batches(

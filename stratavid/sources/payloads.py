@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratavid.functions import join_list, lenient_long, parse_timestamp, truncate
 from stratavid.schemas import CHANNEL_PAYLOAD, VIDEO_PAYLOAD
@@ -18,11 +19,64 @@ def rejected_payloads(payloads: DataFrame, column: str, kind: str) -> DataFrame:
     ``kind`` is ``channel`` or ``video``. A payload is left out if it is no JSON of that kind
     (``malformed``) or holds no items (``no items``); the batch goes on without it.
     """
-    schema = {"channel": CHANNEL_PAYLOAD, "video": VIDEO_PAYLOAD}[kind]
-    reason = _reason(F.from_json(column, schema), F.col(column))
+    reason = _reason(F.from_json(column, _ITEM_TEXTS), F.col(column))
+    _item_schema(kind)
     return payloads.withColumn("reason", reason).filter(F.col("reason").isNotNull())
 
 
+def payload_items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
+    """One row per item of the payloads that have items, good or bad.
+
+    Next to the columns of ``payloads`` (less the payload) it has ``position`` (from 0), ``item_text``
+    (the item as landed), ``item`` (the item read, null where it is bad) and ``item_reason``: why
+    it is bad, or null. Every item is read on its own, so a bad one costs none of its neighbours:
+
+    * ``null item`` and ``not an object``: nothing to read;
+    * ``no id``: without it a row has no key;
+    * ``unreadable <part>``: a part that should be an object is something else.
+    """
+    schema = _item_schema(kind)
+    parsed = F.from_json(column, _ITEM_TEXTS)
+    others = [F.col(c) for c in payloads.columns if c != column]
+    whole = payloads.filter(_reason(parsed, F.col(column)).isNull())
+    texts = whole.select(*others, F.posexplode(parsed["items"]).alias("position", "item_text"))
+    read = texts.withColumn("__item", F.from_json("item_text", schema))
+    parts = [f.name for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    # A part that is there, but of which the reader made nothing.
+    read = read.withColumn("__texts", F.from_json("item_text", ", ".join(f"{p} string" for p in parts)))
+    lost = [
+        F.when(F.col(f"__item.{p}").isNull() & F.col(f"__texts.{p}").isNotNull(), f"unreadable {p}") for p in parts
+    ]
+    text = F.col("item_text")
+    reason = (
+        F.when(text.isNull(), "null item")
+        .when(~F.ltrim(text).startswith("{") | F.col("__item").isNull(), "not an object")
+        .when(F.coalesce(F.trim(F.col("__item.id")), F.lit("")) == "", "no id")
+        .otherwise(F.coalesce(*lost))
+    )
+    judged = read.withColumn("item_reason", reason)
+    return judged.select(
+        *others,
+        "position",
+        "item_text",
+        F.when(F.col("item_reason").isNull(), F.col("__item")).alias("item"),
+        "item_reason",
+    )
+
+
+def rejected_items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
+    """The items that flattening leaves out of otherwise good payloads: their position, text and ``item_reason``."""
+    return payload_items(payloads, column, kind).filter(F.col("item_reason").isNotNull()).drop("item")
+
+
+# Items stay texts at first: one that is no object must not spoil the reading of the others.
+_ITEM_TEXTS = "struct<items: array<string>>"
+
+
+def _item_schema(kind: str) -> T.StructType:
+    return {"channel": CHANNEL_PAYLOAD, "video": VIDEO_PAYLOAD}[kind]["items"].dataType.elementType
+
+
 def _reason(parsed: Column, text: Column) -> Column:
     """Why a payload has no rows, or null. Text that is no JSON parses to no value at all."""
     well_formed = F.get_json_object(text, "$").isNotNull()
@@ -30,10 +84,9 @@ def _reason(parsed: Column, text: Column) -> Column:
     return F.when(~well_formed | text.isNull(), "malformed").when(F.coalesce(items, F.lit(-1)) < 1, "no items")
 
 
-def _items(payloads: DataFrame, column: str, schema) -> DataFrame:
-    parsed = F.from_json(column, schema)
-    good = payloads.filter(_reason(parsed, F.col(column)).isNull())
-    return good.select(F.explode(parsed["items"]).alias("i"))
+def _items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
+    found = payload_items(payloads.select(column), column, kind)
+    return found.filter(F.col("item_reason").isNull()).select(F.col("item").alias("i"))
 
 
 def _text(path: str) -> Column:
@@ -48,14 +101,16 @@ def _flag(path: str) -> Column:
 def flatten_channel_payload(
     payloads: DataFrame, column: str, as_of: Column, description_length: int | None = DESCRIPTION_LENGTH
 ) -> DataFrame:
-    """One raw channel row per item of each JSON payload; ``rejected_payloads`` has the others.
+    """One raw channel row per good item of each JSON payload.
+
+    ``rejected_payloads`` has the payloads without items, ``rejected_items`` the bad items of the others.
 
     Descriptions longer than ``description_length`` are cut; ``None`` keeps them whole.
     """
     description = _text("i.snippet.description")
     if description_length is not None:
         description = truncate(description, description_length)
-    return _items(payloads, column, CHANNEL_PAYLOAD).select(
+    return _items(payloads, column, "channel").select(
         as_of.alias("ts"),
         F.col("i.id").alias("channelId"),
         _text("i.snippet.title").alias("title"),
@@ -78,11 +133,11 @@ def flatten_channel_payload(
 def flatten_video_payload(
     payloads: DataFrame, column: str, as_of: Column, full: bool = False
 ) -> DataFrame:
-    """One raw video row per item of each JSON payload; ``full`` adds the columns of a full file.
+    """One raw video row per good item of each JSON payload; ``full`` adds the columns of a full file.
 
-    ``rejected_payloads`` has the payloads without rows.
+    ``rejected_payloads`` has the payloads without items, ``rejected_items`` the bad items of the others.
     """
-    return _items(payloads, column, VIDEO_PAYLOAD).select(
+    return _items(payloads, column, "video").select(
         as_of.alias("ts"),
         F.col("i.id").alias("videoId"),
         _text("i.snippet.title").alias("title"),

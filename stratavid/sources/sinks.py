@@ -9,8 +9,10 @@ new rows are complete elsewhere before an old one goes.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,10 @@ STATE = "state"
 PART = "part"
 OPEN, CLOSED = "open", "closed"
 
+# Files below the first size are worth joining into files of the second.
+SMALL_FILE = 32 << 20
+TARGET_FILE = 256 << 20
+
 
 def write_csv(df: DataFrame, path: str, max_rows_per_file: int | None = None) -> None:
     """CSV with a header, replacing what is there; optionally a new file every so many rows."""
@@ -56,26 +62,70 @@ def create_or_append(spark: SparkSession, df: DataFrame, table: str) -> None:
 
 
 def create_table_as_select(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Rebuild a catalogue table from a query, which may read it; a failing query leaves it as it was."""
-    fresh = f"{table}__new"
+    """Rebuild a catalogue table from a query, which may read it; a failing query leaves it as it was.
+
+    The old table is set aside by a rename and dropped last, so at any moment one of the two is whole.
+    After a run that was cut off, ``restore_table`` brings back what it set aside; call it
+    before the query is made, as the query may read the table.
+    """
+    restore_table(spark, table)
+    fresh, old = f"{table}__new", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {fresh}")
     df.write.format("parquet").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def restore_table(spark: SparkSession, table: str) -> None:
+    """Undo a rebuild that was cut off between its two renames; else clear what a finished one left."""
+    old = f"{table}__old"
+    if not spark.catalog.tableExists(old):
+        return
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
 
 
 def full_refresh(df: DataFrame, path: str, partition: str | None = None, staging: str | None = None) -> None:
     """Replace a whole table; ``df`` may read it.
 
     The rows are first written to ``staging`` (by default a folder next to the table), so a failing
-    query leaves the table as it was, and they are still there if the replacing copy is cut off.
+    query leaves the table as it was. Until the staged rows are copied whole, a mark beside them says
+    so: after a run that was cut off in the copy, ``finish_refresh`` copies them again. Call it before
+    ``df`` is made, as ``df`` may read the table.
     """
     staging = staging or f"{path.rstrip('/')}__staged"
-    spark = df.sparkSession
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
-    rows = spark.read.schema(df.schema).parquet(staging)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    finish_refresh(df.sparkSession, path, partition, staging)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{staging}/rows")
+    _mark(df.sparkSession, staging, True)
+    _copy_staged(df.sparkSession, path, partition, staging)
+
+
+def finish_refresh(spark: SparkSession, path: str, partition: str | None = None, staging: str | None = None) -> bool:
+    """Copy the rows of a refresh that was cut off after staging them; whether there was one."""
+    staging = staging or f"{path.rstrip('/')}__staged"
+    try:
+        marked = spark.read.schema("staged boolean").json(f"{staging}/mark").first()
+    except AnalysisException:  # nothing was ever staged here
+        return False
+    if marked is None or not marked["staged"]:
+        return False
+    _copy_staged(spark, path, partition, staging)
+    return True
+
+
+def _mark(spark: SparkSession, staging: str, staged: bool) -> None:
+    """Whether the staged rows are whole and wait to be copied."""
+    spark.range(1).select(F.lit(staged).alias("staged")).coalesce(1).write.mode("overwrite").json(f"{staging}/mark")
+
+
+def _copy_staged(spark: SparkSession, path: str, partition: str | None, staging: str) -> None:
+    writer = spark.read.parquet(f"{staging}/rows").write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(partition) if partition else writer).parquet(path)
+    _mark(spark, staging, False)
 
 
 def create_view(df: DataFrame, name: str) -> None:
@@ -157,6 +207,87 @@ def compact_by_month(
     write_by_month(newest, path, date_column)
 
 
+def small_file_months(
+    spark: SparkSession, path: str, small_bytes: int = SMALL_FILE, target_bytes: int = TARGET_FILE
+) -> dict[str, int]:
+    """Months worth compacting, with the number of files they should have.
+
+    Taken from the file listing, no row is read: a month is chosen if it has small files and if
+    packing all its files into ones of ``target_bytes`` would leave fewer.
+    """
+    files = spark.read.parquet(path).select(MONTH, "_metadata.file_path", "_metadata.file_size").groupBy(MONTH, "file_path")
+    sizes = files.agg(F.max("file_size").alias("size")).groupBy(MONTH)
+    months = sizes.agg(
+        F.count("*").alias("files"), F.count_if(F.col("size") < small_bytes).alias("small"), F.sum("size").alias("bytes")
+    ).withColumn("wanted", F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1)))
+    rows = months.filter("small > 0 AND wanted < files").select(F.col(MONTH).cast("string"), "wanted").collect()
+    return {r[0]: r[1] for r in rows}  # one row per calendar month at most
+
+
+def compact_small_files(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    version: str,
+    date_column: str,
+    tiebreak: Sequence[str] = (),
+    small_bytes: int = SMALL_FILE,
+    target_bytes: int = TARGET_FILE,
+) -> dict[str, int]:
+    """Compact only the months that ``small_file_months`` chooses, and give them back; no other file changes.
+
+    Keeps the last write per key. A month's rows are dealt by ranges of its keys into as many files as their
+    bytes ask for, so files hold narrow ranges of keys and a hot month becomes many files.
+    """
+    chosen = small_file_months(spark, path, small_bytes, target_bytes)
+    if chosen:
+        rows = spark.read.parquet(path).filter(F.col(MONTH).cast("string").isin(list(chosen)))
+        newest = with_month(latest_by_key(rows.drop(MONTH), keys, version, tiebreak), date_column)
+        dealt = newest.repartitionByRange(sum(chosen.values()), MONTH, *keys).sortWithinPartitions(MONTH, *keys)
+        writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(MONTH).parquet(path)
+    return chosen
+
+
+def expire_months(spark: SparkSession, path: str, date_column: str, as_of: Column, days: int = 90) -> list[str]:
+    """Delete from a table in place the rows whose retention has run out; the months that were changed.
+
+    Whole expired months are dropped as partitions, unread. Only the month the border runs through is
+    rewritten, and only if a row of it expired. Files of live months stay as they are. A run that is
+    cut off leaves expired rows for the next one to delete, and no live row goes.
+    """
+    border = spark.range(1).select(F.date_sub(as_of, days).alias("d")).select(F.col("d"), year_month("d").alias("m")).first()
+    table = f"expiring_{uuid.uuid4().hex}"
+    spark.catalog.createTable(table, path, "parquet")
+    try:
+        spark.catalog.recoverPartitions(table)
+        months = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        changed = sorted(m for m in months if m < border["m"])
+        for month in changed:
+            _drop_month(spark, table, month)
+        if border["m"] in months:
+            part = spark.read.parquet(path).filter(F.col(MONTH) == border["m"]).drop(MONTH)
+            live = part.filter(F.col(date_column) > F.lit(border["d"]))
+            counts = part.agg(F.count("*").alias("n"), F.count_if(F.col(date_column) > F.lit(border["d"])).alias("live")).first()
+            if counts["live"] == 0 < counts["n"]:
+                _drop_month(spark, table, border["m"])
+            elif counts["live"] < counts["n"]:
+                publish(with_month(live, date_column), path, MONTH)
+            if counts["live"] < counts["n"]:
+                changed.append(border["m"])
+    finally:
+        spark.sql(f"DROP TABLE {table}")  # the name alone: the files were there before it
+    return changed
+
+
+def _drop_month(spark: SparkSession, table: str, month: str) -> None:
+    """Empty one partition of a table whose files are not the catalogue's own."""
+    fields = [f for f in spark.table(table).schema if f.name != MONTH]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields)
+    spark.sql(f"INSERT OVERWRITE {table} PARTITION ({MONTH} = '{month}') SELECT {nothing} FROM range(0)")
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({MONTH} = '{month}')")
+
+
 def rewrite_retained(
     spark: SparkSession, path: str, target: str, date_column: str, as_of: Column, days: int = 90
 ) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from stratavid.operators.history import (
     asof_join,
     extend_open,
+    merge_late,
     scd2_history,
     scd2_merge,
     scd2_merge_timestamp,
@@ -178,3 +179,55 @@ def test_merging_day_by_day_equals_one_rebuild(frame, observed):
     assert rows_of(matched, "id", "title", "ts") == rows_of(rows(observed), "id", "title", "ts")
     opened = [r for r in rows_of(rebuilt) if r[4] is None]
     assert len(opened) == len({o[0] for o in observed})
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(observations, st.randoms())
+def test_loads_in_any_order_equal_one_rebuild(frame, observed, chance):
+    """Late rows cut versions, also where a sighting in between left no version of its own."""
+
+    def rows(chosen):
+        return frame(OBSERVED, *[(k, v, "", datetime.combine(d, datetime.min.time()).isoformat()) for k, v, d in chosen])
+
+    chance.shuffle(observed)
+    cut = chance.randint(0, len(observed))
+    versions, arrived = history(rows(observed[:cut])), observed[:cut]
+    for load in (observed[cut::2], observed[cut + 1 :: 2]):
+        arrived = arrived + load
+        versions = merge_late(versions, rows(load), rows(arrived), ["id"], "ts", ["title"])
+    assert rows_of(versions) == rows_of(history(rows(observed)))
+
+
+def test_late_rows_keep_the_ends_of_keys_that_were_gone(frame):
+    versions = frame(
+        VERSIONS,
+        ("a", "A", "", "2024-01-01", "2024-01-05"), ("a", "B", "", "2024-01-08", "2024-01-20"),
+        ("b", "A", "", "2024-01-01", None),
+    )
+    late = frame(OBSERVED, ("a", "C", "", "2024-01-03"))
+    seen = frame(OBSERVED, ("a", "A", "", "2024-01-01"), ("a", "C", "", "2024-01-03"), ("a", "B", "", "2024-01-08"),
+                 ("c", "Z", "", "2024-01-02"))
+    assert rows_of(merge_late(versions, late, seen, ["id"], "ts", ["title"])) == [
+        ("a", "A", "", "2024-01-01 00:00:00", "2024-01-03 00:00:00"),
+        ("a", "B", "", "2024-01-08 00:00:00", "2024-01-20 00:00:00"),
+        ("a", "C", "", "2024-01-03 00:00:00", "2024-01-05 00:00:00"),
+        ("b", "A", "", "2024-01-01 00:00:00", None),
+    ]
+    # A late row of the day on which a key had gone brings it back, until it changes again.
+    back = frame(OBSERVED, ("a", "A", "", "2024-01-05"))
+    seen = seen.unionByName(back).filter("title <> 'C'")
+    assert rows_of(merge_late(versions, back, seen, ["id"], "ts", ["title"]).filter("id = 'a'"), "title", "valid_from", "valid_to") == [
+        ("A", "2024-01-01 00:00:00", "2024-01-05 00:00:00"),
+        ("A", "2024-01-05 00:00:00", "2024-01-08 00:00:00"),
+        ("B", "2024-01-08 00:00:00", "2024-01-20 00:00:00"),
+    ]
+
+
+def test_a_late_row_moves_the_days_observation(frame):
+    """A newer row of a stored day takes its place, so the version starts later."""
+    versions = history(frame(OBSERVED, ("a", "A", "", "2024-01-01 10:00:00"), ("a", "B", "", "2024-01-02 10:00:00")))
+    late = frame(OBSERVED, ("a", "B", "", "2024-01-02 12:00:00"))
+    seen = frame(OBSERVED, ("a", "A", "", "2024-01-01 10:00:00"), ("a", "B", "", "2024-01-02 12:00:00"))
+    assert rows_of(merge_late(versions, late, seen, ["id"], "ts", ["title"]), "title", "valid_from") == [
+        ("A", "2024-01-01 10:00:00"), ("B", "2024-01-02 12:00:00"),
+    ]

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratavid.functions import parse_timestamp
 from stratavid.operators.history import merge_open
@@ -29,8 +30,14 @@ from stratavid.sources.files import (
     tolerant_parse,
     union_batches,
 )
-from stratavid.sources.payloads import flatten_channel_payload, flatten_video_payload, rejected_payloads
-from tests.conftest import rows_of
+from stratavid.sources.payloads import (
+    flatten_channel_payload,
+    flatten_video_payload,
+    payload_items,
+    rejected_items,
+    rejected_payloads,
+)
+from tests.conftest import final_plan, rows_of
 
 
 def at(text):
@@ -197,7 +204,7 @@ def test_catalogue_tables(spark, frame):
     sinks.create_or_append(spark, frame("a int", (3,)), "t_grown")
     assert rows_of(spark.table("t_grown")) == [(1, "x"), (2, "y"), (3, None)]
     with pytest.raises(Exception, match="no good"):
-        sinks.create_table_as_select(spark, spark.range(1).select(F.raise_error(F.lit("no good")).alias("a")), "t_rebuilt")
+        sinks.create_table_as_select(spark, spark.range(0, 1, 1, 1).select(F.raise_error(F.lit("no good")).alias("a")), "t_rebuilt")
     assert rows_of(spark.table("t_rebuilt")) == [(2, "y")]
     sinks.create_table_as_select(spark, spark.table("t_rebuilt").select("b"), "t_rebuilt")
     assert rows_of(spark.table("t_rebuilt")) == [("y",)]
@@ -322,3 +329,140 @@ def test_stored_versions(spark, frame, tmp_path):
     store(spark.createDataFrame(gone.collect(), gone.schema), "r-mar")
     assert sinks.read_open_versions(stored()).count() == 0
     assert sinks.read_versions(stored()).count() == 4
+
+
+# --- items and files that drift ---
+
+
+def test_bad_items_cost_none_of_their_neighbours(frame):
+    items = [
+        {"id": "a", "snippet": {"title": "T"}}, 5, None, {"kind": "no id"}, {"id": " "}, {"id": "b", "snippet": "text"},
+        {"id": "c", "statistics": [1]}, "text", [1], {"id": "d", "snippet": None}, {"id": "e"},
+    ]
+    payloads = frame(
+        "n int, j string", (1, json.dumps({"items": items})), (2, '{"items": [7]}'), (3, '{"items": {"id": "x"}}'), (4, None)
+    )
+    found = rows_of(rejected_items(payloads, "j", "channel"), "n", "position", "item_reason", "item_text")
+    assert [r[:3] for r in found] == [
+        (1, 1, "not an object"), (1, 2, "null item"), (1, 3, "no id"), (1, 4, "no id"), (1, 5, "unreadable snippet"),
+        (1, 6, "unreadable statistics"), (1, 7, "not an object"), (1, 8, "not an object"), (2, 0, "not an object"),
+    ]
+    assert found[4][3] == '{"id":"b","snippet":"text"}'
+    kept = flatten_channel_payload(payloads, "j", at("2024-06-01"))
+    assert rows_of(kept, "channelId", "title") == [("a", "T"), ("d", ""), ("e", "")]
+    assert rows_of(rejected_payloads(payloads, "j", "channel"), "n", "reason") == [(3, "no items"), (4, "malformed")]
+    assert payload_items(payloads, "j", "channel").count() == 12
+
+
+def test_csv_files_of_other_layouts_are_matched_by_name(spark, tmp_path):
+    folder = tmp_path / "with space"
+    folder.mkdir()
+    texts = {
+        "base.csv": 'id,title,n\n1,"x\ny",3\n2,b,\n',
+        "batch0.csv": "title,id,n\nsecond,3,5\n",
+        "batch1.csv": "extra,id,title,more\nE,4,four,\n,5,five,M\n",
+        "batch2.csv": "id\n6\n",
+        "batch3.csv": "n, title ,id\nbad,seven,7\n",
+    }
+    for name, text in texts.items():
+        (folder / name).write_text(text)
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("title", T.StringType()), T.StructField("n", T.IntegerType())])
+    df = read_many_csv(spark, f"{folder}/base.csv", [f"{folder}/batch[01].csv", f"{folder}/batch2.csv", f"{folder}/batch3.csv"],
+                       schema, rescued="others")
+    assert rows_of(df) == [
+        ("1", "x\ny", 3, {}), ("2", "b", None, {}), ("3", "second", 5, {}), ("4", "four", None, {"extra": "E"}),
+        ("5", "five", None, {"more": "M"}), ("6", "", None, {}), ("7", "seven", None, {}),
+    ]
+    assert final_plan(df).count("FileScan csv") == 1
+    with pytest.raises(Exception, match="(?i)path|exist"):
+        read_many_csv(spark, f"{folder}/none.csv", [], schema)
+
+
+# --- maintenance ---
+
+
+def data_files(folder):
+    return {str(p.relative_to(folder)): (p.stat().st_mtime_ns, p.stat().st_ino) for p in folder.rglob("*.parquet")}
+
+
+def test_expiry_drops_months_and_leaves_live_files_alone(spark, frame, tmp_path):
+    table = tmp_path / "t x"
+    rows = [(n, f"2024-{m:02d}-{d:02d}", n) for n, (m, d) in enumerate([(1, 5), (2, 9), (3, 1), (3, 20), (4, 2), (5, 3)])]
+    sinks.write_by_month(dated(frame, *rows), str(table), "day")
+    before = data_files(table)
+    expire = lambda day: sinks.expire_months(spark, str(table), "day", F.lit(day).cast("date"), 30)
+    days = lambda: [r[0] for r in rows_of(spark.read.parquet(str(table)), "day")]
+    assert expire("2024-04-10") == ["202401", "202402", "202403"]  # the border is 11 March
+    assert days() == ["2024-03-20", "2024-04-02", "2024-05-03"]
+    after = data_files(table)
+    live = [p for p in before if p.startswith(("yyyymm=202404", "yyyymm=202405"))]
+    assert len(live) == 2 and all(after[p] == before[p] for p in live)
+    assert not [p for p in after if p.startswith(("yyyymm=202401", "yyyymm=202402"))]
+    assert expire("2024-04-10") == [] and data_files(table) == after  # nothing left to do
+    assert expire("2024-05-02") == ["202403", "202404"] and days() == ["2024-05-03"]  # a border month without live rows
+    assert spark.read.parquet(str(table)).columns == ["id", "day", "v", "yyyymm"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("expiring")]
+
+
+def test_compaction_rewrites_only_months_with_small_files(spark, frame, tmp_path):
+    table = tmp_path / "t"
+    one = lambda day, v: dated(frame, *[(n, day, v) for n in range(50)])
+    for v in (1, 2, 3):  # three small files in each of two months, one in another
+        for day in ("2024-01-01", "2024-02-01"):
+            sinks.write_by_month(one(day, v).coalesce(1), str(table), "day", "append", sort_by=["id"])
+    sinks.write_by_month(one("2024-03-01", 1).coalesce(1), str(table), "day", "append", sort_by=["id"])
+    before = data_files(table)
+    sizes = sinks.small_file_months(spark, str(table))
+    assert set(sizes) == {"202401", "202402"} and set(sizes.values()) == {1}
+    assert sinks.small_file_months(spark, str(table), small_bytes=1) == {}  # none is that small
+    kept = rows_of(read_table_latest(spark, str(table), ["id", "day"], "v"), "id", "day", "v")
+    assert sinks.compact_small_files(spark, str(table), ["id", "day"], "v", "day") == sizes
+    after = data_files(table)
+    assert rows_of(spark.read.parquet(str(table)), "id", "day", "v") == kept and len(kept) == 150
+    assert len(after) <= 4 < len(before)
+    assert [p for p in before if p in after] == [p for p in before if p.startswith("yyyymm=202403")]
+    assert sinks.compact_small_files(spark, str(table), ["id", "day"], "v", "day", small_bytes=1) == {}
+
+
+class CutOff(Exception):
+    pass
+
+
+def cut_off(*_, **__):
+    raise CutOff
+
+
+def test_a_rebuild_cut_off_at_any_statement_loses_nothing(spark, frame, monkeypatch):
+    sinks.create_table_as_select(spark, frame("a int", (1,)), "t_cut")
+    whole = type(spark).sql
+    for step in ("DROP TABLE IF EXISTS t_cut__new", "ALTER TABLE t_cut RENAME", "ALTER TABLE t_cut__new", "DROP TABLE IF EXISTS t_cut__old"):
+        value = spark.table("t_cut").first()["a"]
+
+        def until(self, query, *args, **more):
+            return cut_off() if query.startswith(step) else whole(self, query, *args, **more)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(type(spark), "sql", until)
+            with pytest.raises(CutOff):
+                sinks.create_table_as_select(spark, spark.table("t_cut").select((F.col("a") + 1).alias("a")), "t_cut")
+        sinks.restore_table(spark, "t_cut")
+        done = spark.table("t_cut").first()["a"]
+        assert done == value + (step == "DROP TABLE IF EXISTS t_cut__old")
+        sinks.create_table_as_select(spark, spark.table("t_cut").select((F.col("a") + 1).alias("a")), "t_cut")
+        assert [r["a"] for r in spark.table("t_cut").collect()] == [done + 1]
+
+
+def test_a_refresh_cut_off_in_its_copy_is_finished_from_the_staged_rows(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    assert sinks.finish_refresh(spark, path) is False
+    sinks.full_refresh(frame("a int", (1,)), path)
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, "_copy_staged", cut_off)
+        with pytest.raises(CutOff):
+            sinks.full_refresh(spark.read.parquet(path).select((F.col("a") + 1).alias("a")), path)
+    spark.range(0).select(F.col("id").cast("int").alias("a")).write.mode("overwrite").parquet(path)  # half a copy
+    assert sinks.finish_refresh(spark, path) is True
+    assert rows_of(spark.read.parquet(path)) == [(2,)]
+    assert sinks.finish_refresh(spark, path) is False
+    sinks.full_refresh(spark.read.parquet(path).select((F.col("a") + 1).alias("a")), path)
+    assert rows_of(spark.read.parquet(path)) == [(3,)]
