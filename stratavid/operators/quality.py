@@ -1,12 +1,13 @@
 """Declarative data checks.
 
 Each gives rows ``(check, column, severity, failing_rows)``; a check fails where
-``failing_rows > 0``. All row-level checks of a table share one pass over it.
+``failing_rows > 0``. All row-level checks of a table share one pass over it, and with
+``check_entries`` and ``verdicts`` all checks of all tables do, key checks included.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -93,6 +94,70 @@ def _verdict(failing: DataFrame, check: str, column: str, severity: str) -> Data
     )
 
 
+@dataclass(frozen=True)
+class KeyCheck:
+    """A check on the values of a key column: that they are ``unique``, or that a parent has them.
+
+    Without a relation it is a uniqueness check. ``relation`` names what child and parent share.
+    """
+
+    column: str
+    severity: str = ERROR
+    relation: str | None = None
+
+
+STATE = "rule string, value string, own bigint, known bigint"
+
+
+def check_entries(
+    table: str, df: DataFrame, rows: Sequence[RowCheck], keys: Sequence[KeyCheck], parent_of: Mapping[str, str] = {}
+) -> DataFrame:
+    """What one pass over a table says about its checks, and about those that refer to it: STATE, not yet summed.
+
+    A failing row is an entry of its check, a key value one of its rule with the rows that hold it.
+    ``parent_of`` maps relations to the key columns of ``df`` that know their values.
+    """
+
+    def entry(rule: str, when: Column, value: Column, own: int, known: int) -> Column:
+        return F.when(when, F.struct(F.lit(rule).alias("rule"), value.cast("string").alias("value"),
+                                     F.lit(own).cast("bigint").alias("own"), F.lit(known).cast("bigint").alias("known")))
+
+    nothing = F.lit(None)
+    found = [entry(f"{table} row {i}", c.fails, nothing, 1, 0) for i, c in enumerate(rows)]
+    found += [entry(f"{table} key {i}" if k.relation is None else k.relation, F.col(k.column).isNotNull(), F.col(k.column), 1, 0)
+              for i, k in enumerate(keys)]
+    found += [entry(relation, F.col(c).isNotNull(), F.col(c), 0, 1) for relation, c in parent_of.items()]
+    return df.select(F.inline(F.array_compact(F.array(*found))))
+
+
+def check_state(entries: DataFrame) -> DataFrame:
+    """Entries summed by rule and value. States add up: that of a table is the state of its partitions' states."""
+    return entries.groupBy("rule", "value").agg(F.sum("own").alias("own"), F.max("known").alias("known"))
+
+
+def verdicts(state: DataFrame, declared: Sequence[tuple[str, Sequence[RowCheck], Sequence[KeyCheck]]]) -> DataFrame:
+    """The report (with ``table``) of the declared checks, (table, row checks, key checks) each, from their state."""
+    totals = state.groupBy("rule").agg(
+        F.sum("own").alias("rows"),
+        F.count_if(F.col("own") > 1).alias("repeated"),
+        F.sum(F.when(F.col("known") == 0, F.col("own")).otherwise(0)).alias("orphans"),
+    )
+    lines = []
+    for table, rows, keys in declared:
+        lines += [(table, c.check, c.column, c.severity, f"{table} row {i}", "rows") for i, c in enumerate(rows)]
+        for i, k in enumerate(keys):
+            unique_ = k.relation is None
+            rule = f"{table} key {i}" if unique_ else k.relation
+            lines.append((table, "unique" if unique_ else "relationships", k.column, k.severity, rule, "repeated" if unique_ else "orphans"))
+    names = "table string, check string, column string, severity string, rule string, counted string"
+    listed = state.sparkSession.createDataFrame(lines, names)
+    counted = F.when(F.col("counted") == "rows", F.col("rows")).when(F.col("counted") == "repeated", F.col("repeated"))
+    failing = F.coalesce(counted.otherwise(F.col("orphans")), F.lit(0)).cast("bigint")
+    # One line per declared check on either side.
+    joined = listed.join(F.broadcast(totals), "rule", "left")
+    return joined.select("table", "check", "column", "severity", failing.alias("failing_rows"))
+
+
 def report(table: str, results: Sequence[DataFrame]) -> DataFrame:
     """One report for the check results of a table."""
     rows = reduce(DataFrame.unionByName, results)

@@ -984,7 +984,7 @@ def dq_channel_star_report(w: Layers) -> DataFrame:
         "dim_keyword": w.dim_keyword,
         "bridge_channel_keyword": w.bridge_channel_keyword,
     }
-    return reduce(DataFrame.unionByName, checks.check_gold(tables))
+    return checks.check_gold(tables)
 
 
 @query
@@ -998,4 +998,4 @@ def dq_video_star_report(w: Layers) -> DataFrame:
         "bridge_video_tag": w.bridge_video_tag,
     }
     parents = {"dim_channel": w.dim_channel, "dim_date": dim_date(w)}
-    return reduce(DataFrame.unionByName, checks.check_gold(tables | parents, only=tuple(tables)))
+    return checks.check_gold(tables | parents, only=tuple(tables))

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from stratavid.operators.quality import (
     WARN,
+    KeyCheck,
     RowCheck,
     accepted_range,
+    check_entries,
+    check_state,
     not_null,
-    relationships,
     report,
     row_checks,
     unique,
+    verdicts,
 )
 
 # The declared columns, keys and relations.
@@ -87,24 +91,46 @@ def _check_staging(table: str, df: DataFrame, key: str, checks: list[RowCheck])
     return report(table, [row_checks(df, checks), unique(df, key, WARN)])
 
 
-def check_gold(tables: dict[str, DataFrame], only: Sequence[str] | None = None) -> list[DataFrame]:
-    """One report per gold table of ``tables``, or per table named in ``only``.
+Declared = list[tuple[str, list[RowCheck], list[KeyCheck]]]
 
-    Every relation declared for a reported table is checked; a parent that is not given is an error.
-    """
-    reports = []
-    for name in tables if only is None else only:
-        df = tables[name]
+
+def gold_checks(only: Sequence[str]) -> Declared:
+    """The declared checks of the named gold tables."""
+    declared = []
+    for name in only:
         rows = [not_null(c) for c in REQUIRED[name]]
         if name == "fact_video_performance":
             rows.append(accepted_range("view_count", 0))
-        results = [row_checks(df, rows)]
-        if name in UNIQUE:
-            results.append(unique(df, UNIQUE[name]))
-        for child, column, parent in RELATIONS:
-            if child == name:
-                if parent not in tables:
-                    raise ValueError(f"{child}.{column} refers to {parent}, which is not given")
-                results.append(relationships(df, column, tables[parent], column))
-        reports.append(report(name, results))
-    return reports
+        keys = [KeyCheck(UNIQUE[name])] if name in UNIQUE else []
+        keys += [KeyCheck(column, relation=_relation(name, column, parent)) for child, column, parent in RELATIONS if child == name]
+        declared.append((name, rows, keys))
+    return declared
+
+
+def _relation(child: str, column: str, parent: str) -> str:
+    return f"{child}.{column} in {parent}"
+
+
+def gold_state(tables: dict[str, DataFrame], only: Sequence[str]) -> DataFrame:
+    """The state of all checks on the tables named in ``only``: one pass over each table, parents included.
+
+    Every relation declared for them is checked; a parent that is not given is an error.
+    """
+    entries = []
+    declared = {name: (rows, keys) for name, rows, keys in gold_checks(only)}
+    asked = [r for r in RELATIONS if r[0] in declared]
+    for child, column, parent in asked:
+        if parent not in tables:
+            raise ValueError(f"{child}.{column} refers to {parent}, which is not given")
+    for name, df in tables.items():
+        rows, keys = declared.get(name, ([], []))
+        parent_of = {_relation(*r): r[1] for r in asked if r[2] == name}
+        if rows or keys or parent_of:
+            entries.append(check_entries(name, df, rows, keys, parent_of))
+    return check_state(reduce(DataFrame.unionByName, entries))
+
+
+def check_gold(tables: dict[str, DataFrame], only: Sequence[str] | None = None) -> DataFrame:
+    """Report on the gold tables of ``tables``, or on those named in ``only``, from one pass over each table."""
+    names = tuple(tables if only is None else only)
+    return verdicts(gold_state(tables, names), gold_checks(names))

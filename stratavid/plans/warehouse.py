@@ -25,12 +25,13 @@ from pyspark.sql import types as T
 
 from stratavid.functions import surrogate_key
 from stratavid.operators.history import VALID_FROM, VALID_TO, extend_open, merge_open
-from stratavid.operators.incremental import above_mark, evolve_schema
+from stratavid.operators.incremental import above_mark, evolve_schema, high_water_mark
 from stratavid.operators.quality import enforce
 from stratavid.operators.star import calendar, date_spine
 from stratavid.operators.tokens import token_rows
 from stratavid.plans import checks, gold, silver
 from stratavid.plans.descriptions import DESCRIPTIONS
+from stratavid.schemas import RAW_CHANNELS, RAW_VIDEOS
 from stratavid.sources import sinks
 from stratavid.sources.files import category_seed
 
@@ -351,14 +352,102 @@ class Warehouse:
             self._upsert(run, name, built.filter(day >= last if options["restate"] else day > last), ["id"], sort)
         self._note(run, "done")
 
+    def expire(
+        self, as_of: Column, days: int = 90, tables: tuple[str, ...] = ("stg_channels", "stg_videos")
+    ) -> dict[str, list[str]]:
+        """Delete the rows of dated tables whose retention has run out; per table the months that changed.
+
+        Live months are neither read nor written. History, dimensions and (unless they are named) facts keep
+        what they took from expired rows; a later ``build`` from raw rows would not have them.
+        """
+        dated = ("stg_channels", "stg_videos", "fact_channel_metrics", "fact_video_performance")
+        if set(tables) - set(dated):
+            raise ValueError(f"only {', '.join(dated)} expire")
+        pending = self._pending()
+        if pending:
+            self._carry_out(*pending)
+        return {name: sinks.expire_months(self.spark, self.path(name), "date_key", as_of, days) for name in tables}
+
+    def compact(self, small_bytes: int = sinks.SMALL_FILE, target_bytes: int = sinks.TARGET_FILE) -> dict[str, dict[str, int]]:
+        """Join the small files of the staging tables, month by month where that leaves fewer."""
+        return {
+            name: sinks.compact_small_files(
+                self.spark, self.path(name), [self.rules[name].key, "date_key"], "loaded_at", "date_key",
+                small_bytes=small_bytes, target_bytes=target_bytes,
+            )
+            for name in self.rules
+        }
+
+    def take_batch(self, batch: str, raw_channels: DataFrame | None, raw_videos: DataFrame | None, as_of: Column,
+                   channel_tiebreak: tuple[str, ...] = (), video_tiebreak: tuple[str, ...] = ()) -> bool:
+        """Refresh from a named batch of raw rows, once: a batch that is done is passed over; whether it was taken.
+
+        Rows that are not newer than what is stored cannot be refreshed from; they are not lost but set aside
+        under the batch's name (``late_rows``), where a replay puts them again.
+        """
+        label = f"batch {batch}"
+        pending = self._pending()
+        if pending:
+            self._carry_out(*pending)
+        done = {r.run for r in self.log() if r.step == "done"}
+        begun = [r for r in self.log() if r.step == "begun" and r.run in done]
+        if any((n := json.loads(r.note))["load"] == label and n["generation"] == self.generation for r in begun):
+            return False
+        for name, raw in (("stg_channels", raw_channels), ("stg_videos", raw_videos)):
+            if raw is not None:
+                self._set_aside(name, raw, batch)
+        # A side without rows of its own takes none of those that are stored.
+        nothing = {"stg_channels": RAW_CHANNELS, "stg_videos": RAW_VIDEOS}
+        sides = {"stg_channels": raw_channels, "stg_videos": raw_videos}
+        sides = {n: self.spark.createDataFrame([], nothing[n]) if raw is None else raw for n, raw in sides.items()}
+        self.refresh(
+            sides["stg_channels"], sides["stg_videos"], as_of, label,
+            channel_tiebreak if raw_channels is not None else (), video_tiebreak if raw_videos is not None else (),
+        )
+        return True
+
+    def _set_aside(self, name: str, raw: DataFrame, batch: str) -> None:
+        """Write the rows at or below the mark to the batch's folder of late rows."""
+        stored = self._read(name)
+        recent = stored.filter(F.col(sinks.MONTH) == stored.select(F.max(sinks.MONTH)).scalar())
+        late = raw.filter(F.col("ts") <= high_water_mark(recent, "loaded_at"))
+        late.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path('late-' + name)}/batch={batch}")
+
+    def late_rows(self, name: str) -> DataFrame:
+        """Raw rows of ``stg_channels`` or ``stg_videos`` that batches brought too late, with their ``batch``.
+
+        ``merge_late`` takes them into a history, a ``build`` into everything.
+        """
+        return self.spark.read.parquet(self.path(f"late-{name}"))
+
+    def files(self) -> DataFrame:
+        """Where the tables are and what they hold: generation, table, path, data_files, bytes, rows, current.
+
+        One line per table and generation, from the file listing and the files' own row counts; no column is read.
+        """
+        lines = []
+        for run in dict.fromkeys(r.run for r in self.log() if r.step == "built"):
+            tables = {r.step.split("/", 1)[1] for r in self.log() if r.step.startswith(f"schema g-{run}/")}
+            for table in sorted(tables):
+                path = f"{self.root}/g-{run}/{table}"
+                try:
+                    stats = sinks.table_stats(self.spark.read.parquet(path))
+                except AnalysisException:  # an operator removed this generation, or the table has no file
+                    continue
+                totals = stats.agg(F.count("*").alias("data_files"), F.sum("file_size").alias("bytes"), F.sum("row_count").alias("rows"))
+                names = {"generation": f"g-{run}", "table": table, "path": path}
+                lines.append(totals.select(*(F.lit(v).alias(c) for c, v in names.items()), *totals.columns,
+                                           F.lit(f"g-{run}" == self.generation).alias("current")))
+        return reduce(DataFrame.unionByName, lines)
+
     def check(self) -> DataFrame:
         """Report of every declared check; raises if one of severity error fails."""
         names = (
             "fact_channel_metrics", "fact_video_performance", "dim_channel", "dim_video", "dim_date",
             "dim_keyword", "dim_tag", "bridge_channel_keyword", "bridge_video_tag",
         )
-        reports = checks.check_gold({n: getattr(self, n) for n in names})
-        reports += [
+        reports = [
+            checks.check_gold({n: getattr(self, n) for n in names}),
             checks.check_stg_channels(self.stg_channels),
             checks.check_stg_videos(self.stg_videos),
         ]

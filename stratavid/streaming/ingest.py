@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stratavid.operators.latest import latest_by_key
 from stratavid.operators.snapshot import SnapshotRules, silver_snapshot
+from stratavid.plans.warehouse import Warehouse
 from stratavid.sources.sinks import touched_months, write_by_month
 
 
@@ -80,6 +81,30 @@ def daily_snapshot_stream(
     )
 
 
+def star_stream(
+    raw: DataFrame, kind: str, store: Warehouse, as_of: Column, checkpoint: str, name: str = "", tiebreak: tuple[str, ...] = ()
+) -> StreamingQuery:
+    """Feed a stream of raw ``channel`` or ``video`` rows into staging, history, bridges and facts, then stop.
+
+    Each micro-batch is a refresh that the store takes once, by the stream's ``name`` (else its kind) and the
+    batch's number: one that was cut off is finished from the rows it had taken, one that is replayed is
+    passed over. A store has one writer at a time, so run two streams into one store after one another.
+    """
+    if kind not in ("channel", "video"):
+        raise ValueError("a stream has channel or video rows")
+
+    def load(batch: DataFrame, number: int) -> None:
+        sides = {f"raw_{kind}s": batch, f"{kind}_tiebreak": tiebreak}
+        store.take_batch(f"{name or kind}-{number}", **({"raw_channels": None, "raw_videos": None} | sides), as_of=as_of)
+
+    return (
+        raw.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def _table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds a table, on whatever file system it names."""
     try:

@@ -4,8 +4,11 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from stratavid.operators.history import merge_late
+from stratavid.operators.latest import daily_latest
+from stratavid.operators.quality import KeyCheck, check_entries, check_state, not_null, verdicts
 from stratavid.operators.sizing import broadcast_small
-from stratavid.plans import catalog
+from stratavid.plans import catalog, gold
 from stratavid.plans.layers import Layers
 from stratavid.plans.raw import CHANNEL_TIEBREAK, VIDEO_TIEBREAK
 from stratavid.plans import silver
@@ -14,7 +17,8 @@ from stratavid.schemas import RAW_CHANNELS, RAW_VIDEOS
 from stratavid.session import shared_folder
 from stratavid.sources import sinks
 from stratavid.sources.sinks import descriptions, touched_months
-from tests.conftest import rows_of
+from stratavid.streaming.ingest import landed_files, star_stream
+from tests.conftest import final_plan, rows_of
 from tests.test_oracle import SF_DIR
 
 SPLIT = "2000-06-01"
@@ -331,3 +335,106 @@ def test_last_day_can_be_restated(spark, frame, tmp_path):
         ("2024-01-01 08:00:00", "2024-01-01 22:00:00"), ("2024-01-01 22:00:00", None),
     ]
     assert rows_of(store.dim_channel, "valid_from", "valid_to") == [("2024-01-01 08:00:00", None)]
+
+
+# --- streams, expiry, compaction and files of a store ---
+
+
+def land_days(landed, folder):
+    """The rows of each day as one file per side, in order of time."""
+    for first, days in zip(("", "2024-01-02"), ("2024-01-02", "9999")):
+        for name, df in zip(("channels", "videos"), landed(*DAY2)):
+            df.filter((F.col("ts") >= (first or "2000-01-01")) & (F.col("ts") < days)).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+
+
+def test_streams_fed_file_by_file_equal_a_build(spark, copy, landed, built, tmp_path):
+    """Two micro-batches a side, all replayed once more: the first holds what is stored already."""
+    store = copy(DAY1)
+    land_days(landed, tmp_path)
+    for attempt in ("first", "replayed"):
+        for kind in ("channel", "video"):
+            rows = spark.read.parquet(f"{tmp_path}/{kind}s").schema
+            stream = landed_files(spark, f"{tmp_path}/{kind}s", rows, files_per_batch=1)
+            star_stream(stream, kind, store, clock(), f"{tmp_path}/{attempt}-{kind}").awaitTermination()
+    assert contents(store) == contents(built(DAY2))
+    assert len([r for r in store.log() if r.step == "done"]) == 4  # two batches a side, none twice
+    assert store.late_rows("stg_videos").select("videoId", "batch").collect() == [("v1", "video-0")]
+
+
+def test_a_batch_cut_off_is_finished_when_it_is_replayed(spark, copy, landed, built, monkeypatch):
+    store, step = copy(DAY1), "bridge_video_tag"
+    staged = Warehouse._staged
+
+    def cut(self, run, name, make):
+        if name == step:
+            raise RuntimeError("cut off")
+        return staged(self, run, name, make)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "_staged", cut)
+        with pytest.raises(RuntimeError, match="cut off"):
+            store.take_batch("b-1", *landed(*DAY2), clock())
+    store = Warehouse(spark, store.root, buckets=4)
+    assert store.take_batch("b-1", *landed(*DAY2), clock()) is False  # finished, then passed over
+    assert contents(store) == contents(built(DAY2))
+
+
+def test_rows_that_come_too_late_are_set_aside_and_merged(copy, landed):
+    store = copy(DAY2)
+    late = landed([], [("v1", "L", "x", 9, "2024-01-01 20:00:00"), ("v9", "N", "x", 1, "2023-12-01 20:00:00")])[1]
+    assert store.take_batch("late", None, late, clock()) is True
+    assert rows_of(store.late_rows("stg_videos"), "videoId") == [("v1",), ("v9",)]
+    history = store._versions("snapshot_video").drop("is_current")
+    rows = gold.video_snapshot_rows(store._silver("stg_videos", store.late_rows("stg_videos"), clock(), ()))
+    stored = gold.video_snapshot_rows(store.stg_videos)
+    seen = daily_latest(stored.unionByName(rows.select(*stored.columns)), ["video_id"], "loaded_at")
+    merged = merge_late(history, rows, seen, ["video_id"], "loaded_at", gold.VIDEO_CHECKS)
+    assert rows_of(merged, "video_id", "title", "valid_from", "valid_to") == [
+        ("v1", "B", "2024-01-02 08:00:00", None), ("v1", "L", "2024-01-01 20:00:00", "2024-01-02 08:00:00"),
+        ("v2", "N", "2024-01-02 09:00:00", None), ("v9", "N", "2023-12-01 20:00:00", None),
+    ]
+
+
+def test_expiry_and_compaction_of_a_store(copy):
+    store = copy(DAY3)
+    assert store.expire(F.lit("2024-04-20").cast("date"), 90) == {"stg_channels": ["202401"], "stg_videos": ["202401"]}
+    assert rows_of(store.stg_videos, "date_key") == [("2024-02-03",)]
+    assert store.dim_video.filter("video_id = 'v1'").count() == 3  # history keeps its versions
+    assert store.compact() == {"stg_channels": {}, "stg_videos": {}}
+    with pytest.raises(ValueError, match="expire"):
+        store.expire(clock(), tables=("dim_video",))
+
+
+def test_files_lists_every_generation(copy, landed):
+    store = copy(DAY1)
+    store.build(*landed(*DAY3), clock())
+    lines = store.files().collect()
+    assert len({r["generation"] for r in lines}) == 2 and {r["generation"] for r in lines if r["current"]} == {store.generation}
+    videos = [r["rows"] for r in lines if r["table"] == "stg_videos"]
+    assert videos == [1, 4] and all(r["bytes"] > 0 and r["data_files"] > 0 for r in lines)
+    assert {r["path"] for r in lines if r["current"] and r["table"] == "stg_videos"} == {store.path("stg_videos")}
+
+
+def test_check_states_of_parts_add_up_and_each_table_is_scanned_once(spark, frame, tmp_path):
+    fact = frame("id string, channel_sk string, day string",
+                 ("1", "a", "2024-01-01"), ("1", "b", "2024-02-01"), ("2", None, "2024-01-01"), (None, "z", "2024-02-01"))
+    dim = frame("channel_sk string, n int", ("a", 1), ("b", None))
+    for name, df in (("fact", fact), ("dim", dim)):
+        df.write.parquet(str(tmp_path / name))
+    fact, dim = (spark.read.parquet(str(tmp_path / n)) for n in ("fact", "dim"))
+    keys = [KeyCheck("id"), KeyCheck("channel_sk", "warn", "r")]
+    declared = [("fact", [not_null("id")], keys), ("dim", [not_null("n")], [])]
+
+    def entries(part):
+        return check_entries("fact", part, *declared[0][1:])
+
+    parents = check_entries("dim", dim, declared[1][1], [], {"r": "channel_sk"})
+    whole = verdicts(check_state(entries(fact).unionByName(parents)), declared)
+    assert rows_of(whole) == [
+        ("dim", "not_null", "n", "error", 1), ("fact", "not_null", "id", "error", 1),
+        ("fact", "relationships", "channel_sk", "warn", 1), ("fact", "unique", "id", "error", 1),
+    ]
+    assert final_plan(whole).split("Initial Plan")[0].count("Scan parquet") == 2
+    parts = [check_state(entries(fact.filter(F.col("day") == d))) for d in ("2024-01-01", "2024-02-01")]
+    merged = check_state(parts[0].unionByName(parts[1]).unionByName(check_state(parents)))
+    assert rows_of(verdicts(merged, declared)) == rows_of(whole)
