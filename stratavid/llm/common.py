@@ -73,7 +73,7 @@ def _spot(key: Column, bits: int) -> Column:
 
 
 def components(edges: DataFrame, tag: str) -> DataFrame:
-    """Smallest id reachable over undirected ``edges`` (a, b): one row (id, root) per id.
+    """Smallest id reachable over undirected ``edges`` (a, b): one row (id, root) per id, of any type with an order.
 
     Each round links every node's larger neighbours to the least of its neighbourhood, then its
     smaller ones, which joins a chain in about log n rounds. It ends when every node hangs directly
@@ -86,7 +86,7 @@ def components(edges: DataFrame, tag: str) -> DataFrame:
     )
     while True:
         ends = links.select(F.col("a").alias("id"), F.col("b").alias("up"), F.lit(False).alias("hub")).unionByName(
-            links.select(F.col("b").alias("id"), F.lit(None).cast("long").alias("up"), F.lit(True).alias("hub"))
+            links.select(F.col("b").alias("id"), F.lit(None).cast(links.schema["b"].dataType).alias("up"), F.lit(True).alias("hub"))
         )
         nodes = stored(
             ends.groupBy("id").agg(F.min("up").alias("root"), F.max("up").alias("other"), F.max("hub").alias("hub")), tag

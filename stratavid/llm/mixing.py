@@ -1,4 +1,4 @@
-"""Mixing sources to target weights by Pfair scheduling. Built-in functions only."""
+"""Mixing sources to target weights by Pfair scheduling. DataFrame and SQL functions only."""
 
 from __future__ import annotations
 
@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from stratavid.llm.common import stored
 
-# Slots of one period, at least; target weights are rounded to its fractions.
-PERIOD = 1024
-# Rows of a source are numbered bucket by bucket, so one source is ranked by this many tasks.
-BUCKETS = 1024
+# Blocks of a schedule, about: rows of a block follow from it unless they are given.
+SLOTS = 1 << 15
+# Rows of a source that are numbered together; a larger source has more such buckets.
+BUCKET_ROWS = 1 << 17
+# Whole numbers that stand for weights: their sum is about this, so decimal fractions are exact.
+WEIGHT_SUM = 10**13
+# Slots by which a window that rounding moved over a whole slot is put back.
+NEAR = 1e-6
 # Target weights are the row counts to this power unless they are given.
 TEMPERATURE = 0.7
 
@@ -27,65 +31,70 @@ def target_weights(counts: DataFrame, weights: dict[str, float] | None, temperat
     return known.withColumn("weight", F.coalesce("weight", missing.cast("double")))
 
 
-def shares(sources: DataFrame, period: int) -> DataFrame:
-    """Slots of each source in one period, by largest remainder with one slot at least.
+def schedule(sources: DataFrame) -> DataFrame:
+    """Pfair schedule of all blocks: one row per slot with i (source), k (block from 0), release and deadline.
 
-    One row per source: source, n, c (slots), last (the last period with a block of the source).
-    """
-    whole = Window.partitionBy(F.lit(0))
-    exact = F.col("weight") / F.sum("weight").over(whole) * F.lit(period)
-    floors = sources.withColumn("exact", exact).withColumn("c", F.greatest(F.floor("exact"), F.lit(1)))
-    left = F.lit(period) - F.sum("c").over(whole)
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(F.col("exact") - F.col("c")), "source"))
-    return floors.withColumn("c", F.col("c") + F.when(rank <= left, 1).otherwise(0)).select("source", "blocks", "c")
-
-
-def templates(sources: DataFrame) -> DataFrame:
-    """Pfair schedule of one period for every set of live sources.
-
-    One row per slot: phase, source, k (block of the source within the period), release, deadline, slot.
-    Block k of a source with c of the period's d slots may not begin before floor((k-1) d / c) and
-    must end by ceil(k d / c). Each slot goes to the released block with the earliest deadline, ties
-    to the source that is first by name; the windows of a fluid schedule can always be met, so
-    a source is never a whole block ahead of or behind its weight.
+    ``sources`` has one row per source: i (from 0, dense), blocks and weight. With the share w of a
+    source among the live ones, its block k may not begin before floor(k / w) and must end by
+    ceil((k + 1) / w), in slots since the live set last changed. Each slot goes to the released
+    block with the earliest deadline, ties to the smaller i. Windows of shares that add up to one can
+    always be met, so at every slot a live source has had its exact share to within less than one block.
+    When a source has no blocks left, the others go on by their shares among themselves.
+
+    Weights enter as whole numbers, so all comparisons are exact; where rounding them would move a window's
+    edge over a whole slot, it is put back. The schedule is one sequence, built by one task
+    from one row per source; about SLOTS steps bound it whatever the number of documents.
     """
-    ends = sources.groupBy("last").agg(F.count("*").alias("ended"))
-    phases = ends.select(
-        F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("last")).alias("phase"), "last"
-    )
-    live = (
-        phases.join(sources.withColumnRenamed("last", "own_last"), F.col("own_last") >= F.col("last"))
-        .groupBy("phase")
-        .agg(F.sort_array(F.collect_list(F.struct("source", "c"))).alias("live"), F.sum("c").alias("d"))
-    )
-    return live.repartition("phase").selectExpr("phase", "live", "d", EDF).selectExpr(
-        "phase", "posexplode(plan) AS (slot, pick)", "live", "d"
-    ).select(
-        "phase",
-        "slot",
-        F.col("d"),
-        F.expr("live[pick.i].source").alias("source"),
-        F.col("pick.k").alias("k"),
-        F.expr("floor((pick.k - 1) * d / live[pick.i].c)").cast("long").alias("release"),
-        F.expr("ceil(pick.k * d / live[pick.i].c)").cast("long").alias("deadline"),
+    total = F.sum("weight").over(Window.partitionBy(F.lit(0)))
+    whole = F.greatest(F.round(F.col("weight") / total * F.lit(WEIGHT_SUM)).cast("long"), F.lit(1).cast("long"))
+    listed = F.array_sort(F.collect_list(F.struct("i", "blocks", "v")))
+    state = sources.withColumn("v", whole).agg(listed.alias("all")).selectExpr(
+        "transform(all, x -> x.v) AS v", "transform(all, x -> x.blocks) AS blocks"
     )
-
-
-# One step per slot: ``done`` has the blocks given to each source so far. Of the sources whose next
-# block is released (floor(done d / c) <= slot), the least (deadline, number) wins.
-EDF = """
+    planned = state.where("size(v) > 0").selectExpr(f"{EDF} AS plan")
+    return planned.selectExpr("posexplode(flatten(plan)) AS (slot, pick)").select(F.col("slot").cast("long").alias("slot"), "pick.*")
+
+
+PICK = "struct<late: int, deadline: bigint, i: int, release: bigint, k: bigint>"
+# Steps that are collected before they join the plan, so that no long array is copied at every step.
+CHUNK = 256
+
+# One step: ``done`` has the blocks a source was given since the live set changed at slot ``since``,
+# ``left`` those it still has, ``own`` its weight while it lives and ``sum`` that of all live ones.
+_NEAR = f"cast(v * {NEAR}D AS bigint)"
+_RELEASE = f"(s.done[i] * s.sum + {_NEAR}) DIV v"
+_CHOICE = f"""
+array_min(transform(s.own, (v, i) -> if(s.left[i] = 0, NULL, named_struct(
+  'late', if({_RELEASE} <= t - s.since, 0, 1),
+  'deadline', s.since + ((s.done[i] + 1) * s.sum + v - 1 - {_NEAR}) DIV v,
+  'i', i,
+  'release', s.since + {_RELEASE},
+  'k', blocks[i] - s.left[i]))))
+"""
+_STEP = f"""
+transform(array({_CHOICE}), w -> if(s.left[w.i] > 1,
+  named_struct('since', s.since, 'sum', s.sum, 'own', s.own,
+    'done', transform(s.done, (n, i) -> if(i = w.i, n + 1, n)),
+    'left', transform(s.left, (n, i) -> if(i = w.i, n - 1, n)),
+    'part', concat(s.part, array(w))),
+  named_struct('since', t + 1, 'sum', s.sum - s.own[w.i], 'own', s.own,
+    'done', transform(s.done, n -> 0L),
+    'left', transform(s.left, (n, i) -> if(i = w.i, 0L, n)),
+    'part', concat(s.part, array(w)))))[0]
+"""
+EDF = f"""
 aggregate(
-  sequence(0L, d - 1),
-  named_struct('done', transform(live, x -> 0L), 'plan', cast(array() AS array<struct<i: int, k: bigint>>)),
-  (s, slot) -> transform(
-    array(array_min(filter(
-      transform(live, (x, i) -> named_struct(
-        'due', if(s.done[i] * d DIV x.c <= slot AND s.done[i] < x.c, ((s.done[i] + 1) * d + x.c - 1) DIV x.c, NULL), 'i', i)),
-      y -> y.due IS NOT NULL))),
-    w -> named_struct(
-      'done', transform(s.done, (n, i) -> if(i = w.i, n + 1, n)),
-      'plan', concat(s.plan, array(named_struct('i', w.i, 'k', s.done[w.i] + 1)))))[0],
-  s -> s.plan) AS plan
+  sequence(0L, (aggregate(blocks, 0L, (a, n) -> a + n) - 1) DIV {CHUNK}L),
+  named_struct('since', 0L, 'sum', aggregate(v, 0L, (a, n) -> a + n), 'own', v, 'done', transform(v, n -> 0L),
+    'left', blocks, 'plan', cast(array() AS array<array<{PICK}>>)),
+  (o, c) -> aggregate(
+    sequence(c * {CHUNK}L, least((c + 1) * {CHUNK}L, aggregate(blocks, 0L, (a, n) -> a + n)) - 1),
+    named_struct('since', o.since, 'sum', o.sum, 'own', o.own, 'done', o.done, 'left', o.left,
+      'part', cast(array() AS array<{PICK}>)),
+    (s, t) -> {_STEP},
+    s -> named_struct('since', s.since, 'sum', s.sum, 'own', s.own, 'done', s.done, 'left', s.left,
+      'plan', concat(o.plan, array(s.part)))),
+  o -> o.plan)
 """
 
 
@@ -95,106 +104,82 @@ def mix(
     order: str = "doc_id",
     weights: dict[str, float] | None = None,
     temperature: float = TEMPERATURE,
-    block: int = 1,
-    period: int = PERIOD,
-    buckets: int = BUCKETS,
+    block: int | None = None,
+    slots: int = SLOTS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """``rows`` as a struct column ``row`` with their place in the mixture; every row exactly once.
 
-    Further columns: source, block (number within the source), cycle, release, deadline and slot
-    (in blocks, over the whole schedule) and position, which orders all rows.
+    Further columns: source, block (number within the source), release, deadline and slot (in blocks,
+    over the whole schedule) and position, which orders all rows.
 
     Rows of a source are put in a pseudo-random but repeatable order and cut into blocks of ``block``
-    rows. Target weights become slots of a period; Pfair windows and earliest deadline first give
-    one schedule per period, so a block's slot follows from its number alone and no task
-    sees a whole source: rows are ranked within (source, hash bucket) and bucket counts are
-    added up. When a source has no blocks left, the others go on by their own weights with a schedule
-    of their own (one per set of live sources). At every slot each live source has had its share to
-    within less than one block; only in a source's last period its missing blocks leave gaps.
+    rows; by default all rows make about ``slots`` blocks. ``schedule`` gives each block its slot: at
+    every slot each live source has had its target share to within less than one block.
 
-    The broadcast tables have one row per (source, bucket) and per (set of live sources, slot).
-    Sources are meant to be names, not keys: a schedule costs sources x period steps.
+    A source is numbered in buckets of about ``bucket_rows`` rows, so a hot source is many buckets, and the counts
+    of the buckets before are added; they meet their bucket's rows in the exchange that numbers them.
+    Broadcast are one row per source and one per block of the schedule, at most about ``slots`` together with
+    the sources: a schedule that ``block`` makes longer than that is an error. Sources are meant to be
+    names, not keys: a schedule costs sources x slots steps.
 
     Nulls: rows with a null source form a source of their own, a null order key sorts first in its
-    bucket. Rows that repeat are all kept. Empty tables give empty results.
+    bucket. Rows that repeat are all kept, in any order among themselves. Long texts only travel along.
+    Empty tables give empty results; columns of any name may be in ``rows``.
     """
     key = F.col(f"row.{source}").cast("string")
     base = rows.select(F.struct("*").alias("row")).select(
-        "row",
-        key.alias("source"),
-        F.xxhash64(F.col(f"row.{order}")).alias("_hash"),
-    ).withColumn("_bucket", F.pmod(F.xxhash64("_hash"), F.lit(buckets)))
-
-    counts = stored(base.groupBy("source", "_bucket").agg(F.count("*").alias("m")), "mix-counts")
-    totals = counts.groupBy("source").agg(F.sum("m").alias("n"))
-    weighed = target_weights(totals, weights, temperature).withColumn(
-        "blocks", F.ceil(F.col("n") / F.lit(block))
+        "row", key.alias("source"), F.xxhash64(F.col(f"row.{order}")).alias("_hash")
     )
-    names = weighed.count()
-    plan = shares(weighed, max(period, 4 * names)).withColumn(
-        "last", F.floor((F.col("blocks") - 1) / F.col("c")).cast("long")
+    totals = stored(base.groupBy("source").agg(F.count("*").alias("n")), "mix-totals")
+    size = totals.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    block = block or max(1, -(-size[0] // slots))
+    if size[0] // block > slots:
+        raise ValueError(f"{size[0]} rows in blocks of {block} make a schedule of more than {slots} slots")
+    number = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.asc_nulls_first("source"))) - 1
+    sources = target_weights(totals, weights, temperature).select(
+        number.alias("i"),
+        "source",
+        F.ceil(F.col("n") / F.lit(block)).alias("blocks"),
+        F.ceil(F.col("n") / F.lit(bucket_rows)).alias("buckets"),
+        "weight",
+    )
+    sources = stored(sources, "mix-sources")
+    plan = stored(schedule(sources), "mix-slots")
+
+    named = sources.select("i", F.col("source").alias("_name"), "buckets")
+    spread = base.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_name"))).select(
+        "row", "source", "_hash", "i", F.pmod(F.xxhash64("_hash"), F.col("buckets")).alias("_bucket")
     )
-    plan = stored(plan, "mix-sources")
-    slots = stored(templates(plan), "mix-slots")
-
-    # The first cycle and slot of each phase.
-    ordered = Window.partitionBy(F.lit(0)).orderBy("last")
-    ends = plan.groupBy("last").agg(F.sum("c").alias("leaving"))
-    phases = ends.select(
-        F.row_number().over(ordered).alias("phase"),
-        F.coalesce(F.lag("last").over(ordered) + 1, F.lit(0).cast("long")).alias("first_cycle"),
-        F.col("last").alias("last_cycle"),
-        F.sum("leaving").over(ordered.rowsBetween(0, Window.unboundedFollowing)).alias("d"),
-    ).withColumn("width", (F.col("last_cycle") - F.col("first_cycle") + 1) * F.col("d"))
-    phases = phases.withColumn(
-        "first_slot",
-        F.coalesce(F.sum("width").over(Window.partitionBy(F.lit(0)).orderBy("phase").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select("phase", "first_cycle", "last_cycle", "first_slot", "d")
-
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_before", F.coalesce(F.sum("m").over(before), F.lit(0))).drop("m")
-    own = offsets.withColumnRenamed("source", "_s1").withColumnRenamed("_bucket", "_b1")
+    counts = stored(spread.groupBy("i", "_bucket").agg(F.count("*").alias("m")), "mix-counts")
+    before = Window.partitionBy("i").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("i", "_bucket", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("_before"))
     local = F.row_number().over(
-        Window.partitionBy("source", "_bucket").orderBy("_hash", F.col(f"row.{order}"), F.xxhash64("row"))
+        Window.partitionBy("i", "_bucket").orderBy("_hash", F.col(f"row.{order}"), F.xxhash64("row"))
     )
     numbered = (
-        base.withColumn("_local", local)
-        .join(F.broadcast(own), F.col("source").eqNullSafe(F.col("_s1")) & (F.col("_bucket") == F.col("_b1")))
+        spread.withColumn("_local", local)
+        .join(offsets.hint("merge"), ["i", "_bucket"])
         .withColumn("_n", F.col("_before") + F.col("_local") - 1)
         .withColumn("block", F.floor(F.col("_n") / F.lit(block)).cast("long"))
     )
-    per_source = plan.select(F.col("source").alias("_s2"), F.col("c").cast("long").alias("_c"))
-    cycled = (
-        numbered.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("_s2")))
-        .withColumn("cycle", F.floor(F.col("block") / F.col("_c")).cast("long"))
-        .withColumn("_k", F.col("block") % F.col("_c") + 1)
-    )
-    phased = cycled.join(
-        F.broadcast(phases.select("phase", "first_cycle", "last_cycle", "first_slot", F.col("d").alias("_d"))),
-        (F.col("cycle") >= F.col("first_cycle")) & (F.col("cycle") <= F.col("last_cycle")),
-    )
-    spots = slots.select(
-        F.col("phase").alias("_p"), F.col("source").alias("_s3"), F.col("k").alias("_k3"),
-        F.col("slot").alias("_slot"), F.col("release").alias("_release"), F.col("deadline").alias("_deadline"),
-    )
-    placed = phased.join(
-        F.broadcast(spots),
-        (F.col("phase") == F.col("_p")) & F.col("source").eqNullSafe(F.col("_s3")) & (F.col("_k") == F.col("_k3")),
-    )
-    start = F.col("first_slot") + (F.col("cycle") - F.col("first_cycle")) * F.col("_d")
+    spots = plan.select("i", F.col("k").alias("block"), "release", "deadline", "slot")
+    placed = numbered.join(F.broadcast(spots), ["i", "block"])
     return placed.select(
         "row",
         "source",
         "block",
-        "cycle",
-        (start + F.col("_release")).alias("release"),
-        (start + F.col("_deadline")).alias("deadline"),
-        (start + F.col("_slot")).alias("slot"),
-        ((start + F.col("_slot")) * F.lit(block) + F.col("_n") % F.lit(block)).alias("position"),
+        "release",
+        "deadline",
+        "slot",
+        (F.col("slot") * F.lit(block) + F.col("_n") % F.lit(block)).alias("position"),
     )
 
 
 def mixed_rows(rows: DataFrame, **options) -> DataFrame:
-    """The rows in the order of the mixture, their columns unchanged, range-partitioned by position."""
+    """The rows in the order of the mixture, their columns unchanged, range-partitioned by position.
+
+    Nulls, ties, repeated rows, long texts, empty tables and clashing names are treated as ``mix`` does.
+    """
     placed = mix(rows, **options)
     return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")

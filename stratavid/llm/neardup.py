@@ -24,8 +24,8 @@ SIEVE_BITS = 26
 # Documents and shingles of one block; two blocks are compared in one task.
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
-# Standing for a null id, below all others.
-NULL_ID = -(1 << 63)
+# Standing for a null id, above all others.
+NULL_ID = (1 << 63) - 1
 
 
 @dataclass(frozen=True)
@@ -120,7 +120,7 @@ def band_keys(shingles: np.ndarray, bounds: np.ndarray, rows: int, bands: int) -
 
 
 def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
-    """id, n (distinct shingles), digest of the set and band keys (null for an empty set) of every text."""
+    """id, tag, n (distinct shingles), digest of the set and band keys (null for an empty set) of every text."""
     rows, bands = rule.bands
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,56 +133,39 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                 offsets = np.concatenate([[0], np.cumsum(np.where(size > 0, bands, 0))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
                 yield pa.record_batch(
-                    [part.column("id"), pa.array(size), pa.array(digest, pa.binary()), lists], ["id", "n", "digest", "bands"]
+                    [part.column("id"), part.column("tag"), pa.array(size), pa.array(digest, pa.binary()), lists],
+                    ["id", "tag", "n", "digest", "bands"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, tag long, n long, digest binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """id, n, digest and the whole set (ascending hashes as bytes) of every text with a shingle."""
+    """n, digest and the whole set (ascending hashes as bytes) of every text with a shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 shingles, bounds = shingle_sets(part.column("text"), words)
-                found = [(i, b - a, xxhash.xxh3_128_digest(shingles[a:b]), shingles[a:b].tobytes())
-                         for i, a, b in zip(part.column("id").to_pylist(), bounds, bounds[1:]) if b > a]
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                columns = zip(*found) if found else [[]] * 4
-                yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["id", "n", "digest", "shingles"])
+                found = [(b - a, xxhash.xxh3_128_digest(shingles[a:b]), shingles[a:b].tobytes())
+                         for a, b in zip(bounds, bounds[1:]) if b > a]
+                kinds = [pa.int64(), pa.binary(), pa.binary()]
+                columns = zip(*found) if found else [[]] * 3
+                yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["n", "digest", "shingles"])
 
-    return docs.mapInArrow(run, "id long, n long, digest binary, shingles binary")
+    return docs.mapInArrow(run, "n long, digest binary, shingles binary")
 
 
-def near_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id (smallest linked id), kept.
-
-    1. Texts with the same shingle set are one class, named by its smallest id.
-    2. Classes that share a band with a bucket's smallest member form candidate groups. A pair at the
-       threshold shares no band with a chance of MISS.
-    3. Every candidate is compared on full sets with the bucket head it shares most bands with.
-    4. What this leaves apart within a candidate group is compared block by block: blocks of bounded
-       size, pairs of blocks in one task each, and only blocks that are not of one component already.
-       A task returns links between components only, so neither pairs nor copies are ever listed.
-    5. Components over all confirmed links.
-
-    Nothing is capped: a group of any size is cut into more blocks. Hot bands and hot copies are
-    pre-aggregated; where rows are joined to them, both sides are written tables that AQE can
-    split. Full sets are built again from the texts of candidates only, which a sieve of fixed
-    size (SIEVE_BITS) selects without a shuffle of the others.
-
-    Nulls and empty texts have no shingles and are linked with nothing. Rows of one id are one
-    document; rows without an id are together one document that comes before all others and whose
-    component_id is null. Empty tables give empty results; further columns are ignored.
-    """
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.col(text_col).alias("text"))
+def _placed(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: id, tag (a hash of its text), n, and the least id and set digest of its component."""
+    text = F.col(text_col)
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("tag"))
     signed = stored(signatures(rows, rule), "near-signatures")
     classes = stored(
-        signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")),
+        signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("least"), F.first("bands").alias("bands")),
         "near-classes",
     )
-    spread = classes.select("rep", F.explode("bands").alias("key"))
+    spread = classes.select(F.col("digest").alias("rep"), F.explode("bands").alias("key"))
     heads = stored(
         spread.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("m")).where("m > 1").drop("m"),
         "near-heads",
@@ -192,32 +175,63 @@ def near_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", te
     pairs = stored(shared.groupBy("rep", "head").agg(F.count("*").alias("bands")), "near-pairs")
     groups = components(pairs.select(F.col("rep").alias("a"), F.col("head").alias("b")), "near-groups")
 
-    ids = stored(sieve(groups, "id", SIEVE_BITS), "near-id-sieve")
+    ids = stored(sieve(groups.join(classes, F.col("id") == F.col("digest")).select("least"), "least", SIEVE_BITS), "near-id-sieve")
     sets = stored(
-        full_sets(sifted(rows, "id", ids, SIEVE_BITS), rule.words)
+        full_sets(sifted(rows.select("id", "text"), "id", ids, SIEVE_BITS), rule.words)
+        .withColumnRenamed("digest", "id")
         .join(groups, "id")
-        .groupBy("id", "digest")
+        .groupBy("id")
         .agg(*(F.first(c).alias(c) for c in ("root", "n", "shingles"))),
         "near-sets",
     )
     first = _links_to_heads(pairs, sets, rule)
     joined = components(first, "near-first")
     rest = _links_in_blocks(sets, joined, rule)
-    linked = components(first.unionByName(rest), "near-all")
+    linked = components(first.unionByName(rest), "near-all").select(F.col("id").alias("digest"), "root")
 
+    known = classes.select("digest", "least")
+    own = F.struct("least", "digest")
+    tops = linked.join(known, "digest").groupBy("root").agg(F.min(own).alias("top"))
     named = stored(
-        classes.select("digest", F.col("rep").alias("id")).join(linked, "id", "left")
-        .select("digest", F.coalesce("root", "id").alias("root")),
+        known.join(linked.join(tops, "root").select("digest", "top"), "digest", "left")
+        .select("digest", F.coalesce("top", own).alias("top")),
         "near-named",
     )
-    placed = signed.where("n > 0").select("id", "n", "digest").join(named, "digest").select("id", "n", "root")
-    alone = signed.where("n = 0").select("id", "n", F.col("id").alias("root"))
+    placed = signed.where("n > 0").select("id", "tag", "n", "digest").join(named, "digest")
+    alone = signed.where("n = 0").select("id", "tag", "n", F.lit(None).cast("binary").alias("digest"))
+    alone = alone.select("*", F.struct(F.col("id").alias("least"), "digest").alias("top"))
+    return placed.select("id", "tag", "n", "digest", "top").unionByName(alone)
+
+
+def near_groups(docs: DataFrame, rule: Rule = Rule(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id (smallest linked id), kept.
+
+    1. Texts with the same shingle set are one class, known by the 128-bit digest of the set.
+    2. Classes that share a band with a bucket's head form candidate groups. A pair at the
+       threshold shares no band with a chance of MISS.
+    3. Every candidate is compared on full sets with the bucket head it shares most bands with.
+    4. What this leaves apart within a candidate group is compared block by block: blocks of bounded
+       size, pairs of blocks in one task each, and only blocks that are not of one component already.
+       A task returns links between components only, so neither pairs nor copies are ever listed.
+    5. Components over all confirmed links.
+
+    Nothing is capped: a group of any size is cut into more blocks. Hot bands and hot copies are
+    pre-aggregated; where rows are joined to them, both sides are written tables that AQE can
+    split. Full sets are built again from the texts of candidates only, which a sieve of fixed
+    size (SIEVE_BITS) selects without a shuffle of the others.
+
+    Nulls and empty texts have no shingles and are linked with nothing. Links join texts, not ids, so rows
+    that repeat an id are each judged by their own text. Rows without an id are linked too; a component's id
+    is the smallest there is in it, null where none of its rows has one, and a row without an id is kept
+    only where it is linked with none that has one. Empty tables give empty results; further columns
+    are ignored. Long texts are handled alone.
+    """
     known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return placed.unionByName(alone).select(
+    return _placed(docs, rule, id_col, text_col).select(
         known("id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        known("root").alias("component_id"),
-        (F.col("id") == F.col("root")).alias("kept"),
+        known("top.least").alias("component_id"),
+        (F.col("id") == F.col("top.least")).alias("kept"),
     )
 
 
@@ -239,7 +253,7 @@ def _links_to_heads(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 hit.append(bool(rule.linked(common, len(x), len(y))))
             yield batch.select(["rep", "head"]).filter(pa.array(hit, pa.bool_())).rename_columns(["a", "b"])
 
-    return stored(both.select("rep", "head", "s1", "s2").mapInArrow(run, "a long, b long"), "near-head-links")
+    return stored(both.select("rep", "head", "s1", "s2").mapInArrow(run, "a binary, b binary"), "near-head-links")
 
 
 def _links_in_blocks(sets: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
@@ -260,14 +274,14 @@ def _links_in_blocks(sets: DataFrame, joined: DataFrame, rule: Rule) -> DataFram
     sizes = sizes.join(open_, "root")
     ways = F.ceil(F.greatest(F.col("m") / BLOCK_DOCS, F.col("w") / BLOCK_SHINGLES)).cast("long")
     large = (F.col("m") >= BLOCK_DOCS) | (F.col("w") >= BLOCK_SHINGLES)
-    kinds = sizes.withColumn("kind", F.when(large, F.col("part")).otherwise(F.lit(None).cast("long")))
+    kinds = sizes.withColumn("kind", F.when(large, F.col("part")).otherwise(F.lit(None).cast("binary")))
     blocks = stored(
         kinds.groupBy("root", "kind").agg(F.sum("m").alias("m"), F.sum("w").alias("w")).select("root", "kind", ways.alias("ways")),
         "near-blocks",
     )
     spots = blocks.select("root", "kind", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("slot"))
     left, right = (spots.select("root", F.col("kind").alias(f"kind{n}"), F.col("slot").alias(f"slot{n}")) for n in (1, 2))
-    own = lambda n: F.struct(F.coalesce(f"kind{n}", F.lit(NULL_ID)), f"slot{n}")
+    own = lambda n: F.struct(F.coalesce(F.hex(f"kind{n}"), F.lit("")), f"slot{n}")
     unlike = F.col("kind1").isNull() | ~F.col("kind1").eqNullSafe(F.col("kind2"))
     meets = stored(
         left.join(right, "root").where(own(1) <= own(2)).where(unlike).withColumn("task", F.monotonically_increasing_id()),
@@ -290,14 +304,15 @@ def _links_in_blocks(sets: DataFrame, joined: DataFrame, rule: Rule) -> DataFram
         .select("id", "part", "task")
     )
     dealt = sent.join(sets.select("id", "shingles"), "id").select("task", "part", "shingles")
-    return stored(dealt.groupBy("task").applyInArrow(_block_links(rule), "a long, b long"), "near-block-links")
+    return stored(dealt.groupBy("task").applyInArrow(_block_links(rule), "a binary, b binary"), "near-block-links")
 
 
 def _block_links(rule: Rule):
     def run(table: pa.Table) -> pa.Table:
         sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
-        links = spanning_links(sets, table.column("part").to_numpy(), rule)
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+        parts = table.column("part").combine_chunks().dictionary_encode()
+        links = np.array(spanning_links(sets, parts.indices.to_numpy(), rule), np.int64).reshape(-1, 2)
+        return pa.table({name: parts.dictionary.take(pa.array(links[:, n])) for n, name in enumerate("ab")})
 
     return run
 
@@ -352,16 +367,23 @@ def spanning_links(sets: list[np.ndarray], part: np.ndarray, rule: Rule) -> list
 
 
 def drop_near(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """The rows of ``docs`` that near_groups keeps, all columns unchanged.
+    """The rows of ``docs`` that stay, all columns unchanged: of each component the text of the least id.
 
-    The ids to drop are selected by a sieve, so only documents that may go are joined.
+    Rows go by their id and text together, so a row never goes for another one of its id. Of a component
+    without ids one text stays; rows that are alike in id and text stay or go together. Nulls,
+    ties, empty and long texts, empty tables and clashing names are treated as in ``near_groups``. The rows
+    to drop are selected by a sieve, so only documents that may go are joined.
     """
+    top = (F.col("id") == F.col("top.least")) & F.col("digest").eqNullSafe(F.col("top.digest"))
     gone = stored(
-        near_groups(docs, rule).where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_gone")).distinct(),
+        _placed(docs, rule, "doc_id", "text").where(~top).select(F.col("id").alias("_gone"), F.col("tag").alias("_tag")).distinct(),
         "near-gone",
     )
     bitmap = stored(sieve(gone, "_gone", SIEVE_BITS), "near-gone-sieve")
-    packed = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"))
+    packed = docs.select(
+        F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64("text").alias("_text")
+    )
     safe = sifted(packed, "_id", bitmap, SIEVE_BITS, keep=False).select("row.*")
-    spared = sifted(packed, "_id", bitmap, SIEVE_BITS).join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
+    same = (F.col("_id") == F.col("_gone")) & (F.col("_text") == F.col("_tag"))
+    spared = sifted(packed, "_id", bitmap, SIEVE_BITS).join(gone, same, "left_anti").select("row.*")
     return safe.unionByName(spared)

@@ -105,6 +105,42 @@ def test_near_groups_of_odd_rows(odd, none):
     assert {r["doc_id"] for r in kept.collect()} == {None, 1, 2, 3, 4, 5, 8, 9, 10, 11}
 
 
+def test_near_groups_of_documents_equal_brute_force(spark):
+    """All documents of the small table; sets are met over an inverted list, so that all pairs are looked at."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    rule = Rule(words=3, percent=85)
+    sets = {r["doc_id"]: shingles(r["text"], 3) for r in rows}
+    holders, shared = {}, {}
+    for i, own in sorted(sets.items()):
+        for shingle in own:
+            for j in holders.setdefault(shingle, []):
+                shared[j, i] = shared.get((j, i), 0) + 1
+            holders[shingle].append(i)
+    label = {i: i for i in sets}
+    for (i, j), both in shared.items():
+        if 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both) and label[i] != label[j]:
+            low, high = sorted((label[i], label[j]))
+            label = {k: low if v == high else v for k, v in label.items()}
+    got = near_groups(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), rule).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == label
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(s) for i, s in sets.items()}
+
+
+def test_rows_of_one_id_and_rows_without_one_are_judged_by_their_texts(spark):
+    base = " ".join(f"w{n}" for n in range(60))
+    near, other = base.replace("w59", "x"), " ".join(f"o{n}" for n in range(60))
+    third = " ".join(f"t{n}" for n in range(60))
+    rows = [(1, base), (2, near), (2, other), (None, base + " y"), (None, third), (None, third + " z"), (5, ""), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(near_groups(df).collect(), key=repr)
+    assert [(r["doc_id"], r["component_id"], r["kept"]) for r in got if r["doc_id"] in (1, 2)] == [(1, 1, True), (2, 1, False), (2, 2, True)]
+    alone = [(r["component_id"], r["kept"]) for r in got if r["doc_id"] is None and r["n_shingles"]]
+    assert sorted(alone, key=repr) == [(1, False), (None, True), (None, True)]
+    left = sorted(((r["doc_id"], r["text"]) for r in drop_near(df).collect()), key=repr)
+    assert [r for r in left if r[0] is not None] == [(1, base), (2, other), (5, "")]
+    assert len(left) == 5 and (None, None) in left and len([r for r in left if r[0] is None and r[1] and r[1].startswith("t0")]) == 1
+
+
 def test_bands_reach_the_promised_chance():
     for percent in (70, 80, 85, 95):
         rows, bands = Rule(5, percent).bands

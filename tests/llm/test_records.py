@@ -1,4 +1,6 @@
+import math
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -168,31 +170,60 @@ def test_differencing_balances_and_raises_the_window_count():
 # --- mixing ---
 
 
-def test_mixture_stays_within_a_block_of_its_weights(spark):
-    counts, weights = {"a": 700, "b": 300, "c": 90, "d": 11}, {"a": 0.5, "b": 0.3, "c": 0.15, "d": 0.05}
-    rows = [(n, s) for s, k in counts.items() for n in range(k)]
+def brute_schedule(blocks, shares):
+    """Earliest deadline first over exact fractions: the source of every slot, and its window."""
+    done, left, since, out = [0] * len(blocks), list(blocks), 0, []
+    live = sum(shares)
+    while sum(left):
+        t, found = len(out), []
+        for i, w in enumerate(shares):
+            w = w / live
+            if left[i] and since + math.floor(done[i] / w) <= t:
+                found.append((since + math.ceil((done[i] + 1) / w), i, since + math.floor(done[i] / w)))
+        deadline, i, release = min(found)
+        out.append((i, release, deadline))
+        done[i] += 1
+        left[i] -= 1
+        if not left[i]:
+            since, live, done = t + 1, live - shares[i], [0] * len(blocks)
+    return out
+
+
+@pytest.mark.parametrize(
+    "counts, weights",
+    [
+        ([150] * 20, [Fraction(1, 20)] * 20),  # equal shares that no power of two divides
+        ([700, 300, 90, 11], [Fraction(1, 2), Fraction(3, 10), Fraction(3, 20), Fraction(1, 20)]),
+        ([900, 500, 400, 3], [Fraction(3, 7), Fraction(2, 7), Fraction(2, 7) - Fraction(1, 10**5), Fraction(1, 10**5)]),
+        ([1, 1, 40], [Fraction(1, 3)] * 3),
+        ([25], [Fraction(1)]),
+    ],
+)
+def test_mixture_equals_earliest_deadline_first_by_brute_force(spark, counts, weights):
+    rows = [(n, f"s{i:02}") for i, k in enumerate(counts) for n in range(k)]
     df = spark.createDataFrame(rows, "doc_id long, source string")
-    got = sorted(mix(df, weights=weights, period=100).collect(), key=lambda r: r["position"])
-    assert len(got) == len(rows) and len({r["position"] for r in got}) == len(rows)
-    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
-    done = dict.fromkeys(counts, 0)
-    for r in got:
-        if r["cycle"] >= 2:  # the first source runs out of full periods
+    given = {f"s{i:02}": float(w) for i, w in enumerate(weights)}
+    got = sorted(mix(df, weights=given, bucket_rows=64).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in got] == list(range(len(rows)))
+    assert sorted((r["row"]["doc_id"], r["source"]) for r in got) == sorted(rows)
+    assert [(int(r["source"][1:]), r["release"], r["deadline"]) for r in got] == brute_schedule(counts, weights)
+    done = [0] * len(counts)
+    for t, r in enumerate(got, 1):  # within a block of the exact weights while all are live
+        done[int(r["source"][1:])] += 1
+        assert all(abs(n - t * w) < 1 for n, w in zip(done, weights))
+        if any(n == k for n, k in zip(done, counts)):
             break
-        done[r["source"]] += 1
-        for s, w in weights.items():
-            assert abs(done[s] - w * (r["slot"] + 1)) < 1
-    tail = [r for r in got if r["cycle"] == 8]  # only a and b are live, at 50 to 30
-    share = sum(r["source"] == "a" for r in tail) / len(tail)
-    assert abs(share - 50 / 80) < 0.02
-    assert {(r["row"]["doc_id"], r["source"]) for r in got} == set(rows)
 
 
 def test_mixture_in_blocks_keeps_blocks_together(spark):
     df = spark.range(1000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'x', 'y') AS source")
-    got = sorted(mix(df, block=10, period=16, buckets=8).collect(), key=lambda r: r["position"])
+    got = sorted(mix(df, block=10, bucket_rows=100).collect(), key=lambda r: r["position"])
     runs = [[r["source"], r["block"]] for r in got]
     assert sum(a != b for a, b in zip(runs, runs[1:])) + 1 == len({tuple(r) for r in runs})
+    assert all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    assert len({r["position"] for r in mix(df, slots=64).collect()}) == 1000
+    with pytest.raises(ValueError, match="slots"):
+        mix(df, block=1, slots=64)
 
 
 def test_mixture_of_documents_and_odd_rows(spark, odd, none):
