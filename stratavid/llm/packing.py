@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratavid.llm.common import stored
 from stratavid.llm.tokens import encoder, slices, vocabulary_path
 
 CAPACITY = 4096
@@ -110,20 +111,24 @@ def written_order(docs: DataFrame) -> DataFrame:
     """Rows of part files in the order they were written in: by part number, file and row.
 
     A scan sorts files by size and puts several into a task, so an order over all files must be
-    restored, by ranges: task numbers ascend with it. Rows that are no plain scan of files have
-    no such place, and stay as they are.
+    restored, by ranges: task numbers ascend with it. Rows that are no plain scan of files are written
+    first, in the order they have. Columns of any name, nulls, repeats, long texts and empty files pass through.
     """
-    try:
-        placed = docs.select(
-            "*",
-            F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long").alias("_part"),
-            F.col("_metadata.file_name").alias("_file"),
-            F.col("_metadata.row_index").alias("_row"),
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            F.struct("*").alias("row"),
+            F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("long").alias("part"),
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.row_index").alias("at"),
         )
+
+    try:
+        found = placed(docs)
     except AnalysisException:
-        return docs
-    place = ["_part", "_file", "_row"]
-    return placed.repartitionByRange(*place).sortWithinPartitions(*place).drop(*place)
+        found = placed(stored(docs, "order"))
+    place = ["part", "file", "at"]
+    return found.repartitionByRange(*place).sortWithinPartitions(*place).select("row.*")
 
 
 def pack(
@@ -142,7 +147,7 @@ def pack(
     shuffled, a hot source changes nothing, and memory is bounded by a group and one document.
     Neighbours in the input share windows, and groups ascend with the input's partitions; an order over
     part files is restored by ``written_order`` first. Less than one window of padding is left per
-    group. Sequence numbers are unique and start anew with each
+    group (a window or two with ``cut=False``). Sequence numbers are unique and start anew with each
     task's number in the upper bits; a task that runs again gives the same rows.
 
     Nulls: a null text is empty and has the end id alone; a null id stays null. Repeated rows are

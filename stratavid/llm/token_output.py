@@ -17,8 +17,8 @@ from stratavid.llm.common import scratch
 from stratavid.llm.tokens import encoder, slices, vocabulary_path
 
 END_ID = 2
-# Coded bytes handled at once; a longer document is handled alone.
-SLICE_BYTES = 1 << 20
+# Ids handled at once; a longer document is handled alone.
+SLICE_IDS = 1 << 20
 
 CODED = "part long, doc_id long, start long, n_tokens long, control binary, data binary"
 CODED_NAMES = [c.split(" ")[0] for c in CODED.split(", ")]
@@ -59,7 +59,19 @@ def decode_values(control: np.ndarray, data: np.ndarray, count: np.ndarray) -> n
     return values
 
 
+def _slices(batch: pa.RecordBatch, count: str) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about SLICE_IDS ids, however few bytes these take in packed form."""
+    ends = np.cumsum(batch.column(count).to_numpy())
+    block = (ends - 1).clip(0) // SLICE_IDS
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(ends)]])
+    for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if hi > lo:
+            yield batch.slice(lo, hi - lo)
+
+
 def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    if bounds[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("the codes of one document exceed what a binary column can hold")
     data = np.ascontiguousarray(data, np.uint8)
     return pa.Array.from_buffers(
         pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(data)]
@@ -132,7 +144,7 @@ def write_token_files(
     def to_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for some in slices(batch, "ids", SLICE_BYTES):
+            for some in _slices(batch, "n"):
                 values, bounds = _unpacked(some)
                 control, control_bounds, data, data_bounds = encode_values(rank_of[values], bounds)
                 yield pa.record_batch(
@@ -171,7 +183,7 @@ def _ranks(ids: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for some in slices(batch, "ids", SLICE_BYTES):
+            for some in _slices(batch, "n"):
                 own = np.bincount(_unpacked(some)[0])
                 if len(own) > len(total):
                     total, own = own, total
@@ -179,7 +191,7 @@ def _ranks(ids: DataFrame) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.record_batch([pa.array(found), pa.array(total[found])], ["id", "n"])
 
-    counts = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = ids.select("n", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     table = counts.toPandas()  # at most one row per vocabulary entry
     return table.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.int64)
 
@@ -188,7 +200,8 @@ def read_token_files(spark: SparkSession, files: TokenFiles, with_ids: bool = Fa
     """Per document: doc_id, start, n_tokens, ids_crc32, and with ``with_ids`` the ids (little-endian).
 
     ``start`` counts the ids of all documents before: within a part it is in the file, and the sums
-    of the parts before (one row for each part) are added.
+    of the parts before (one row for each part) are added. Files without documents give no rows; null and
+    repeated ids are given back as they were written, and a long document is decoded alone.
     """
     ranks = spark.read.parquet(files.ranks).toPandas().sort_values("rank")["id"].to_numpy(np.uint32)
     names = ["part", "doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
@@ -196,7 +209,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles, with_ids: bool = Fa
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some in slices(batch, "data", SLICE_BYTES):
+            for some in _slices(batch, "n_tokens"):
                 count = some.column("n_tokens").to_numpy()
                 codes = decode_values(_bytes(some.column("control")), _bytes(some.column("data")), count)
                 ids, ends = ranks[codes].astype("<u4"), np.cumsum(count)

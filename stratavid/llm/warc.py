@@ -37,36 +37,99 @@ def record_urn(*parts: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, chr(10).join(parts))}>"
 
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.S | re.I)
-_LANG = re.compile(r"""<html\b[^>]*?\blang\s*=\s*["']?([A-Za-z0-9-]+)""", re.I)
+_DROPPED = re.compile(r"<!--|<(script|style|noscript|template|head)\b", re.I)
+_ENDS = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "head", "title")}
+_TITLE = re.compile(r"<title\b", re.I)
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z0-9-]+)""", re.I)
 _BREAK = re.compile(r"</?(p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|nav|blockquote|pre|hr|title|body)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
 
 
+def _visible(page: str) -> str:
+    """The page without comments and without elements that are not shown, each a space.
+
+    An end mark that is missing once is missing from there on, so it is looked for once.
+    """
+    out, at, pos, missing = [], 0, 0, set()
+    while m := _DROPPED.search(page, pos):
+        name = (m[1] or "").lower()
+        pos = m.start() + 1
+        if name in missing:
+            continue
+        if name:
+            end = _ENDS[name].search(page, m.end())
+            stop = end.end() if end else -1
+        else:
+            stop = page.find("-->", m.end()) + 3 if page.find("-->", m.end()) >= 0 else -1
+        if stop < 0:
+            missing.add(name)
+            continue
+        out.append(page[at : m.start()])
+        at = pos = stop
+    out.append(page[at:])
+    return " ".join(out)
+
+
+def _replaced(tags: re.Pattern, by: str, page: str) -> str:
+    """The page with such tags replaced; no tag ends behind the last ``>``."""
+    last = page.rfind(">") + 1
+    return tags.sub(by, page[:last]) + page[last:]
+
+
 def plain_text(page: str) -> str:
     """Visible text: one line per block element, white space collapsed, entities resolved."""
-    page = " ".join(_DROPPED.sub(" ", page).split())  # line ends of the source are white space
-    page = _TAG.sub("", _BREAK.sub("\n", page))
+    page = " ".join(_visible(page).split())  # line ends of the source are white space
+    page = _replaced(_TAG, "", _replaced(_BREAK, "\n", page))
     lines = (" ".join(line.split()) for line in html.unescape(page).replace("\r", "\n").split("\n"))
     return "\n".join(line for line in lines if line)
 
 
 def _one_line(text: str) -> str:
-    return " ".join(html.unescape(_TAG.sub("", text)).split())
+    return " ".join(html.unescape(_replaced(_TAG, "", text)).split())
+
+
+def _title(page: str) -> str:
+    begin = _TITLE.search(page)
+    opened = page.find(">", begin.end()) if begin else -1
+    end = _ENDS["title"].search(page, opened + 1) if opened >= 0 else None
+    return _one_line(page[opened + 1 : end.start()]) if end else ""
+
+
+def _language(page: str) -> str:
+    """The language of the first html tag that names one."""
+    pos = 0
+    while m := _HTML.search(page, pos):
+        close = page.find(">", m.end())
+        lang = _LANG.search(page, m.end(), close if close >= 0 else len(page))
+        if lang or close < 0:
+            return lang[1].lower() if lang else ""
+        pos = close + 1
+    return ""
+
+
+def _links(page: str) -> Iterator[str]:
+    """Targets of anchors, in order: the first of each tag. Attributes and ends of tags are looked for once."""
+    pos, href, close = 0, _HREF.search(page), -1
+    while href and (m := _ANCHOR.search(page, pos)):
+        while href and href.start() < m.end():
+            href = _HREF.search(page, href.start() + 1)
+        if close < m.end():
+            close = page.find(">", m.end())
+            close = len(page) if close < 0 else close
+        pos = m.end()
+        if href and href.start() < close:
+            yield _one_line(href[1] or href[2] or href[3] or "")
+            pos = href.end()
 
 
 def metadata_block(page: str, headers: str, payload_digest: str) -> str:
     """``application/warc-fields``: what is known of the response, one field a line."""
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    fields = [("source-payload-digest", payload_digest)]
-    if title and _one_line(title[1]):
-        fields.append(("title", _one_line(title[1])))
-    if lang:
-        fields.append(("language", lang[1].lower()))
+    fields = [("source-payload-digest", payload_digest), ("title", _title(page)), ("language", _language(page))]
     fields += [("http-" + k.strip().lower(), " ".join(v.split())) for k, _, v in (h.partition(":") for h in headers.splitlines()[1:]) if v.strip()]
-    fields += [("outlink", _one_line(a or b or c)) for a, b, c in _LINK.findall(page)]
+    fields += [("outlink", target) for target in _links(page)]
     return "\n".join(f"{k}: {v}" for k, v in fields if v)
 
 
@@ -113,7 +176,8 @@ def derivatives(sources: DataFrame) -> DataFrame:
 
     Nulls: a missing uri, date or headers is empty, a null payload an empty page. A response without
     an id gets one from its other fields. Repeated responses give repeated records. Empty tables
-    give empty results; further columns are ignored.
+    give empty results; further columns, whatever their names, are ignored. A page is read in time that
+    grows with its length, however many tags in it are left open; a very long one is handled alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

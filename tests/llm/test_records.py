@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from fractions import Fraction
 
@@ -7,17 +8,18 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from stratavid.llm import queries
+from stratavid.llm import queries, token_output
 from stratavid.llm.common import components
 from stratavid.llm.mixing import mix, mixed_rows
 from stratavid.llm.packing import differencing, pack, pack_lengths, written_order
 from stratavid.llm.token_output import decode_values, encode_values, read_token_files, write_token_files
 from stratavid.llm.tokens import WordEncoder, vocabulary_path
-from stratavid.llm.warc import derivatives, plain_text, read_warc, responses, write_warc
+from stratavid.llm.warc import derivatives, metadata_block, plain_text, read_warc, responses, write_warc
 from tests.llm.conftest import ODD, SF_DIR
 from tests.llm.test_exact_and_near import LOWER, brute_components
 
@@ -345,3 +347,67 @@ def test_packing_follows_the_mixture_over_part_files(spark, tmp_path):
 def test_pipeline_runs_as_one(spark, words, texts):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     check_packing(rows, {i: plain_ids(words, texts[i]) for i in {r["doc_id"] for r in rows}})
+
+
+# --- hostile and odd input ---
+
+
+@pytest.mark.parametrize("mark", ["<script>", "<!--", "<title>", "<title ", "<a ", '<a href="', "<p ", "<html ", "</script "])
+def test_a_megabyte_of_open_tags_is_read_at_once(mark):
+    page = mark * ((1 << 20) // len(mark))
+    began = time.perf_counter()
+    plain_text(page)
+    metadata_block(page, "", "d")
+    assert time.perf_counter() - began < 20  # seconds; a quadratic scan takes minutes
+
+
+def test_parts_of_a_page():
+    page = (
+        "<HTML class=x><html lang='de'><head><title a=1>A &amp; <b>B</b></title ></head><!-- <a href=no> --><p>one<p>two"
+        "<script>if (a<b) x</script>three <a id=1 href=\"u?a=b\">l</a><a name=q><a HREF='v'>m</a> href=w <style>unclosed <i>four"
+    )
+    assert plain_text(page) == "one\ntwo three lm href=w unclosed four"
+    assert metadata_block(page, "HTTP/1.1 200 OK\nX-A:  1 ", "d").split("\n") == [
+        "source-payload-digest: d", "title: A & B", "language: de", "http-x-a: 1", "outlink: no", "outlink: u?a=b", "outlink: v",
+    ]
+
+
+def test_derivatives_of_pages_with_clashing_names(spark):
+    rows = [(1, "u", "<p>a"), (1, "u", "<p>a"), (None, None, None), (2, "v", "<title>" * 30_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    sources = responses(pages).select("*", *(F.lit("x").alias(c) for c in ("block", "source_id", "warc_type", "text")))
+    found = derivatives(sources).collect()
+    assert len(found) == 8 and len({r["record_id"] for r in found}) == 6
+    assert [r["block"] for r in found if r["warc_type"] == "conversion"] == ["a", "a", "", ""]
+
+
+def test_token_files_of_repetitive_texts_are_sliced_by_their_ids(spark, words, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "SLICE_IDS", 3000)
+    texts = {n: "again " * (5000 if n % 50 == 0 else 7) for n in range(200)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    files = write_token_files(df, str(tmp_path / "files"))
+    start = 0
+    for r in sorted(read_token_files(spark, files, with_ids=True).collect(), key=lambda r: r["doc_id"]):
+        ids = plain_ids(words, texts[r["doc_id"]])
+        assert np.frombuffer(r["ids"], "<u4").tolist() == [*ids, 2][: len(r["ids"]) // 4] and r["start"] == start
+        start += r["n_tokens"]
+    batch = pa.record_batch([pa.array([5, 2999, 9000, 1, 1, 0])], ["n"])
+    sizes = [part.column("n").to_pylist() for part in token_output._slices(batch, "n")]
+    assert [x for s in sizes for x in s] == [5, 2999, 9000, 1, 1, 0] and max(len(s) for s in sizes) <= 3
+
+
+def test_pipeline_of_odd_rows(spark, odd, none, tmp_path):
+    labels = spark.createDataFrame([(5, 1), (None, 0), (5, 1), (99, 0)], "doc_id long, quality int")
+    for name, docs in (("odd", odd), ("none", none)):
+        docs.drop("source").withColumn("source", F.lit(None).cast("string")).write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.write.parquet(str(tmp_path / name / "labels.parquet"))
+    rows = corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()
+    assert {r["doc_id"] for r in rows} == {None, 1, 3, 4, 5, 8, 9, 10, 11}
+    assert all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_the_order_of_rows_that_are_no_scan_is_kept(spark):
+    sorted_ = spark.range(500).select(F.col("id").alias("doc_id"), (-F.col("id")).alias("_part")).repartitionByRange(7, "_part").sortWithinPartitions("_part")
+    found = [(r["doc_id"], r["_part"]) for r in written_order(sorted_).collect()]
+    assert found == [(n, -n) for n in range(499, -1, -1)]
