@@ -1,6 +1,8 @@
 """Corpus pipeline: from raw documents to packed training windows, one stage after the other.
 
-Each stage gets the session, its predecessor's rows and the folder of the tables. Its result is
+Each stage gets the session, its predecessor's rows and the folder of the tables. Null texts count as
+empty, null ids are kept, repeated rows are treated as the stage's operator says, further columns travel
+along whatever their names, and an empty table gives an empty result. Its result is
 written as Parquet to the shared folder and read again, so a lost executor repeats tasks of one
 stage only, and each stage plans with the sizes its predecessor left.
 """
@@ -38,8 +40,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of at most 4096 tokens, filled with neighbours of the mixture and numbered along it."""
-    return pack(written_order(docs.select("doc_id", "text"))).drop("ids")
+    """Windows of at most 4096 tokens with their ids, filled with neighbours of the mixture and numbered along it.
+
+    One row per piece of a document, as ``pack`` gives them.
+    """
+    return pack(written_order(docs.select("doc_id", "text")))
 
 
 STAGES = [
