@@ -393,7 +393,7 @@ def test_token_files_of_repetitive_texts_are_sliced_by_their_ids(spark, words, t
         start += r["n_tokens"]
     batch = pa.record_batch([pa.array([5, 2999, 9000, 1, 1, 0])], ["n"])
     sizes = [part.column("n").to_pylist() for part in token_output._slices(batch, "n")]
-    assert [x for s in sizes for x in s] == [5, 2999, 9000, 1, 1, 0] and max(len(s) for s in sizes) <= 3
+    assert [x for s in sizes for x in s] == [5, 2999, 9000, 1, 1, 0] and all(sum(s) - max(s) < 3000 for s in sizes)
 
 
 def test_pipeline_of_odd_rows(spark, odd, none, tmp_path):
