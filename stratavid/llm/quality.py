@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -174,12 +173,17 @@ def score_documents(docs: DataFrame, ranker: Ranker) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, ranker: Ranker) -> DataFrame:
-    """The rows of ``docs`` whose text scores at or above the cut, all columns unchanged."""
+    """The rows of ``docs`` whose text scores at or above the cut, all columns unchanged.
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        batch = pa.record_batch([pa.array(texts, pa.string())], ["text"])
-        return pd.Series(np.concatenate([ranker.score(features(p.column("text"))) for p in slices(batch, "text")] or [np.zeros(0)]))
+    A null text is scored as an empty one; ids play no part, so null and repeated ones do not matter, and rows that
+    are alike stay or go together. Columns of any name travel along; an empty table stays empty. Texts are
+    scored a few at a time, a very long one alone.
+    """
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        batch = pa.record_batch([texts.cast(pa.string())], ["text"])
+        return pa.array(np.concatenate([ranker.score(features(p.column("text"))) for p in slices(batch, "text")] or [np.zeros(0)]))
 
     rows = docs.select(F.struct("*").alias("row"), score(F.col("text")).alias("score"))
     return rows.where(F.col("score") >= CUT).select("row.*")
