@@ -10,7 +10,7 @@ from stratavid.llm.common import stored
 # Blocks of a schedule, about: rows of a block follow from it unless they are given.
 SLOTS = 1 << 15
 # Rows of a source that are numbered together; a larger source has more such buckets.
-BUCKET_ROWS = 1 << 17
+BUCKET_ROWS = 1 << 12
 # Whole numbers that stand for weights: their sum is about this, so decimal fractions are exact.
 WEIGHT_SUM = 10**13
 # Slots by which a window that rounding moved over a whole slot is put back.
