@@ -11,21 +11,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratavid.llm.common import stored
 from stratavid.llm.spans import Span, apart, span_rows
 from stratavid.llm.tokens import slices
 
 KINDS = ("email", "ip", "card", "phone")
 
-# Documents that training windows are drawn from at most, windows of one document, and windows.
+# Documents that training windows are drawn from at most; windows of one document, and of all,
+# with a span and as many without.
 SAMPLE_DOCS = 20_000
 WINDOWS_EACH = 4
-SAMPLE_WINDOWS = 1600
-
-# Characters of a window, and by how many the next one begins later.
-WIDTH, STRIDE = 64, 32
-# A window begins so many characters before a digit or at sign.
-REACH = 24
-HIDDEN = 12
+SAMPLE_WINDOWS = 1200
+
+# Characters of a window that is trained on, and how many go in a row; characters of one that is searched, and by how many the next one begins later.
+LEARNED, JOINED = 64, 4
+WIDTH, STRIDE = 256, 224
+# Windows that are computed at a time.
+BLOCK = 512
+HIDDEN = 8
 EPOCHS = 14
 
 # --- the fixed patterns -------------------------------------------------------------------
@@ -109,8 +112,9 @@ def codes(text: str) -> np.ndarray:
 
 
 def _forbidden() -> np.ndarray:
-    """Tag pairs that cannot follow each other: inside only follows its own begin or inside."""
+    """Tag pairs that cannot follow each other: inside only follows its own begin or inside, begin only outside."""
     out = np.zeros((TAGS, TAGS), bool)
+    out[1:, 1::2] = True
     for k in range(len(KINDS)):
         out[:, 2 + 2 * k] = True
         out[[1 + 2 * k, 2 + 2 * k], 2 + 2 * k] = False
@@ -124,6 +128,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _squash(z: np.ndarray) -> None:
+    """1 / (1 + exp(z)), in place; 0 where that overflows."""
+    with np.errstate(over="ignore"):
+        np.exp(z, out=z)
+    z += 1
+    np.reciprocal(z, out=z)
+
+
 class Tagger:
     """Bidirectional LSTM over character codes with a linear-chain CRF over tags, in numpy."""
 
@@ -167,6 +179,38 @@ class Tagger:
     def emissions(self, x: np.ndarray) -> np.ndarray:
         return self._run(x) @ self.p["out"] + self.p["bias"]
 
+    def scan(self, x: np.ndarray) -> np.ndarray:
+        """Emissions like ``emissions`` where ``x`` is no padding, (windows, steps, TAGS), several times as fast.
+
+        Windows lie along the last axis, and all gates go through one exponential. Padding closes the input gate, so
+        the backward direction enters the text with an empty state; padding may only follow the text.
+        """
+        h, steps, wide = HIDDEN, *x.shape
+        turned = np.repeat(np.array([-1, -1, -1, -2], np.float32), h)
+        table = (self.p["x"] + self.p["c"][:, None, :]) * turned
+        table[:, PAD, :h] = 40
+        turn = np.ascontiguousarray((self.p["h"] * turned).transpose(0, 2, 1))
+        state, cell, room = np.zeros((3, 2, h, wide), np.float32)
+        z, out = np.empty((2, 4 * h, wide), np.float32), np.empty((steps, 2 * h, wide), np.float32)
+        for t in range(steps):
+            np.matmul(turn, state, out=z)
+            z[0] += table[0].take(x[t], axis=0).T
+            z[1] += table[1].take(x[steps - 1 - t], axis=0).T
+            _squash(z)
+            new = z[:, 3 * h :]
+            new *= 2
+            new -= 1
+            new *= z[:, :h]
+            cell *= z[:, h : 2 * h]
+            cell += new
+            np.multiply(cell, -2, out=room)
+            _squash(room)
+            room *= 2
+            room -= 1
+            np.multiply(z[:, 2 * h : 3 * h], room, out=state)
+            out[t, :h], out[steps - 1 - t, h:] = state
+        return (self.p["out"].T @ out + self.p["bias"][:, None]).transpose(2, 0, 1)
+
     def _back(self, x: np.ndarray, kept: list, d_both: np.ndarray, grad: dict) -> None:
         h, steps, wide = HIDDEN, *x.shape
         both = np.stack([x, x[::-1]])
@@ -220,7 +264,7 @@ class Tagger:
         self._back(x, kept, d_emit @ self.p["out"].T, grad)
         return grad
 
-    def fit(self, x: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: int = 80, rate: float = 0.03) -> Tagger:
+    def fit(self, x: np.ndarray, tags: np.ndarray, epochs: int = EPOCHS, batch: int = 24, rate: float = 0.03) -> Tagger:
         """Adam over shuffled windows with a fixed seed; ``x`` and ``tags`` are (windows, steps)."""
         draw = np.random.default_rng(3)
         mean = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -241,19 +285,46 @@ class Tagger:
                     self.p[k] -= size * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
         return self
 
-    def decode(self, emit: list[np.ndarray]) -> list[np.ndarray]:
-        """Best tag path of each stretch (steps, TAGS); stretches of similar length go together."""
-        move = np.where(FORBIDDEN, -1e4, self.p["move"])
+    def moves(self) -> np.ndarray:
+        """Transition scores; what is forbidden costs more than anything can gain."""
+        return np.where(FORBIDDEN, -1e4, self.p["move"])
+
+    def within(self, emit: np.ndarray) -> np.ndarray:
+        """Characters of a text that may lie in a span of its best path.
+
+        A span of a path can always be put outside instead. What it gains over that is the sum of what its begin, its
+        inner characters and its end gain on their own; where no begin before and no end behind a character
+        gain anything together, no best path has a span there.
+        """
+        move, out = self.moves(), np.zeros(len(emit), bool)
+        for b in range(1, TAGS, 2):
+            stay = max(move[b, b + 1], move[b + 1, b + 1]) - move[0, 0]
+            inner = np.cumsum(emit[:, b + 1].astype(float) - emit[:, 0] + stay)
+            begin = emit[:, b] - emit[:, 0] + move[0, b] - move[0, 0] - inner
+            end = inner + max(move[b, 0], move[b + 1, 0]) - move[0, 0]
+            begin[:1] -= move[0, b] - move[0, 0]  # nothing is before the text, nothing behind it
+            end[-1:] = inner[-1:]
+            out |= np.maximum.accumulate(begin) + np.maximum.accumulate(end[::-1])[::-1] > -1e-3
+        return out
+
+    def decode(self, emit: list[np.ndarray], ends: list[tuple[bool, bool]] | None = None) -> list[np.ndarray]:
+        """Best tag path of each stretch (steps, TAGS); stretches of similar length go together.
+
+        ``ends`` tells of each stretch whether the text goes on, outside of any span, before and after it.
+        """
+        move = self.moves()
+        ends = ends or [(False, False)] * len(emit)
         out: list = [None] * len(emit)
         order = sorted(range(len(emit)), key=lambda n: len(emit[n]))
-        for lo in range(0, len(order), 512):
-            some = order[lo : lo + 512]
+        for lo in range(0, len(order), 256):
+            some = order[lo : lo + 256]
             size = np.array([len(emit[n]) for n in some])
             steps = int(size.max())
             score = np.zeros((steps, len(some), TAGS))
             for w, n in enumerate(some):
                 score[: size[w], w] = emit[n]
-            best = score[0].copy()
+            before, after = (np.array([[ends[n][side]] for n in some]) for side in (0, 1))
+            best = score[0] + np.where(before, move[0], 0)
             best[:, 2::2] -= 1e4  # no stretch begins inside a span
             back = np.zeros((steps, len(some), TAGS), np.int8)
             for t in range(1, steps):
@@ -261,7 +332,7 @@ class Tagger:
                 back[t] = way.argmax(axis=1)
                 new = way.max(axis=1) + score[t]
                 best = np.where((t < size)[:, None], new, best)
-            tag = best.argmax(axis=1)
+            tag = (best + np.where(after, move[:, 0], 0)).argmax(axis=1)
             path = np.zeros((steps, len(some)), np.int64)
             for t in range(steps - 1, -1, -1):
                 inside = t < size
@@ -278,50 +349,69 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
 
 
-def stretches(text: str) -> list[tuple[int, int]]:
-    """Parts of the text within REACH of a digit or at sign; personal data has one of them."""
-    out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        lo, hi = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and lo <= out[-1][1]:
-            out[-1][1] = hi
-        else:
-            out.append([lo, hi])
-    return [(lo, hi) for lo, hi in out]
+# Weight of a window's emissions by place: windows know least about their ends.
+_TRUST = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
+
 
+def _emitted(tagger: Tagger, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+    """Averaged emissions of all characters of all texts, block by block: first place, (places, TAGS).
 
-# Weight of a window's emissions by place: windows know least about their ends.
-_TRUST = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(float)
+    Places count on over the texts as ``_laid_out`` puts them. Overlapping windows cover every text. Where two
+    overlap, their emissions are averaged, the more the nearer to a window's middle.
+    """
+    first, size = _laid_out(texts)
+    coded = np.full(size, PAD, np.int8)
+    for at, text in zip(first, texts):
+        coded[at : at + len(text)] = codes(text)
+    starts = np.concatenate([np.arange(a, b - WIDTH + 1, STRIDE) for a, b in zip(first, [*first[1:], size])] or [np.zeros(0, int)])
+    rest, head = WIDTH - STRIDE, np.arange(WIDTH)
+    carried = None
+    for lo in range(0, len(starts), BLOCK):
+        some = starts[lo : lo + BLOCK]
+        scores = tagger.scan(coded[some[None, :] + head[:, None]]) * _TRUST[:, None]
+        begin, end = some[0], some[-1] + STRIDE
+        emit, trust = np.zeros((end + rest - begin, TAGS), np.float32), np.zeros(end + rest - begin, np.float32)
+        own = some[:, None] - begin + head
+        emit[own[:, :STRIDE]], trust[own[:, :STRIDE]] = scores[:, :STRIDE], _TRUST[:STRIDE]
+        emit[own[:, STRIDE:]] += scores[:, STRIDE:]
+        trust[own[:, STRIDE:]] += _TRUST[STRIDE:]
+        if carried:
+            emit[:rest] += carried[0]
+            trust[:rest] += carried[1]
+        more = lo + BLOCK < len(starts) and starts[lo + BLOCK] == end
+        carried = (emit[-rest:].copy(), trust[-rest:].copy()) if more else None
+        stop = len(emit) - rest if more else len(emit)
+        yield begin, emit[:stop] / np.maximum(trust[:stop, None], 1)
+
+
+def _laid_out(texts: list[str]) -> tuple[list[int], int]:
+    """First place of each text, and the number of places: each text is rounded up to whole windows."""
+    first, size = [], 0
+    for text in texts:
+        first.append(size)
+        size += max(1, -(-(len(text) - WIDTH + STRIDE) // STRIDE)) * STRIDE + WIDTH - STRIDE
+    return first, size
 
 
 def tag_texts(tagger: Tagger, texts: list[str]) -> list[list[Span]]:
-    """Spans the model finds in each text.
+    """Spans the model finds in each text: those of the best path over the whole text.
 
-    Overlapping windows cover each stretch. Where they overlap, their emissions are averaged, the
-    more the nearer to a window's middle, and one path is decoded for the whole stretch, so windows
-    cannot disagree about a span.
+    All characters go through the model. Most cannot lie in a span of the best path (``Tagger.within``); paths
+    are decoded between those, which gives the path of the whole text.
     """
-    places = [(n, lo, hi) for n, text in enumerate(texts) for lo, hi in stretches(text)]
-    if not places:
-        return [[] for _ in texts]
-    coded = [codes(texts[n][lo:hi]) for n, lo, hi in places]
-    window = [(s, at) for s, c in enumerate(coded) for at in range(0, max(1, len(c) - WIDTH + STRIDE), STRIDE)]
-    emit = [np.zeros((len(c), TAGS)) for c in coded]
-    trust = [np.zeros(len(c)) for c in coded]
-    for lo in range(0, len(window), 512):
-        some = window[lo : lo + 512]
-        x = np.full((WIDTH, len(some)), PAD)
-        for w, (s, at) in enumerate(some):
-            own = coded[s][at : at + WIDTH]
-            x[: len(own), w] = own
-        scores = tagger.emissions(x)
-        for w, (s, at) in enumerate(some):
-            size = min(WIDTH, len(coded[s]) - at)
-            emit[s][at : at + size] += scores[:size, w] * _TRUST[:size, None]
-            trust[s][at : at + size] += _TRUST[:size]
-    paths = tagger.decode([e / t[:, None] for e, t in zip(emit, trust)])
+    first, size = _laid_out(texts)
+    emit = np.empty((size, TAGS), np.float32)
+    for begin, own in _emitted(tagger, texts):
+        emit[begin : begin + len(own)] = own
+    parts: list[tuple[int, int, int]] = []
+    for n, text in enumerate(texts):
+        inside = tagger.within(emit[first[n] : first[n] + len(text)])
+        edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
+        parts += [(n, a, b) for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())]
+    held = [emit[first[n] + a : first[n] + b] for n, a, b in parts]
+    paths = tagger.decode(held, [(a > 0, b < len(texts[n])) for n, a, b in parts])
     out: list[list[Span]] = [[] for _ in texts]
-    for (n, lo, _), path in zip(places, paths):
+    for (n, lo, _), path in zip(parts, paths):
         begins = np.flatnonzero((path % 2 == 1))
         for b in begins.tolist():
             e = b + 1
@@ -357,35 +447,52 @@ def find(tagger: Tagger | None, texts: list[str]) -> list[tuple[list[Span], list
 
 
 def training_windows(text: str, draw: random.Random) -> list[tuple[str, list[Span]]]:
-    """Windows around triggers with the base spans inside, some rewritten in ways people write them."""
+    """Windows of a text with the base spans inside, and windows in which a span stands in other words of the text.
+
+    Some spans are rewritten in ways people write them, so that the model learns forms and not only what
+    stands around them. Of a text of many spans or triggers some are drawn.
+    """
     spans = base_spans(text)
+    triggers = [m.start() for m in _TRIGGER.finditer(text)]
+    some = draw.sample(spans, min(len(spans), WINDOWS_EACH))
+    starts = [max(0, e - draw.randint(e - s, LEARNED)) for _, s, e in some if e - s <= LEARNED]
+    starts += [max(0, at - draw.randrange(LEARNED)) for at in draw.sample(triggers, min(len(triggers), WINDOWS_EACH))]
+    starts += [draw.randrange(max(1, len(text))) for _ in range(2)]
+    words = [w for w in dict.fromkeys(text.split(" ")) if w.isascii() and w.isalpha()][:200] or ["name"]
     out = []
-    for lo, hi in stretches(text):
-        lo = max(lo, hi - WIDTH) if draw.random() < 0.5 else lo
-        hi = min(hi, lo + WIDTH)
-        inside = [(k, s - lo, e - lo) for k, s, e in spans if s >= lo and e <= hi]
-        piece = text[lo:hi]
+    for lo in starts:
+        hi = lo + LEARNED
         if any(s < hi and e > lo and not (s >= lo and e <= hi) for _, s, e in spans):
             continue  # a span cut in two teaches nothing
-        if any(12 <= len(_digits(m.group())) <= 19 and not luhn(_digits(m.group())) for m in _CARD.finditer(piece)):
-            continue  # no card only by its check digit, which the model need not learn
-        if len(inside) == 1 and draw.random() < 0.4:
-            kind, s, e = inside[0]
-            new = _rewritten(kind, piece[s:e], draw)
-            piece = piece[:s] + new + piece[e:]
-            inside = [(kind, s, s + len(new))]
-            if len(piece) > WIDTH:
-                continue
-        out.append((piece, inside))
-    return out
-
-
-def _rewritten(kind: str, found: str, draw: random.Random) -> str:
+        out.append((text[lo:hi], [(k, s - lo, e - lo) for k, s, e in spans if s >= lo and e <= hi]))
+    for kind, s, e in some + some:
+        new = _rewritten(kind, text[s:e], draw, words) if draw.random() < 0.7 else text[s:e]
+        at = draw.randrange(max(1, len(text)))
+        around = text[at : at + LEARNED - len(new) - 2]
+        if len(new) + 2 > LEARNED or _TRIGGER.search(around):
+            continue
+        if draw.random() < 0.3:
+            around = around[: draw.randint(0, len(around))]
+        parts = around.split(" ")
+        cut = draw.randint(0, len(parts))
+        front = " ".join(parts[:cut]) + " " * (cut > 0)
+        piece = front + new + (draw.choice([" ", " ", ", ", ". "]) + " ".join(parts[cut:]) if cut < len(parts) else "")
+        out.append((piece[:LEARNED], [(kind, len(front), len(front) + len(new))]))
+    # A number is no card only by its check digit, which the model need not learn.
+    return [w for w in out if not any(12 <= len(d) <= 19 and not luhn(d) for d in (_digits(m.group()) for m in _CARD.finditer(w[0])))]
+
+
+def _rewritten(kind: str, found: str, draw: random.Random, words: list[str]) -> str:
+    """A span in another form; names and hosts are also made of ``words``."""
     if kind == "phone":
         found = found.lstrip("+") if draw.random() < 0.5 else found
         return re.sub(r"[ ().-]+", draw.choice([" ", "-"]), found)
     if kind == "email":
-        return found.replace("@", draw.choice([" @ ", " @", "@ "]))
+        name, _, host = found.partition("@")
+        first, second = (draw.choice(words) for _ in range(2))
+        name = draw.choice([name, first, f"{first}.{second}", f"{first}_{second}.{name}"])
+        host = draw.choice([host, f"{second}.{host.rpartition('.')[2]}", f"{first}-{second}-{host}", f"mail.{host}"])
+        return name + draw.choice([" @ ", " @", "@ ", " @ "]) + host
     if kind == "card":
         return "/".join(re.findall("....?", _digits(found)))
     return found.replace(".", draw.choice([" . ", ". "]))
@@ -394,7 +501,8 @@ def _rewritten(kind: str, found: str, draw: random.Random) -> str:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tagger | None:
     """A tagger from windows of at most SAMPLE_DOCS documents, the first by a hash of their id.
 
-    Labels are the base spans in the windows. Only windows reach the driver, SAMPLE_WINDOWS at most.
+    Labels are the base spans in the windows. Only windows reach the driver, SAMPLE_WINDOWS with a span and as many
+    without at most.
     Without a labelled window there is no model, and the base spans stand alone.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
@@ -408,14 +516,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ta
                     draw = random.Random(doc_id)
                     windows = training_windows(text or "", draw)
                     draw.shuffle(windows)
-                    windows.sort(key=lambda w: not w[1])
-                    found += [(doc_id, piece, repr(spans)) for piece, spans in windows[:WINDOWS_EACH]]
+                    for labelled in (True, False):
+                        chosen = [w for w in windows if bool(w[1]) == labelled][:WINDOWS_EACH]
+                        found += [(doc_id, piece, repr(spans)) for piece, spans in chosen]
                 columns = list(zip(*found)) or [[], [], []]
                 kinds = [pa.int64(), pa.string(), pa.string()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "piece", "spans"])
 
     windows = rows.join(F.broadcast(chosen), "id").mapInArrow(run, "id long, piece string, spans string")  # SAMPLE_DOCS ids
-    some = windows.orderBy(F.xxhash64("id", "piece"), "piece", "spans").limit(SAMPLE_WINDOWS).collect()
+    windows = stored(windows, "pii-windows")
+    some = []
+    for labelled in (F.col("spans") != "[]", F.col("spans") == "[]"):
+        some += windows.where(labelled).orderBy(F.xxhash64("id", "piece"), "piece", "spans").limit(SAMPLE_WINDOWS).collect()
     return fit_windows([(r["piece"], _read(r["spans"])) for r in some])
 
 
@@ -424,16 +536,22 @@ def _read(spans: str) -> list[Span]:
 
 
 def fit_windows(windows: list[tuple[str, list[Span]]]) -> Tagger | None:
+    """A tagger from windows and their spans; JOINED of them make a row, as searched windows are that long."""
     if not any(spans for _, spans in windows):
         return None
-    x, tags = np.full((len(windows), WIDTH), PAD), np.zeros((len(windows), WIDTH), np.int64)
-    for n, (piece, spans) in enumerate(windows):
-        own = codes(piece)
-        x[n, : len(own)] = own
-        for kind, s, e in sorted(spans, key=lambda s: -KINDS.index(s[0])):
-            tag = 1 + 2 * KINDS.index(kind)
-            tags[n, s:e] = tag + 1
-            tags[n, s] = tag
+    mixed = random.Random(4).sample(windows, len(windows))
+    rows = [mixed[n : n + JOINED] for n in range(0, len(mixed), JOINED)]
+    x, tags = np.full((len(rows), JOINED * (LEARNED + 1)), PAD), np.zeros((len(rows), JOINED * (LEARNED + 1)), np.int64)
+    for n, row in enumerate(rows):
+        at = 0
+        for piece, spans in row:
+            own = codes(piece + " ")
+            x[n, at : at + len(own)] = own
+            for kind, s, e in sorted(spans, key=lambda s: -KINDS.index(s[0])):
+                tag = 1 + 2 * KINDS.index(kind)
+                tags[n, at + s : at + e] = tag + 1
+                tags[n, at + s] = tag
+            at += len(own)
     legal = ~FORBIDDEN[tags[:, :-1], tags[:, 1:]].any(axis=1)
     return Tagger().fit(x[legal], tags[legal])
 

@@ -46,7 +46,8 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score, learned from the labels that are not held out."""
     docs = documents(spark, sf_dir)
-    return score_documents(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_documents(docs, labels, train(docs, labels))
 
 
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,11 +25,19 @@ def in_order(spans: list[Span], kinds: tuple[str, ...]) -> list[Span]:
 
 def apart(found: list[Span], base: list[Span]) -> list[Span]:
     """The spans of ``found`` that overlap none of ``base`` and no earlier one of themselves."""
-    taken, out = sorted((s, e) for _, s, e in base), []
+    taken: list[list[int]] = []  # what base covers, in order and apart
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    out, free, n = [], 0, 0
     for kind, start, end in sorted(found, key=lambda s: s[1]):
-        if all(end <= s or start >= e for s, e in taken):
-            taken.append((start, end))
+        while n < len(taken) and taken[n][1] <= start:
+            n += 1
+        if start >= free and (n == len(taken) or end <= taken[n][0]):
             out.append((kind, start, end))
+            free = end
     return out
 
 

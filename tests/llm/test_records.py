@@ -297,8 +297,8 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, words, texts):
 
     read = lambda df: {r["doc_id"]: r["text"] for r in df.collect()}
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    ranker = train(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
-    good = {r["doc_id"] for r in score_documents(docs, ranker).where("predicted = 1").collect()}
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    good = {r["doc_id"] for r in score_documents(docs, labels, train(docs, labels)).where("predicted = 1").collect()}
     (_, quality), (_, exact), (_, near), (_, mixture), (_, packing) = corpus_pipeline.STAGES
     one = quality(spark, docs, SF_DIR)
     assert one.columns == docs.columns and read(one) == {i: texts[i] for i in good}
