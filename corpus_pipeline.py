@@ -21,7 +21,8 @@ from stratavid.llm.quality import keep_good, train
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose pairwise-ranked quality reaches the cut."""
-    return keep_good(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return keep_good(docs, labels, train(docs, labels))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
