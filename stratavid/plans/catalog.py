@@ -42,6 +42,7 @@ from stratavid.operators.history import (
 from stratavid.operators.incremental import (
     append_new_dates,
     evolve_schema,
+    union_promoted,
     incremental_load,
     unexpired,
 )
@@ -377,6 +378,35 @@ def schema_evolution(w: Layers) -> DataFrame:
     return evolve_schema(stored, batch)
 
 
+@query
+def schema_changed_types(w: Layers) -> DataFrame:
+    """Stored events whose columns become wider when the model changes: more bits, and text."""
+    events = w.source("events").withColumn("hour", F.hour("ts"))
+    stored = events.filter(F.col("ts") < moment("2024-01-16")).select(
+        "event_id", F.floor("value").cast("int").alias("value"), "hour"
+    )
+    batch = events.filter(F.col("ts") >= moment("2024-01-16")).select(
+        F.col("event_id").cast("string").alias("event_id"), "value", F.col("hour").cast("long").alias("hour")
+    )
+    return evolve_schema(stored, batch)
+
+
+@query
+def loads_of_changed_types(w: Layers) -> DataFrame:
+    """Events landed as three loads whose types differ, put together in types that hold all of them."""
+    events = w.source("events")
+    first = events.filter(F.col("ts") < moment("2024-01-11")).select(
+        "event_id", F.hour("ts").cast("short").alias("hour"), F.to_date("ts").alias("seen")
+    )
+    second = events.filter((F.col("ts") >= moment("2024-01-11")) & (F.col("ts") < moment("2024-01-21"))).select(
+        F.col("ts").cast("timestamp_ntz").alias("seen"), F.hour("ts").cast("decimal(4,1)").alias("hour"), "event_id"
+    )
+    third = events.filter(F.col("ts") >= moment("2024-01-21")).select(F.col("event_id").cast("string").alias("event_id"), F.hour("ts").alias("hour"))
+    return union_promoted([first, second, third]).select(
+        "event_id", F.col("hour").cast("double").alias("hour"), F.date_format("seen", "yyyy-MM-dd HH:mm:ss").alias("seen")
+    )
+
+
 @query
 def first_hit_left_join(w: Layers) -> DataFrame:
     """Each source with the first search that found it, searches taken in order."""

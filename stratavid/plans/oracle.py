@@ -468,6 +468,15 @@ _SQL = {
     "schema_evolution": """
         SELECT event_id, user_id, CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS event_type
         FROM events""",
+    "schema_changed_types": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(extract(hour FROM ts) AS BIGINT) AS hour,
+               CASE WHEN ts < TIMESTAMP '2024-01-16' THEN CAST(floor(value) AS DOUBLE) ELSE value END AS value
+        FROM events""",
+    "loads_of_changed_types": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(extract(hour FROM ts) AS DOUBLE) AS hour,
+               CASE WHEN ts < TIMESTAMP '2024-01-11' THEN strftime(ts, '%Y-%m-%d') || ' 00:00:00'
+                    WHEN ts < TIMESTAMP '2024-01-21' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS seen
+        FROM events""",
     "first_hit_left_join": """
         SELECT s.source, s.videos, s.views, h.lang AS query, h.doc_id
         FROM (SELECT source, count(*) AS videos, CAST(sum(n_chars) AS BIGINT) AS views

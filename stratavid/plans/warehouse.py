@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from stratavid.functions import surrogate_key
 from stratavid.operators.history import VALID_FROM, VALID_TO, extend_open, merge_open
-from stratavid.operators.incremental import above_mark, evolve_schema, high_water_mark
+from stratavid.operators.incremental import above_mark, evolve_schema, high_water_mark, opens_as
 from stratavid.operators.quality import enforce
 from stratavid.operators.star import calendar, date_spine
 from stratavid.operators.tokens import token_rows
@@ -284,8 +284,7 @@ class Warehouse:
         With ``full_snapshot`` the new rows are known to hold every live channel and video: open
         versions and pairs that they lack are closed at ``as_of``.
 
-        Months and buckets without new rows are neither read nor written, but for the open versions
-        that facts join. Finishes a run that was cut off first.
+        Months and buckets without new rows are neither read nor written. Finishes a run that was cut off first.
         """
         pending = self._pending()
         if pending:
@@ -343,8 +342,18 @@ class Warehouse:
         self._merge_bridge(run, "bridge_video_tag", pairs, ["video_sk", "tag_id"], as_of, None, gone["stg_videos"], full)
 
         facts = {
-            "fact_channel_metrics": (gold.fact_channel_metrics(channels, self.dim_channel), "channel_sk"),
-            "fact_video_performance": (gold.fact_video_performance(videos, self.dim_video, self.dim_channel), "video_sk"),
+            "fact_channel_metrics": (
+                gold.fact_channel_metrics(channels, gold.dim_channel(self._touched_versions("snapshot_channel", channels, "channel_id", "natural_channel_id"))),
+                "channel_sk",
+            ),
+            "fact_video_performance": (
+                gold.fact_video_performance(
+                    videos,
+                    gold.dim_video(self._touched_versions("snapshot_video", videos, "video_id", "video_id"), self.categories),
+                    gold.dim_channel(self._touched_versions("snapshot_channel", videos, "channel_id", "natural_channel_id")),
+                ),
+                "video_sk",
+            ),
         }
         for name, (built, sort) in facts.items():
             last = F.lit(options["days"][name]).cast("date")
@@ -474,11 +483,15 @@ class Warehouse:
     def _upsert(self, run: str, name: str, batch: DataFrame, keys: list[str], sort: str) -> None:
         """Rows of the batch replace stored rows of the same key, in the months the batch has rows in.
 
-        Stored rows take the batch's columns.
+        Stored rows take the batch's columns, and their types where they hold the stored values; a narrower type is an
+        error. If the stored files cannot be read in a new type as they are, all months are rewritten.
         """
 
         def merged() -> DataFrame:
-            stored = sinks.touched_months(self._read(name), batch, "date_key").drop(sinks.MONTH)
+            stored = self._read(name)
+            if opens_as(stored.schema, batch.schema):
+                stored = sinks.touched_months(stored, batch, "date_key")
+            stored = stored.drop(sinks.MONTH)
             kept = stored.join(batch.select(*keys), keys, "left_anti").select(*stored.columns)
             return evolve_schema(kept, batch)
 

@@ -1,3 +1,6 @@
+from datetime import date
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,9 @@ from stratavid.operators.incremental import (
     append_new_dates,
     evolve_schema,
     incremental_load,
+    opens_as,
     unexpired,
+    union_promoted,
     upsert,
 )
 from stratavid.operators.latest import daily_latest, first_by_key, latest_by_key
@@ -127,6 +132,29 @@ def test_schema_evolution(frame):
     assert rows_of(evolved) == [("y", 2), (None, 1)]
 
 
+def test_changed_types_widen_or_raise(frame):
+    old = frame("a int, b float, c date, d bigint", (2**31 - 1, 0.5, date(2024, 1, 2), 7))
+    new = frame("a bigint, b double, c timestamp_ntz, d string", (2**40, 0.1, "2024-01-03 04:00:00", "x"))
+    evolved = evolve_schema(old, new)
+    assert evolved.schema == new.schema
+    assert rows_of(evolved) == [(2**40, 0.1, "2024-01-03 04:00:00", "x"), (2**31 - 1, 0.5, "2024-01-02 00:00:00", "7")]
+    for narrow in ("a short", "b float, a int, c string, d int", "c date, a bigint, d decimal(18,0)", "a float"):
+        with pytest.raises(TypeError, match="cannot go from"):
+            evolve_schema(old, frame(narrow))
+    assert opens_as(frame("a int, b float").schema, frame("a bigint, b double, c string").schema)
+    assert not opens_as(old.schema, frame("d string").schema)
+
+
+def test_loads_of_unlike_types_are_put_together(frame):
+    one = frame("id int, v decimal(4,1)", (1, Decimal("2.5")))
+    two = frame("v bigint, id string, w float", (2**62, "x", 0.5))
+    both = union_promoted([one, two])
+    assert both.dtypes == [("id", "string"), ("v", "decimal(20,1)"), ("w", "float")]
+    assert rows_of(both) == [("1", Decimal("2.5"), None), ("x", Decimal(2**62), 0.5)]
+    with pytest.raises(TypeError, match="no type holds"):
+        union_promoted([one, frame("v boolean")])
+
+
 def test_append_new_dates(frame):
     fact = frame("id int, date_key string", (1, "2024-01-01"), (2, "2024-01-02")).withColumn(
         "date_key", F.col("date_key").cast("date")

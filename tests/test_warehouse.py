@@ -279,6 +279,30 @@ def test_stored_tables_take_new_columns_and_drop_old_ones(spark, copy, landed):
     assert rows_of(plain, "date_key", "extra") == [("2024-01-01", None), ("2024-01-02", "B"), ("2024-01-02", "N")]
 
 
+def test_stored_columns_become_wider_over_all_months(copy, landed):
+    store = copy(DAY1)
+    later = DAY2[0], [("v1", "C", "y", 3, "2024-02-03 20:00:00")]
+    rows = store._silver("stg_videos", landed(*later)[1], clock(), ())
+    text = rows.withColumn("view_count", F.col("view_count").cast("string"))
+    keys = ["video_id", "date_key"]
+    store._upsert("r-text", "stg_videos", text, keys, "video_id")
+    assert dict(store.stg_videos.dtypes)["view_count"] == "string"
+    assert rows_of(store.stg_videos, "date_key", "view_count")[-1][0] == "2024-02-03"
+    assert all(v is None or isinstance(v, str) for (v,) in rows_of(store.stg_videos, "view_count"))
+    with pytest.raises(TypeError, match="view_count cannot go from string"):
+        store._upsert("r-number", "stg_videos", rows, keys, "video_id")
+
+
+def test_facts_of_a_refresh_join_touched_buckets_only(copy, landed, monkeypatch):
+    store, read = copy(DAY2), []
+    kept = store._touched_versions
+    monkeypatch.setattr(store, "_touched_versions", lambda *a: read.append(kept(*a)) or read[-1])
+    store.refresh(*landed(DAY2[0], [*DAY2[1], ("v1", "C", "y", 3, "2024-02-03 20:00:00")]), clock(), "day3")
+    assert len(read) == 5  # two for bridges, three for facts
+    current = store.dim_video.filter("is_current")
+    assert store.fact_video_performance.join(current, "video_sk").filter("date_key = '2024-02-03'").count() == 1
+
+
 def test_a_daily_load_touches_its_month_and_buckets_only(spark, copy, landed):
     store = copy(DAY2)
 
