@@ -138,7 +138,7 @@ def test_changed_types_widen_or_raise(frame):
     evolved = evolve_schema(old, new)
     assert evolved.schema == new.schema
     assert rows_of(evolved) == [(2**40, 0.1, "2024-01-03 04:00:00", "x"), (2**31 - 1, 0.5, "2024-01-02 00:00:00", "7")]
-    for narrow in ("a short", "b float, a int, c string, d int", "c date, a bigint, d decimal(18,0)", "a float"):
+    for narrow in ("a short", "b float, a int, c string, d int", "c date, a bigint, d int", "a float"):
         with pytest.raises(TypeError, match="cannot go from"):
             evolve_schema(old, frame(narrow))
     assert opens_as(frame("a int, b float").schema, frame("a bigint, b double, c string").schema)
@@ -146,7 +146,7 @@ def test_changed_types_widen_or_raise(frame):
 
 
 def test_loads_of_unlike_types_are_put_together(frame):
-    one = frame("id int, v decimal(4,1)", (1, Decimal("2.5")))
+    one = frame("id int, v string", (1, "2.5")).withColumn("v", F.col("v").cast("decimal(4,1)"))
     two = frame("v bigint, id string, w float", (2**62, "x", 0.5))
     both = union_promoted([one, two])
     assert both.dtypes == [("id", "string"), ("v", "decimal(20,1)"), ("w", "float")]
