@@ -202,8 +202,8 @@ def test_paths_of_parts_are_the_path_of_the_whole_text():
         assert (whole == parts).all()
 
 
-def test_model_reads_whole_texts_and_knows_forms_in_other_words(docs):
-    tagger = pii.train(docs)
+def test_model_reads_whole_texts_and_knows_forms_in_other_words(spark):
+    tagger = pii.train(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))  # smaller tables have too few spans
     texts = {
         "please write to info @ customer-relations-department.example.com for help": "info @ customer-relations-department.example.com",
         "a.very.long.local.part.of.somebody.important @ mail.example.net is mine": "a.very.long.local.part.of.somebody.important @ mail.example.net",
