@@ -27,7 +27,7 @@ SAMPLE_WINDOWS = 1200
 LEARNED, JOINED = 64, 4
 WIDTH, STRIDE = 256, 224
 # Windows that are computed at a time.
-BLOCK = 512
+BLOCK = 1024
 HIDDEN = 8
 EPOCHS = 14
 
@@ -299,8 +299,13 @@ class Tagger:
         move, out = self.moves(), np.zeros(len(emit), bool)
         for b in range(1, TAGS, 2):
             stay = max(move[b, b + 1], move[b + 1, b + 1]) - move[0, 0]
-            inner = np.cumsum(emit[:, b + 1].astype(float) - emit[:, 0] + stay)
-            begin = emit[:, b] - emit[:, 0] + move[0, b] - move[0, 0] - inner
+            own, start = emit[:, b + 1] - emit[:, 0] + np.float32(stay), emit[:, b] - emit[:, 0]
+            # Without a sum: the best begin, all that inner characters can gain, the best end.
+            most = start.max(initial=-np.inf) + np.maximum(own, 0).sum(dtype=float) + max(0, move[0, b] - move[0, 0])
+            if most + max(0, max(move[b, 0], move[b + 1, 0]) - move[0, 0]) < -1:
+                continue
+            inner = np.cumsum(own, dtype=float)
+            begin = start + move[0, b] - move[0, 0] - inner
             end = inner + max(move[b, 0], move[b + 1, 0]) - move[0, 0]
             begin[:1] -= move[0, b] - move[0, 0]  # nothing is before the text, nothing behind it
             end[-1:] = inner[-1:]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavid.llm.spans import Span, apart, span_rows
@@ -102,7 +102,8 @@ def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
 
     States are visited breadth first. A state is merged into the first settled state whose end and
     symbol frequencies, and those of all states behind, differ by no more than a Hoeffding bound
-    allows; else it is settled itself.
+    allows; else it is settled itself. A symbol that a state has not seen costs UNSEEN and leads where the
+    symbol leads most often in the automaton, so that one surprise does not spoil the rest of a run.
     """
     next_: list[dict[int, int]] = [{}]
     seen: list[dict[int, int]] = [{}]
@@ -140,8 +141,9 @@ def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
                     todo.append((next_[a][s], next_[b][s]))
         return True
 
-    def fold(one: int, other: int) -> None:
-        todo = [(one, other)]
+    def fold(one: int, other: int) -> list[tuple[int, int]]:
+        """Adds the counts of ``other`` and all behind; the transitions that this gave to other states."""
+        todo, given = [(one, other)], []
         while todo:
             a, b = todo.pop()
             end[a] += end[b]
@@ -152,6 +154,8 @@ def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
                     todo.append((next_[a][s], next_[b][s]))
                 else:
                     next_[a][s] = next_[b][s]
+                    given.append((a, s))
+        return given
 
     settled, waiting = [0], deque((0, s) for s in sorted(next_[0]))
     known = {0}
@@ -163,21 +167,28 @@ def infer(examples: list[str], alpha: float = ALPHA) -> Automaton:
         for old in settled:
             if compatible(old, state):
                 next_[parent][s] = old
-                fold(old, state)
-                waiting.extend((old, x) for x in sorted(next_[old]) if next_[old][x] not in known)
+                waiting.extend((a, x) for a, x in sorted(fold(old, state)) if a in known)
                 break
         else:
             settled.append(state)
             known.add(state)
             waiting.extend((state, x) for x in sorted(next_[state]))
     number = {state: n for n, state in enumerate(settled)}
-    lost = len(settled)  # where unseen symbols lead, and stay
-    step = np.full((lost + 1, SYMBOLS), lost, np.int64)
+    lost = len(settled)  # where symbols that no state has seen lead, and stay
+    ways: dict[int, Counter] = {}
+    for state in settled:
+        for s, count in seen[state].items():
+            ways.setdefault(s, Counter())[number[next_[state][s]]] += count
+    usual = np.full(SYMBOLS, lost, np.int64)
+    for s, to in ways.items():
+        usual[s] = min(to, key=lambda n: (-to[n], n))
+    step = np.tile(usual, (lost + 1, 1))
+    step[lost] = lost
     log_p = np.full((lost + 1, SYMBOLS), UNSEEN)
     log_end = np.full(lost + 1, UNSEEN)
     for state, n in number.items():
         for s, count in seen[state].items():
-            step[n, s] = number.get(next_[state][s], lost)
+            step[n, s] = number[next_[state][s]]
             log_p[n, s] = max(UNSEEN, math.log(count / total[state]))
         log_end[n] = max(UNSEEN, math.log(max(end[state], 1e-9) / max(total[state], 1)))
     return Automaton(step, log_p, log_end)
@@ -250,8 +261,8 @@ def examples(text: str) -> list[tuple[str, str]]:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar | None:
     """Automata from at most SAMPLE_DOCS documents, the first by a hash of their id.
 
-    EXAMPLES credentials of a kind and PLAIN other candidates reach the driver at most. Without
-    credentials there is no grammar, and the base spans stand alone.
+    They are read once. EXAMPLES credentials of a kind and PLAIN other candidates reach the driver at most.
+    Without credentials there is no grammar, and the base spans stand alone.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL")
     chosen = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS)
@@ -264,10 +275,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gr
                 yield pa.record_batch([pa.array(kinds, pa.string()), pa.array(pieces, pa.string())], ["kind", "piece"])
 
     found = rows.join(F.broadcast(chosen), "id").mapInArrow(run, "kind string, piece string").distinct()  # SAMPLE_DOCS ids
-    picked = {
-        kind: [r["piece"] for r in found.where(F.col("kind") == kind).orderBy(F.xxhash64("piece"), "piece").limit(most).collect()]
-        for kind, most in [*((k, EXAMPLES) for k in KINDS), ("plain", PLAIN)]
-    }
+    place = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("piece"), "piece"))
+    most = F.when(F.col("kind") == "plain", PLAIN).otherwise(EXAMPLES)
+    first = found.withColumn("place", place).where(F.col("place") <= max(PLAIN, EXAMPLES)).where(F.col("place") <= most)
+    picked: dict[str, list[str]] = {}
+    for r in first.orderBy("kind", "place").collect():
+        picked.setdefault(r["kind"], []).append(r["piece"])
     return fit(picked)
 
 

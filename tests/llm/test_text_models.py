@@ -288,6 +288,30 @@ def test_bare_credentials_of_a_labelled_format_are_found(bare_share):
     assert len(added - set(bare)) <= 5  # plain words
 
 
+def test_held_out_credentials_of_documents_have_their_formats(spark):
+    """Automata of some documents know bare credentials of the others, and take few plain words for one."""
+    texts = [r["text"] or "" for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    half = len(texts) // 2
+    seen, unseen = ({x: None for t in part for x in secrets.examples(t)} for part in (texts[:half], texts[half:]))
+    picked = {k: [p for kind, p in seen if kind == k][: secrets.PLAIN if k == "plain" else secrets.EXAMPLES] for k in (*secrets.KINDS, "plain")}
+    grammar = secrets.fit(picked)
+    for kind in (*grammar.kinds, "plain"):
+        held = [p for k, p in unseen if k == kind and p not in picked[kind]]
+        share = float((grammar.score(*secrets._laid(held))[0] > 0).mean())
+        assert share <= 0.01 if kind == "plain" else share >= 0.9, (kind, share, len(held))
+
+
+def test_merged_automaton_takes_every_example_it_learned_from():
+    draw = random.Random(9)
+    made = ["AKIA" + "".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(16)) for _ in range(60)]
+    grammar = secrets.infer(made)
+    for text in made:  # no transition of the prefix tree is lost by merging
+        state = 0
+        for c in text:
+            state = grammar.step[state, secrets._SYMBOL[ord(c)]]
+        assert state < len(grammar.step) - 1, text
+
+
 def test_automaton_recovers_a_repeating_format():
     draw = random.Random(8)
     grammar = secrets.infer(["".join(draw.choice("0123") + "-" for _ in range(draw.randrange(3, 9))) for _ in range(300)])
