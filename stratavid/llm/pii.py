@@ -128,12 +128,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _squash(z: np.ndarray) -> None:
-    """1 / (1 + exp(z)), in place; 0 where that overflows."""
-    with np.errstate(over="ignore"):
-        np.exp(z, out=z)
-    z += 1
-    np.reciprocal(z, out=z)
+# The logistic function at the middles of 1/8192 wide steps from -11 to 11; below it is 0, so that a gate can be closed.
+STEPS = 8192
+MIDDLE = 11 * STEPS
+_LOGISTIC = (1 / (1 + np.exp(-(np.arange(2 * MIDDLE) + 0.5 - MIDDLE) / STEPS))).astype(np.float32)
+_LOGISTIC[0] = 0
+
+
+def _squash(z: np.ndarray, place: np.ndarray) -> None:
+    """The logistic function of (z - MIDDLE) / STEPS, in place, by table; ``place`` is room of the same shape."""
+    np.copyto(place, z, casting="unsafe")
+    _LOGISTIC.take(place, out=z, mode="clip")
 
 
 class Tagger:
@@ -182,34 +187,41 @@ class Tagger:
     def scan(self, x: np.ndarray) -> np.ndarray:
         """Emissions like ``emissions`` where ``x`` is no padding, (windows, steps, TAGS), several times as fast.
 
-        Windows lie along the last axis, and all gates go through one exponential. Padding closes the input gate, so
+        Windows lie along the last axis, and all gates go through one table look-up. Padding closes the input gate, so
         the backward direction enters the text with an empty state; padding may only follow the text.
         """
         h, steps, wide = HIDDEN, *x.shape
-        turned = np.repeat(np.array([-1, -1, -1, -2], np.float32), h)
-        table = (self.p["x"] + self.p["c"][:, None, :]) * turned
-        table[:, PAD, :h] = 40
+        turned = np.repeat(np.array([1, 1, 1, 2], np.float32), h) * STEPS
+        table = (self.p["x"] + self.p["c"][:, None, :]) * turned + MIDDLE
+        table = np.ascontiguousarray(table.transpose(0, 2, 1))
         turn = np.ascontiguousarray((self.p["h"] * turned).transpose(0, 2, 1))
+        table[:, :h, PAD] = -100 * MIDDLE
+        x = x.astype(np.intp)
         state, cell, room = np.zeros((3, 2, h, wide), np.float32)
         z, out = np.empty((2, 4 * h, wide), np.float32), np.empty((steps, 2 * h, wide), np.float32)
+        into, place, spot = np.empty_like(z), np.empty(z.shape, np.intp), np.empty(room.shape, np.intp)
         for t in range(steps):
             np.matmul(turn, state, out=z)
-            z[0] += table[0].take(x[t], axis=0).T
-            z[1] += table[1].take(x[steps - 1 - t], axis=0).T
-            _squash(z)
+            table[0].take(x[t], axis=1, out=into[0], mode="clip")
+            table[1].take(x[steps - 1 - t], axis=1, out=into[1], mode="clip")
+            z += into
+            _squash(z, place)
             new = z[:, 3 * h :]
             new *= 2
             new -= 1
             new *= z[:, :h]
             cell *= z[:, h : 2 * h]
             cell += new
-            np.multiply(cell, -2, out=room)
-            _squash(room)
+            np.multiply(cell, 2 * STEPS, out=room)
+            room += MIDDLE
+            _squash(room, spot)
             room *= 2
             room -= 1
             np.multiply(z[:, 2 * h : 3 * h], room, out=state)
             out[t, :h], out[steps - 1 - t, h:] = state
-        return (self.p["out"].T @ out + self.p["bias"][:, None]).transpose(2, 0, 1)
+        emit = self.p["out"].T @ out
+        emit += self.p["bias"][:, None]
+        return np.ascontiguousarray(emit.transpose(2, 0, 1))
 
     def _back(self, x: np.ndarray, kept: list, d_both: np.ndarray, grad: dict) -> None:
         h, steps, wide = HIDDEN, *x.shape
@@ -354,8 +366,8 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis=axis, keepdims=True)) + top).squeeze(axis)
 
 
-# Weight of a window's emissions by place: windows know least about their ends.
-_TRUST = np.minimum(np.arange(1, WIDTH + 1), np.arange(WIDTH, 0, -1)).astype(np.float32)
+# Weight of the later of two overlapping windows by place: windows know least about their ends.
+_FADE = (np.arange(1, WIDTH - STRIDE + 1, dtype=np.float32) / (WIDTH - STRIDE + 1))[:, None]
 
 
 def _emitted(tagger: Tagger, texts: list[str]) -> Iterator[tuple[int, np.ndarray]]:
@@ -373,20 +385,19 @@ def _emitted(tagger: Tagger, texts: list[str]) -> Iterator[tuple[int, np.ndarray
     carried = None
     for lo in range(0, len(starts), BLOCK):
         some = starts[lo : lo + BLOCK]
-        scores = tagger.scan(coded[some[None, :] + head[:, None]]) * _TRUST[:, None]
+        scores = tagger.scan(coded[some[None, :] + head[:, None]])
         begin, end = some[0], some[-1] + STRIDE
-        emit, trust = np.zeros((end + rest - begin, TAGS), np.float32), np.zeros(end + rest - begin, np.float32)
-        own = some[:, None] - begin + head
-        emit[own[:, :STRIDE]], trust[own[:, :STRIDE]] = scores[:, :STRIDE], _TRUST[:STRIDE]
-        emit[own[:, STRIDE:]] += scores[:, STRIDE:]
-        trust[own[:, STRIDE:]] += _TRUST[STRIDE:]
-        if carried:
-            emit[:rest] += carried[0]
-            trust[:rest] += carried[1]
+        # The earlier windows that overlap with their next one, the last one of the block before included.
+        over = np.flatnonzero(np.diff(some) == STRIDE)
+        scores[over + 1, :rest] = scores[over + 1, :rest] * _FADE + scores[over, STRIDE:] * (1 - _FADE)
+        if carried is not None:
+            scores[0, :rest] = scores[0, :rest] * _FADE + carried * (1 - _FADE)
         more = lo + BLOCK < len(starts) and starts[lo + BLOCK] == end
-        carried = (emit[-rest:].copy(), trust[-rest:].copy()) if more else None
-        stop = len(emit) - rest if more else len(emit)
-        yield begin, emit[:stop] / np.maximum(trust[:stop, None], 1)
+        carried = scores[-1, STRIDE:].copy() if more else None
+        emit = np.empty((end + rest - begin, TAGS), np.float32)
+        for at, own in zip((some - begin).tolist(), scores):
+            emit[at : at + WIDTH] = own  # what two windows share is in the later one
+        yield begin, emit[: len(emit) - rest] if more else emit
 
 
 def _laid_out(texts: list[str]) -> tuple[list[int], int]:
