@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavid.functions import surrogate_key
-from stratavid.operators.latest import daily_latest
+from stratavid.operators.latest import daily_latest, dealt_anew
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
@@ -149,9 +149,8 @@ def extend_open(
     """
     attributes = [c for c in opened.columns if c != VALID_TO]
     start = opened.select(*attributes).withColumnRenamed(VALID_FROM, ts)
-    return scd2_history(
-        start.unionByName(history.select(*start.columns)), keys, ts, check_cols, daily=True
-    ).select(*opened.columns)
+    both = dealt_anew(start.unionByName(history.select(*start.columns)), *keys)
+    return scd2_history(both, keys, ts, check_cols, daily=True).select(*opened.columns)
 
 
 def merge_late(
@@ -173,36 +172,56 @@ def merge_late(
     versions are derived anew, as sightings between two stored versions count too; what ended
     before is kept, and so is every version of the other keys. A version that ended without a
     successor (a key that was gone) still ends there.
+
+    Stored versions, sightings and first late days meet in windows over the key, with no join, so no row of
+    an earlier load is read twice.
     """
     attributes = [c for c in versions.columns if c not in (VALID_FROM, VALID_TO, "is_current")]
-    versions = versions.select(*attributes, VALID_FROM, VALID_TO)
-    cuts = late.groupBy(*keys).agg(F.date_trunc("day", F.min(ts)).cast(versions.schema[VALID_FROM].dataType).alias("__cut"))
-    untouched = versions.join(cuts, list(keys), "left_anti")
-    along = Window.partitionBy(*keys).orderBy(VALID_FROM)
-    touched = versions.join(cuts, list(keys)).withColumn("__next", F.lead(VALID_FROM).over(along))
-    settled = F.col(VALID_TO) < F.col("__cut")
-    kept = touched.filter(settled)
-    redone = touched.filter(~F.coalesce(settled, F.lit(False)))
-
-    def events(rows: DataFrame, at: str, alive: bool) -> DataFrame:
-        return rows.select(*attributes, F.col(at).alias("__at"), F.lit(alive).alias("__alive"))
-
-    cut_version = redone.filter(F.col(VALID_FROM) < F.col("__cut"))
-    gone = redone.filter(F.col(VALID_TO).isNotNull() & ~F.col(VALID_TO).eqNullSafe(F.col("__next")))
-    seen = observed.join(cuts, list(keys)).filter(F.col(ts) >= F.col("__cut"))
-    all_events = events(cut_version, VALID_FROM, True).unionByName(events(seen, ts, True)).unionByName(events(gone, VALID_TO, False))
+    moment = versions.schema[VALID_FROM].dataType
+    # A key with a null in it equals no other key, so nothing is late for it.
+    cuts = late.na.drop(subset=list(keys)).groupBy(*keys).agg(F.date_trunc("day", F.min(ts)).cast(moment).alias("__late"))
+    stored = versions.select(*attributes, F.col(VALID_FROM).alias("__at"), F.col(VALID_TO).alias("__to"), F.lit("stored").alias("__kind"))
+    sighted = observed.select(*attributes, F.col(ts).alias("__at"), F.lit("sighted").alias("__kind"))
+    gathered = (
+        stored.unionByName(sighted, allowMissingColumns=True)
+        .unionByName(cuts.withColumn("__kind", F.lit("cut")), allowMissingColumns=True)
+    )
+    gathered = (
+        dealt_anew(gathered, *keys)
+        .withColumn("__cut", F.max("__late").over(Window.partitionBy(*keys)))
+        .withColumn("__next", F.lead("__at").over(Window.partitionBy(*keys, "__kind").orderBy("__at")))
+    )
+    at, to, cut = F.col("__at"), F.col("__to"), F.col("__cut")
+    is_stored, is_sighted = F.col("__kind") == "stored", F.col("__kind") == "sighted"
+    kept = is_stored & (cut.isNull() | F.coalesce(to < cut, F.lit(False)))
+    redone = is_stored & ~kept
+
+    def event(when: Column, start: Column, end: Column, alive: bool, settled: bool) -> Column:
+        end_type = stored.schema["__to"].dataType
+        fields = {"__start": start, "__end": end.cast(end_type), "__alive": F.lit(alive), "__settled": F.lit(settled)}
+        return F.when(when, F.struct(*[c.alias(name) for name, c in fields.items()]))
+
+    no_end = F.lit(None)
+    events = F.array_compact(
+        F.array(
+            event(kept, at, to, True, True),
+            event(redone & (at < cut), at, no_end, True, False),
+            event(redone & to.isNotNull() & ~to.eqNullSafe(F.col("__next")), to, no_end, False, False),
+            event(is_sighted & (at >= cut), at, no_end, True, False),
+        )
+    )
+    all_events = gathered.select(*attributes, F.inline(events))
     # At equal times the end comes first: who is seen then is back.
-    order = Window.partitionBy(*keys).orderBy("__at", "__alive")
+    order = Window.partitionBy(*keys, "__settled").orderBy("__start", "__alive")
     state = F.when(F.col("__alive"), F.struct(*check_cols))
     compared = all_events.withColumn("__state", F.struct("__alive", state.alias("s"))).withColumn(
         "__before", F.lag("__state").over(order)
     )
-    changes = compared.filter(F.col("__before").isNull() | ~F.col("__state").eqNullSafe(F.col("__before")))
-    derived = changes.withColumn("__until", F.lead("__at").over(order)).filter("__alive")
-    return (
-        untouched.unionByName(kept.select(*untouched.columns))
-        .unionByName(derived.select(*attributes, F.col("__at").alias(VALID_FROM), F.col("__until").alias(VALID_TO)))
-    )
+    changed = F.col("__before").isNull() | ~F.col("__state").eqNullSafe(F.col("__before"))
+    changes = compared.filter(F.col("__settled") | changed)
+    until = F.when(F.col("__settled"), F.col("__end")).otherwise(F.lead("__start").over(order))
+    derived = changes.withColumn("__until", until).filter("__alive")
+    return derived.select(*attributes, F.col("__start").alias(VALID_FROM), F.col("__until").alias(VALID_TO))
 
 
 def versioned_view(snapshot: DataFrame) -> DataFrame:
@@ -259,9 +278,11 @@ def asof_join(
         F.struct(*facts.columns).alias("__fact"),
     )
     no_version = F.lit(None).cast(started.schema["__version"].dataType)
+    marks = started.select("__key", "__span", "__version", F.lit(False).alias("__wanted")).unionByName(
+        placed.select("__key", "__span", no_version.alias("__version"), F.lit(True).alias("__wanted")).distinct()
+    )
     marks = (
-        started.select("__key", "__span", "__version", F.lit(False).alias("__wanted"))
-        .unionByName(placed.select("__key", "__span", no_version.alias("__version"), F.lit(True).alias("__wanted")))
+        dealt_anew(marks, "__key")
         .groupBy("__key", "__span")
         .agg(F.max("__version").alias("__last"), F.max("__wanted").alias("__wanted"))
     )
@@ -279,7 +300,7 @@ def asof_join(
     )
     # At equal times the version comes first: a fact at its start belongs to it.
     order = Window.partitionBy("__key", "__span").orderBy("__at", F.col("__fact").isNotNull())
-    found = events.withColumn("__version", F.last("__version", ignorenulls=True).over(order)).filter(
+    found = dealt_anew(events, "__key", "__span").withColumn("__version", F.last("__version", ignorenulls=True).over(order)).filter(
         F.col("__fact").isNotNull()
     )
     ended = F.col("__version.__to")

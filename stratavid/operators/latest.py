@@ -54,3 +54,13 @@ def daily_latest(
 def first_by_key(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:
     """Distinct keys, keeping the row that comes first in ``order``."""
     return top_per_key(df, keys, [_col(c).asc_nulls_last() for c in order])
+
+
+def dealt_anew(union: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a union, dealt by ``keys`` in an exchange of their own.
+
+    Parts that are dealt by the keys already make Spark take their union as dealt, too. AQE then joins
+    the shuffle partitions of each part on its own, and windows over the union miss rows on large tables
+    (seen with Spark 4.1.2). The planner leaves out a repartition there, but not a rebalance.
+    """
+    return union.hint("rebalance", *[F.col(k) for k in keys])

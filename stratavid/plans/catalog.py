@@ -46,7 +46,7 @@ from stratavid.operators.incremental import (
     incremental_load,
     unexpired,
 )
-from stratavid.operators.latest import daily_latest, first_by_key, latest_by_key, top_per_key
+from stratavid.operators.latest import daily_latest, dealt_anew, first_by_key, latest_by_key, top_per_key
 from stratavid.operators.masking import FULL, LIMITED
 from stratavid.operators.snapshot import SnapshotRules, clean_channels, silver_snapshot
 from stratavid.operators.star import calendar, date_dim, date_spine
@@ -677,7 +677,8 @@ def scd2_late_rows(w: Layers) -> DataFrame:
     for load in (0, 3):
         late = orders.filter(third == load)
         arrived = arrived.unionByName(late)
-        days = daily_latest(arrived.join(late.select(*keys).distinct(), keys, "left_semi"), keys, "o_orderdate", ["o_orderkey"])
+        touched = dealt_anew(arrived.join(late.select(*keys).distinct(), keys, "left_semi"), *keys)
+        days = daily_latest(touched, keys, "o_orderdate", ["o_orderkey"])
         versions = merge_late(versions, late, days, keys, "o_orderdate", checked)
     return versioned_view(versions)
 

@@ -15,7 +15,8 @@ from stratavid.operators.history import (
     versioned_view,
     with_version_key,
 )
-from tests.conftest import rows_of
+from stratavid.operators.latest import daily_latest
+from tests.conftest import final_plan, rows_of
 
 OBSERVED = "id string, title string, note string, ts timestamp_ntz"
 VERSIONS = "id string, title string, note string, valid_from timestamp_ntz, valid_to timestamp_ntz"
@@ -231,3 +232,20 @@ def test_a_late_row_moves_the_days_observation(frame):
     assert rows_of(merge_late(versions, late, seen, ["id"], "ts", ["title"]), "title", "valid_from") == [
         ("A", "2024-01-01 10:00:00"), ("B", "2024-01-02 12:00:00"),
     ]
+
+
+def test_late_rows_merge_without_joins(spark, tmp_path):
+    """Joins over unions of joins fail where shuffle partitions are joined into tasks unevenly, as on large tables."""
+    rows = spark.range(4000).select(
+        (F.col("id") % 600).alias("k"), F.col("id").alias("row"),
+        (at("2024-01-01") + F.make_dt_interval(days=(F.col("id") * 7 % 400).cast("int"))).alias("ts"),
+        (F.col("id") % 5 % 3).alias("state"),
+    )
+    whole = ["k"], "ts", ["state"], ["row"]
+    scd2_history(rows.filter("row % 3 > 0"), *whole).write.parquet(f"{tmp_path}/versions")
+    late, seen = rows.filter("row % 3 = 0"), daily_latest(rows, ["k"], "ts", ["row"])
+    merged = merge_late(spark.read.parquet(f"{tmp_path}/versions"), late, seen, ["k"], "ts", ["state"])
+    columns = ("k", "state", "valid_from", "valid_to")
+    assert rows_of(merged, *columns) == rows_of(scd2_history(rows, *whole), *columns)
+    plan = final_plan(merged).split("Initial Plan")[0]
+    assert "Join" not in plan and plan.count("Scan parquet") == 1
