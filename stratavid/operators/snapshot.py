@@ -37,13 +37,19 @@ def silver_snapshot(raw: DataFrame, rules: SnapshotRules, as_of: Column) -> Data
 
     The day's newest row is picked first and cleaned afterwards, so an all-null
     newest row drops the day instead of uncovering an older row.
+
+    Rows are dealt by the entity alone, before they are ranked. Histories, joins and windows
+    over the same key then need no exchange of their own, and no input split sorts its wide
+    rows (which spills) to cut the few that share an entity and a day.
     """
     wanted = [F.col(raw_name).alias(name) for name, raw_name in rules.columns.items()]
     version = F.col(rules.version)
     staged = raw.select(
         *wanted, version.alias("loaded_at"), F.to_date(version).alias("date_key"), *_extra(rules)
+    ).repartition(F.col(rules.key))
+    newest = daily_latest(staged, [rules.key], "loaded_at", rules.tiebreak).select(
+        *rules.columns, "loaded_at", "date_key"
     )
-    newest = daily_latest(staged, [rules.key], "loaded_at", rules.tiebreak).drop(*rules.tiebreak)
 
     def cleaned(name: str) -> Column:
         if name in rules.texts:
@@ -59,7 +65,7 @@ def silver_snapshot(raw: DataFrame, rules: SnapshotRules, as_of: Column) -> Data
 
 
 def _extra(rules: SnapshotRules) -> list[Column]:
-    return [F.col(c) for c in rules.tiebreak if c not in rules.columns]
+    return [F.col(c) for c in rules.tiebreak if c not in (*rules.columns, "date_key")]
 
 
 def clean_channels(

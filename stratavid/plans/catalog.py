@@ -727,7 +727,7 @@ def video_history_loads(w: Layers) -> DataFrame:
 @query
 def video_tag_loads(w: Layers) -> DataFrame:
     """Video-tag pairs over three loads; a load that sees a pair again opens a version."""
-    first, *rest = (gold.video_tag_pairs(rows, w.dim_video, w.as_of) for rows in _loads(w.stg_videos))
+    first, *rest = (gold.video_tag_pairs(rows, w.dim_video, w.as_of) for rows in _loads(w.star_videos))
     keys = ["video_sk", "tag_id"]
     return _folded(gold.opened(first), rest, lambda o, b: merge_open(o, b, keys, "loaded_at", w.as_of))
 

@@ -15,6 +15,7 @@ from stratavid.operators.incremental import (
     union_promoted,
     upsert,
 )
+from stratavid.operators.history import scd2_history
 from stratavid.operators.latest import daily_latest, first_by_key, latest_by_key
 from stratavid.operators.masking import FULL, LIMITED
 from stratavid.operators.snapshot import SnapshotRules, clean_channels, silver_snapshot
@@ -295,3 +296,17 @@ def test_hot_join_key_is_split(spark, frame):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_snapshot_and_its_history_share_one_exchange(frame):
+    """The snapshot deals its rows by entity, unsorted; versions of the entity need no exchange more."""
+    rules = SnapshotRules(key="id", version="ts", columns={"id": "id", "v": "v"}, tiebreak=("v", "tie"))
+    raw = frame(
+        "id string, v int, tie int, ts timestamp_ntz",
+        ("a", 1, 1, "2024-01-01 08:00:00"), ("a", 2, 2, "2024-01-01 08:00:00"), ("a", 2, 0, "2024-01-02"), ("b", None, 1, "2024-01-01"),
+    )
+    daily = silver_snapshot(raw, rules, F.lit("2024-02-01").cast("timestamp_ntz"))
+    assert daily.columns == ["id", "v", "loaded_at", "date_key"]
+    versions = scd2_history(daily, ["id"], "loaded_at", ["v"], daily=True)
+    assert rows_of(versions, "id", "v", "valid_to") == [("a", 2, None), ("b", None, None)]
+    assert versions._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
