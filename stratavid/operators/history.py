@@ -189,11 +189,12 @@ def merge_late(
     gathered = (
         dealt_anew(gathered, *keys)
         .withColumn("__cut", F.max("__late").over(Window.partitionBy(*keys)))
+        .withColumn("__touched", F.max(F.col("__kind") == "cut").over(Window.partitionBy(*keys)))
         .withColumn("__next", F.lead("__at").over(Window.partitionBy(*keys, "__kind").orderBy("__at")))
     )
     at, to, cut = F.col("__at"), F.col("__to"), F.col("__cut")
     is_stored, is_sighted = F.col("__kind") == "stored", F.col("__kind") == "sighted"
-    kept = is_stored & (cut.isNull() | F.coalesce(to < cut, F.lit(False)))
+    kept = is_stored & (~F.col("__touched") | F.coalesce(to < cut, F.lit(False)))
     redone = is_stored & ~kept
 
     def event(when: Column, start: Column, end: Column, alive: bool, settled: bool) -> Column:
