@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratavid.operators.sizing import dealt
+
 _RANK = "__rank"
 
 
@@ -63,4 +65,4 @@ def dealt_anew(union: DataFrame, *keys: str) -> DataFrame:
     the shuffle partitions of each part on its own, and windows over the union miss rows on large tables
     (seen with Spark 4.1.2). The planner leaves out a repartition there, but not a rebalance.
     """
-    return union.hint("rebalance", *[F.col(k) for k in keys])
+    return dealt(union, *keys)

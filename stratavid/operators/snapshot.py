@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavid.functions import blank_to_null, equals_or_missing, lacks_text, non_negative, not_future
 from stratavid.operators.latest import daily_latest
+from stratavid.operators.sizing import dealt
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,8 @@ def silver_snapshot(raw: DataFrame, rules: SnapshotRules, as_of: Column) -> Data
     version = F.col(rules.version)
     staged = raw.select(
         *wanted, version.alias("loaded_at"), F.to_date(version).alias("date_key"), *_extra(rules)
-    ).repartition(F.col(rules.key))
-    newest = daily_latest(staged, [rules.key], "loaded_at", rules.tiebreak).select(
+    )
+    newest = daily_latest(dealt(staged, rules.key), [rules.key], "loaded_at", rules.tiebreak).select(
         *rules.columns, "loaded_at", "date_key"
     )
 

@@ -1,10 +1,11 @@
+import re
 from datetime import date
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from stratavid.operators import quality
+from stratavid.operators import quality, sizing
 from stratavid.operators.incremental import (
     above_mark,
     append_new_dates,
@@ -310,3 +311,29 @@ def test_a_snapshot_and_its_history_share_one_exchange(frame):
     versions = scd2_history(daily, ["id"], "loaded_at", ["v"], daily=True)
     assert rows_of(versions, "id", "v", "valid_to") == [("a", 2, None), ("b", None, None)]
     assert versions._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_snapshots_are_dealt_wider_the_more_they_read(spark, tmp_path, monkeypatch):
+    """A task sorts a bounded share of the input, whatever the session's shuffle width."""
+    raw = spark.range(4000).select(
+        F.concat(F.lit("k"), F.col("id") % 50).alias("rawId"), F.sha2(F.col("id").cast("string"), 256).alias("rawTitle"),
+        F.col("id").alias("rawViews"), F.lit("2024-01-01").cast("timestamp_ntz").alias("born"),
+        F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(id % 90))").alias("ts"),
+    )
+    raw.repartition(1).write.parquet(f"{tmp_path}/raw")
+    stored = spark.read.parquet(f"{tmp_path}/raw")
+    size = sizing.input_bytes(stored)
+    assert size > 0 and sizing.input_bytes(stored.unionByName(stored).filter("rawViews > 1")) == size
+    assert sizing.input_bytes(spark.createDataFrame(spark.sparkContext.parallelize([(1,)]), "a int")) == 0
+
+    def snapshot():
+        return silver_snapshot(stored, RULES, at("2024-06-01"))
+
+    def width(df):
+        return re.findall(r"hashpartitioning\(id#\d+, (\d+)\)", df._jdf.queryExecution().executedPlan().toString())
+
+    assert width(snapshot()) == ["4"]  # the session's width
+    few = rows_of(snapshot().drop("rawViews"), "id", "date_key")
+    monkeypatch.setattr(sizing, "PARTITION_BYTES", 10_000)
+    assert width(snapshot()) == [str(-(-size // 10_000))] and size > 50_000
+    assert rows_of(snapshot(), "id", "date_key") == few
