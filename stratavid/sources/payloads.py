@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,14 +38,19 @@ def payload_items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
     * ``unreadable <part>``: a part that should be an object is something else.
     """
     schema = _item_schema(kind)
-    parsed = F.from_json(column, _ITEM_TEXTS)
     others = [F.col(c) for c in payloads.columns if c != column]
-    whole = payloads.filter(_reason(parsed, F.col(column)).isNull())
-    texts = whole.select(*others, F.posexplode(parsed["items"]).alias("position", "item_text"))
-    read = texts.withColumn("__item", F.from_json("item_text", schema))
+    whole = _computed_once(payloads, "__parsed", F.from_json(column, _ITEM_TEXTS))
+    # The list of a payload that is left out is null, which gives no rows.
+    listed = F.when(_reason(F.col("__parsed"), F.col(column)).isNull(), F.col("__parsed.items"))
+    texts = whole.select(*others, F.posexplode(listed).alias("position", "item_text"))
     parts = [f.name for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    part_texts = F.from_json("item_text", ", ".join(f"{p} string" for p in parts))
+    read = _computed_once(texts, "__item", F.from_json("item_text", schema))
+    # Texts are read only where the name of a missing part occurs, or an escape that may hide it.
+    hides = F.contains("item_text", F.lit("\\"))
+    in_doubt = [F.col(f"__item.{p}").isNull() & (hides | F.contains("item_text", F.lit(p))) for p in parts]
+    read = _computed_once(read, "__texts", F.when(reduce(Column.__or__, in_doubt), part_texts))
     # A part that is there, but of which the reader made nothing.
-    read = read.withColumn("__texts", F.from_json("item_text", ", ".join(f"{p} string" for p in parts)))
     lost = [
         F.when(F.col(f"__item.{p}").isNull() & F.col(f"__texts.{p}").isNotNull(), f"unreadable {p}") for p in parts
     ]
@@ -64,6 +71,15 @@ def payload_items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
     )
 
 
+def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with one column more, computed once a row however many columns and filters read it.
+
+    Spark moves filters below plain columns and repeats the column for each mention, which parsed an
+    item some fifteen times. It does not move them below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def rejected_items(payloads: DataFrame, column: str, kind: str) -> DataFrame:
     """The items that flattening leaves out of otherwise good payloads: their position, text and ``item_reason``."""
     return payload_items(payloads, column, kind).filter(F.col("item_reason").isNotNull()).drop("item")

@@ -466,3 +466,14 @@ def test_a_refresh_cut_off_in_its_copy_is_finished_from_the_staged_rows(spark, f
     assert sinks.finish_refresh(spark, path) is False
     sinks.full_refresh(spark.read.parquet(path).select((F.col("a") + 1).alias("a")), path)
     assert rows_of(spark.read.parquet(path)) == [(3,)]
+
+
+def test_items_are_parsed_once_each(frame):
+    """One reading of the payload, one of each item as its parts, and one as texts of parts that may be there unread."""
+    payloads = frame("j string", (json.dumps({"items": [{"id": "a", "snippet": {"title": "t"}}, {"id": "b", "snippet": 3}, 5]}),))
+    rows = flatten_video_payload(payloads, "j", at("2024-06-01"))
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 3
+    assert rows_of(rows, "videoId", "title") == [("a", "t")]
+    hidden = '{"items": [{"id": "c", "sn\\u0069ppet": 3}, {\'id\': "d", \'status\': 4}, {"id": "e", "kind": "snippet"}]}'
+    spoilt = rejected_items(frame("j string", (hidden,)), "j", "video")
+    assert rows_of(spoilt, "position", "item_reason") == [(0, "unreadable snippet"), (1, "unreadable status")]
