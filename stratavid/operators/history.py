@@ -245,7 +245,7 @@ def asof_join(
     at: str,
     horizon: Column,
     how: str = "inner",
-    span: str = "month",
+    span: str | None = "month",
 ) -> DataFrame:
     """Each fact with the version valid at its time; a fact exactly at ``valid_to`` gets the newer one.
 
@@ -254,13 +254,19 @@ def asof_join(
     facts also gets the last version from before it. Rows in flight are therefore versions
     and facts and at most one row per key and span of facts, however long a version is open.
     ``horizon`` (or later) is the span of all later times; it affects balance, not the result.
+
+    Where a key has few facts, one a day at most, pass ``span=None``: both meet in windows over the key alone. Each
+    version and fact then travels once, and what is made of one key's facts needs no rows of other tasks.
     """
     if how not in ("inner", "left"):
         raise ValueError("an as-of join is inner or left")
 
     def bucket(c: Column) -> Column:
+        if span is None:
+            return F.lit(None)
         return F.least(F.trunc(F.to_date(c), span), F.trunc(F.to_date(horizon), span))
 
+    groups = ["__key"] if span is None else ["__key", "__span"]
     extra = [c for c in versions.columns if c not in facts.columns]
     # The start leads the struct, so the largest one is the latest version.
     started = versions.select(
@@ -279,33 +285,37 @@ def asof_join(
         F.struct(*facts.columns).alias("__fact"),
     )
     no_version = F.lit(None).cast(started.schema["__version"].dataType)
-    marks = started.select("__key", "__span", "__version", F.lit(False).alias("__wanted")).unionByName(
-        placed.select("__key", "__span", no_version.alias("__version"), F.lit(True).alias("__wanted")).distinct()
-    )
-    marks = (
-        dealt_anew(marks, "__key")
-        .groupBy("__key", "__span")
-        .agg(F.max("__version").alias("__last"), F.max("__wanted").alias("__wanted"))
-    )
-    earlier = Window.partitionBy("__key").orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        marks.withColumn("__version", F.last("__last", ignorenulls=True).over(earlier))
-        .filter("__wanted AND __version IS NOT NULL")
-        .select("__key", "__span", "__version")
-    )
+    known = started
+    if span is not None:
+        marks = started.select("__key", "__span", "__version", F.lit(False).alias("__wanted")).unionByName(
+            placed.select("__key", "__span", no_version.alias("__version"), F.lit(True).alias("__wanted")).distinct()
+        )
+        marks = (
+            dealt_anew(marks, "__key")
+            .groupBy("__key", "__span")
+            .agg(F.max("__version").alias("__last"), F.max("__wanted").alias("__wanted"))
+        )
+        earlier = Window.partitionBy("__key").orderBy("__span").rowsBetween(Window.unboundedPreceding, -1)
+        carried = (
+            marks.withColumn("__version", F.last("__last", ignorenulls=True).over(earlier))
+            .filter("__wanted AND __version IS NOT NULL")
+            .select("__key", "__span", "__version")
+        )
+        known = started.unionByName(carried)
     no_fact = F.lit(None).cast(placed.schema["__fact"].dataType)
-    events = (
-        started.unionByName(carried)
-        .select("__key", "__span", F.col("__version.__from").alias("__at"), no_fact.alias("__fact"), "__version")
-        .unionByName(placed.withColumn("__version", no_version))
+    events = known.select(*groups, F.col("__version.__from").alias("__at"), no_fact.alias("__fact"), "__version").unionByName(
+        placed.select(*groups, "__at", "__fact", no_version.alias("__version"))
     )
     # At equal times the version comes first: a fact at its start belongs to it.
-    order = Window.partitionBy("__key", "__span").orderBy("__at", F.col("__fact").isNotNull())
-    found = dealt_anew(events, "__key", "__span").withColumn("__version", F.last("__version", ignorenulls=True).over(order)).filter(
+    order = Window.partitionBy(*groups).orderBy("__at", F.col("__fact").isNotNull())
+    found = dealt_anew(events, *groups).withColumn("__version", F.last("__version", ignorenulls=True).over(order)).filter(
         F.col("__fact").isNotNull()
     )
     ended = F.col("__version.__to")
     valid = F.col("__version").isNotNull() & F.col("__key").isNotNull() & (ended.isNull() | (F.col("__at") < ended))
+    if span is None:  # as with spans, a version without a start is known in the last month alone
+        late = F.trunc(F.to_date("__at"), "month") >= F.trunc(F.to_date(horizon), "month")
+        valid = valid & (F.col("__version.__from").isNotNull() | F.coalesce(late, F.lit(True)))
     if how == "inner":
         found = found.filter(valid)
     return found.select(

@@ -32,10 +32,13 @@ def input_bytes(df: DataFrame) -> int:
     return sum(size for size in sizes.values() if size < unknown)
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
+def dealt(df: DataFrame, *keys: str, joined: bool = True) -> DataFrame:
     """Rows dealt by ``keys``, into more partitions the more the plan reads, so that no task's sort outgrows its memory.
 
-    At least as many as the session's shuffle width; AQE joins what turns out small.
+    At least as many as the session's shuffle width; AQE joins what turns out small. It goes by compressed bytes, so for rows
+    that shrink much in a shuffle pass ``joined=False``: partitions stay as they are, and hot keys are not split either.
     """
     width = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // PARTITION_BYTES))
+    if not joined:
+        return df.repartition(width, *keys)
     return df.hint("rebalance", width, *[F.col(k) for k in keys])

@@ -36,15 +36,17 @@ def token_bridge(
 ) -> DataFrame:
     """Entity-token pairs seen while some version of the entity was valid, newest sighting as ``loaded_at``.
 
-    The as-of join runs on the short list rows and tokens are split after it. A token's key is the
+    The as-of join runs on the short list rows, over the entity alone, as a daily ``staging`` has one a day of it at most.
+    Tokens are split after it, and an entity's pairs collapse in its task before they are exchanged. A token's key is the
     hash that the token dimension has for it, so no join with the dimension is needed; the
     declared relationship check compares the two.
     """
+    # A null entity equals no other.
     lists = staging.select(entity, column, "loaded_at").filter(
-        F.col(column).isNotNull() & (F.col(column) != "")
+        F.col(entity).isNotNull() & F.col(column).isNotNull() & (F.col(column) != "")
     )
-    spans = versions.select(version_entity, entity_sk, VALID_FROM, VALID_TO)
-    matched = asof_join(lists, spans, entity, version_entity, "loaded_at", horizon)
+    spans = versions.select(version_entity, entity_sk, VALID_FROM, VALID_TO).filter(F.col(version_entity).isNotNull())
+    matched = asof_join(lists, spans, entity, version_entity, "loaded_at", horizon, span=None)
     pairs = (
         token_rows(matched.select(entity_sk, "loaded_at", column), column, token)
         .groupBy(entity_sk, token)

@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratavid.operators.sizing import dealt
 from stratavid.plans import gold, silver
 from stratavid.plans.raw import (
     CHANNEL_TIEBREAK,
@@ -63,6 +64,11 @@ class Layers:
         settled = (*VIDEO_TIEBREAK, *silver.VIDEO_RULES.columns, "date_key")
         return silver.stg_videos(self.raw_videos.filter("videoId IS NOT NULL"), self.as_of, settled)
 
+    @cached_property
+    def listed_videos(self) -> DataFrame:
+        """``star_videos`` for tables that deal its rows by other keys or anew."""
+        return self.star_videos
+
     @cached_property
     def dim_channel(self) -> DataFrame:
         return gold.dim_channel(gold.channel_snapshot(self.stg_channels))
@@ -77,7 +83,7 @@ class Layers:
 
     @cached_property
     def dim_tag(self) -> DataFrame:
-        return gold.dim_tag(self.star_videos)
+        return gold.dim_tag(self.listed_videos)
 
     @cached_property
     def bridge_channel_keyword(self) -> DataFrame:
@@ -88,7 +94,7 @@ class Layers:
     @cached_property
     def bridge_video_tag(self) -> DataFrame:
         return gold.bridge(
-            gold.video_tag_pairs(self.star_videos, self.dim_video, self.as_of)
+            gold.video_tag_pairs(self.listed_videos, self.dim_video, self.as_of)
         )
 
     @cached_property
@@ -124,6 +130,14 @@ class StoredLayers(Layers):
 
     @cached_property
     def star_videos(self) -> DataFrame:
+        """The written rows, dealt by the size of their files, so that no sort of versions outgrows its task.
+
+        They have one row per video and day, so no key is hot.
+        """
+        return dealt(self.stg_videos, "video_id", joined=False)
+
+    @cached_property
+    def listed_videos(self) -> DataFrame:
         return self.stg_videos
 
 

@@ -16,6 +16,7 @@ from stratavid.operators.history import (
     with_version_key,
 )
 from stratavid.operators.latest import daily_latest
+from stratavid.operators.tokens import token_bridge
 from tests.conftest import final_plan, rows_of
 
 OBSERVED = "id string, title string, note string, ts timestamp_ntz"
@@ -134,6 +135,33 @@ def test_asof_boundaries(frame):
     assert outer.count() == 8 and outer.filter("title is null").count() == 3
 
 
+def test_asof_join_over_the_key_alone_gives_the_same(frame):
+    versions = frame(
+        "vid string, title string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+        ("a", "A", "2024-01-10", "2024-03-01"), ("a", "B", "2024-03-01", None), ("b", "C", "2023-01-01", "2023-01-02"),
+        ("d", "D", None, None), (None, "E", "2023-01-01", None),
+    )
+    facts = frame(
+        "id string, at timestamp_ntz",
+        ("a", "2024-01-09 23:59:59"), ("a", "2024-01-10"), ("a", "2024-02-15"), ("a", "2024-03-01"), ("a", "2030-01-01"),
+        ("b", "2023-06-01"), ("b", "2023-01-01"), ("c", "2024-01-10"), ("d", "2024-01-10"), ("d", "2024-06-10"), ("d", None), ("a", None), (None, "2024-01-10"),
+        ("a", "2024-02-15"),
+    )
+    for how in ("inner", "left"):
+        by_month, by_key = (asof_join(facts, versions, "id", "vid", "at", at("2024-06-01"), how, span) for span in ("month", None))
+        assert rows_of(by_key) == rows_of(by_month)
+
+
+def test_bridge_deals_versions_and_lists_once(frame):
+    staging = frame("id string, tags string, loaded_at timestamp_ntz", ("a", "x, y", "2024-01-10"), ("a", "y", "2024-02-15"),
+                    ("a", "", "2024-02-16"), (None, "z", "2024-01-10"), ("b", "x", "2024-01-10"))
+    versions = frame("vid string, sk string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+                     ("a", "A", "2024-01-01", "2024-02-01"), ("a", "A", "2024-02-01", None), (None, "N", "2024-01-01", None))
+    pairs = token_bridge(staging, versions, "id", "vid", "sk", "tags", "tag", "tag_id", at("2024-06-01"))
+    assert pairs._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions") == 1
+    assert rows_of(pairs, "sk", "loaded_at") == [("A", "2024-01-10 00:00:00"), ("A", "2024-02-15 00:00:00")]
+
+
 def test_asof_join_spreads_a_hot_key(spark, frame):
     """The window that facts meet versions in is split by span, and an open version does not fan out."""
     versions = frame("vid int, valid_from timestamp_ntz, valid_to timestamp_ntz", (1, "2000-01-01", None))

@@ -23,6 +23,7 @@ from stratavid.operators.snapshot import SnapshotRules, clean_channels, silver_s
 from stratavid.operators.star import date_dim
 from stratavid.operators.tokens import token_dim, token_rows
 from stratavid.plans import adhoc, analytics, secure
+from stratavid.plans.layers import StoredLayers
 from tests.conftest import final_plan, rows_of
 
 RULES = SnapshotRules(
@@ -337,3 +338,16 @@ def test_snapshots_are_dealt_wider_the_more_they_read(spark, tmp_path, monkeypat
     monkeypatch.setattr(sizing, "PARTITION_BYTES", 10_000)
     assert width(snapshot()) == [str(-(-size // 10_000))] and size > 50_000
     assert rows_of(snapshot(), "id", "date_key") == few
+
+
+def test_written_layers_deal_daily_rows_by_the_size_of_their_files(spark, tmp_path, monkeypatch):
+    """Rows that shrink much in a shuffle are not joined into a few large sorts."""
+    spark.range(4000).selectExpr("concat('v', id % 50) AS video_id", "sha2(cast(id AS string), 256) AS title").repartition(
+        1
+    ).write.parquet(f"{tmp_path}/days")
+    layers = StoredLayers(spark, "")
+    layers.stg_videos = spark.read.parquet(f"{tmp_path}/days")
+    monkeypatch.setattr(sizing, "PARTITION_BYTES", 10_000)
+    width = -(-sizing.input_bytes(layers.stg_videos) // 10_000)
+    assert width > 4 and layers.star_videos.rdd.getNumPartitions() == width
+    assert rows_of(layers.star_videos) == rows_of(layers.stg_videos) and layers.listed_videos is layers.stg_videos
