@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from stratavid.llm.common import stored
 from stratavid.llm.tokens import encoder, slices, vocabulary_path
 
+# Text encoded at a time; its words and ids take some twenty times as much in a worker.
+SLICE_BYTES = 1 << 20
 CAPACITY = 4096
 END_ID = 2
 # Tokens packed together: about 256 windows, and the most a task holds besides one document.
@@ -178,7 +180,7 @@ def pack(
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 ids, bounds = words.encode(part.column("text"))
                 for n, doc_id in enumerate(part.column("id").to_pylist()):
                     own = np.append(ids[bounds[n] : bounds[n + 1]], np.uint32(end_id)).astype("<u4")

@@ -30,10 +30,12 @@ GROUPS = (
     b".", b",", b"!?", b"|", b"*#$%&@^~", b"<>{}[]/\\=+_`", b"-()'\";:",
 )
 KINDS = len(GROUPS) + 1
-CLASS = np.full(256, KINDS - 1, np.int64)
+CLASS = np.full(256, KINDS - 1, np.uint8)
 for _n, _group in enumerate(GROUPS):
     CLASS[list(_group)] = _n
 WIDTH = KINDS * KINDS + 4
+# Bytes whose pairs are counted at a time: counting takes many bytes for each.
+BLOCK = 1 << 16
 # Shares are taken as if a text had so many more bytes of no class, so a few bytes prove little.
 PRIOR = 120
 
@@ -41,21 +43,18 @@ PRIOR = 120
 def features(texts: pa.Array) -> np.ndarray:
     """One row of numbers per text, of whole texts only; null is empty.
 
-    Shares of neighbouring byte classes; distinct words and lines, word length.
+    Shares of neighbouring byte classes; distinct words and lines, word length. Beside the texts and the result, memory is
+    that of a block of bytes and of one text's words.
     """
     texts = pc.fill_null(texts, "")
-    strings = texts.to_numpy(zero_copy_only=False)
-    raw = [t.encode() for t in strings]
-    size = np.array([len(t) for t in raw])
-    kind = CLASS[np.frombuffer(b"".join(raw), np.uint8)]
-    doc = np.repeat(np.arange(len(raw)), size)
-    out = np.zeros((len(raw), WIDTH))
-    if len(kind) > 1:
-        inside = doc[1:] == doc[:-1]
-        code = (doc[:-1] * KINDS + kind[:-1]) * KINDS + kind[1:]
-        pairs = np.bincount(code[inside], minlength=len(raw) * KINDS * KINDS).reshape(len(raw), -1)
-        out[:, : KINDS * KINDS] = 3 * pairs / (size + PRIOR)[:, None]
-    for n, text in enumerate(strings):
+    out = np.zeros((len(texts), WIDTH))
+    for n, text in enumerate(texts.to_numpy(zero_copy_only=False)):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        pairs = np.zeros(KINDS * KINDS, np.int64)
+        for lo in range(0, len(raw) - 1, BLOCK):
+            kind = CLASS[raw[lo : lo + BLOCK + 1]]  # a pair's code fits into a byte, too
+            pairs += np.bincount(kind[:-1] * np.uint8(KINDS) + kind[1:], minlength=KINDS * KINDS)
+        out[n, : KINDS * KINDS] = 3 * pairs / (len(raw) + PRIOR)
         words, lines = text.split(), text.split("\n")
         kinds = len(set(words))
         out[n, KINDS * KINDS :] = (

@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import tracemalloc
 import zlib
 import re
 
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stratavid.llm import pii, queries, secrets
+from stratavid.llm import pii, quality, queries, secrets
 from stratavid.llm.fingerprint import as_text, chunk_weights, containment, edit_resistance, edited, fingerprints, from_text
 from stratavid.llm.quality import Ranker, features, fit_pairs, held_out, keep_good, place_cut, score_documents, train
 from stratavid.llm.spans import joined
@@ -376,3 +377,27 @@ def test_pairs_rank_good_above_bad():
     bad = features(pa.array(["### $$$ %%% !!! ***"] * 5))
     ranker = fit_pairs(good, bad)
     assert ranker.strength(good).min() > ranker.strength(bad).max()
+
+
+def test_features_take_little_more_memory_than_their_texts():
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefgh,.1A#é", k=6)) for _ in range(300)]
+    texts = pa.array([" ".join(draw.choices(words, k=300)) for _ in range(1500)] + [None, "", "x"])
+    tracemalloc.start()
+    found = features(texts)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 4 * texts.nbytes
+    # The same numbers as from each text's pairs, counted one by one.
+    block, long = quality.BLOCK, texts[0].as_py()
+    raw = long.encode()
+    pairs = np.zeros(quality.KINDS**2)
+    for a, b in zip(raw, raw[1:]):
+        pairs[int(quality.CLASS[a]) * quality.KINDS + int(quality.CLASS[b])] += 1
+    assert np.array_equal(found[0, : quality.KINDS**2], 3 * pairs / (len(raw) + quality.PRIOR))
+    try:
+        quality.BLOCK = 7
+        assert np.array_equal(features(texts.slice(0, 3)), found[:3])
+    finally:
+        quality.BLOCK = block
+    assert np.array_equal(found[-3], found[-2])
