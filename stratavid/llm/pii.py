@@ -128,19 +128,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-# The logistic function at the middles of 1/8192 wide steps from -11 to 11; below it is 0, so that a gate can be closed.
-STEPS = 8192
-MIDDLE = 11 * STEPS
-_LOGISTIC = (1 / (1 + np.exp(-(np.arange(2 * MIDDLE) + 0.5 - MIDDLE) / STEPS))).astype(np.float32)
-_LOGISTIC[0] = 0
-
-
-def _squash(z: np.ndarray, place: np.ndarray) -> None:
-    """The logistic function of (z - MIDDLE) / STEPS, in place, by table; ``place`` is room of the same shape."""
-    np.copyto(place, z, casting="unsafe")
-    _LOGISTIC.take(place, out=z, mode="clip")
-
-
 class Tagger:
     """Bidirectional LSTM over character codes with a linear-chain CRF over tags, in numpy."""
 
@@ -187,38 +174,36 @@ class Tagger:
     def scan(self, x: np.ndarray) -> np.ndarray:
         """Emissions like ``emissions`` where ``x`` is no padding, (windows, steps, TAGS), several times as fast.
 
-        Windows lie along the last axis, and all gates go through one table look-up. Padding closes the input gate, so
-        the backward direction enters the text with an empty state; padding may only follow the text.
+        Windows lie along the last axis, and all steps work in place on one block of single precision. Padding closes the
+        input gate, so the backward direction enters the text with an empty state; padding may only follow the text.
         """
         h, steps, wide = HIDDEN, *x.shape
-        turned = np.repeat(np.array([1, 1, 1, 2], np.float32), h) * STEPS
-        table = (self.p["x"] + self.p["c"][:, None, :]) * turned + MIDDLE
+        # The gates' sums are kept negative: the logistic function of x is 1 / (1 + exp(-x)).
+        turned = np.repeat(np.array([-1, -1, -1, 1], np.float32), h)
+        table = (self.p["x"] + self.p["c"][:, None, :]) * turned
         table = np.ascontiguousarray(table.transpose(0, 2, 1))
         turn = np.ascontiguousarray((self.p["h"] * turned).transpose(0, 2, 1))
-        table[:, :h, PAD] = -100 * MIDDLE
+        table[:, :h, PAD] = 1e4
         x = x.astype(np.intp)
-        state, cell, room = np.zeros((3, 2, h, wide), np.float32)
+        state, cell, new = np.zeros((3, 2, h, wide), np.float32)
         z, out = np.empty((2, 4 * h, wide), np.float32), np.empty((steps, 2 * h, wide), np.float32)
-        into, place, spot = np.empty_like(z), np.empty(z.shape, np.intp), np.empty(room.shape, np.intp)
-        for t in range(steps):
-            np.matmul(turn, state, out=z)
-            table[0].take(x[t], axis=1, out=into[0], mode="clip")
-            table[1].take(x[steps - 1 - t], axis=1, out=into[1], mode="clip")
-            z += into
-            _squash(z, place)
-            new = z[:, 3 * h :]
-            new *= 2
-            new -= 1
-            new *= z[:, :h]
-            cell *= z[:, h : 2 * h]
-            cell += new
-            np.multiply(cell, 2 * STEPS, out=room)
-            room += MIDDLE
-            _squash(room, spot)
-            room *= 2
-            room -= 1
-            np.multiply(z[:, 2 * h : 3 * h], room, out=state)
-            out[t, :h], out[steps - 1 - t, h:] = state
+        into, gate = np.empty_like(z), z[:, : 3 * h]
+        with np.errstate(over="ignore"):  # a closed gate: 1 / infinity
+            for t in range(steps):
+                np.matmul(turn, state, out=z)
+                table[0].take(x[t], axis=1, out=into[0], mode="clip")
+                table[1].take(x[steps - 1 - t], axis=1, out=into[1], mode="clip")
+                z += into
+                np.tanh(z[:, 3 * h :], out=new)
+                np.exp(gate, out=gate)
+                gate += 1
+                np.reciprocal(gate, out=gate)
+                new *= z[:, :h]
+                cell *= z[:, h : 2 * h]
+                cell += new
+                np.tanh(cell, out=state)
+                state *= z[:, 2 * h : 3 * h]
+                out[t, :h], out[steps - 1 - t, h:] = state
         emit = self.p["out"].T @ out
         emit += self.p["bias"][:, None]
         return np.ascontiguousarray(emit.transpose(2, 0, 1))

@@ -172,6 +172,16 @@ def test_scan_gives_the_emissions_of_the_training_loop():
     assert np.abs(slow - fast)[(x != pii.PAD).T].max() < 1e-4
 
 
+def test_scan_is_as_exact_as_single_precision():
+    tagger, draw = pii.Tagger(), np.random.default_rng(4)
+    for scale in (1, 30):  # with weights of 30 times the size gates close and sums pass what exp can hold
+        tagger.p["x"] *= np.float32(scale)
+        x = draw.integers(0, pii.PAD, (60, 20))
+        x[40:, ::3] = pii.PAD
+        slow, fast = tagger.emissions(x).transpose(1, 0, 2), tagger.scan(x.astype(np.int8))
+        assert np.abs(slow - fast)[(x != pii.PAD).T].max() < 1e-5
+
+
 def test_decoding_is_the_best_of_all_paths():
     draw = np.random.default_rng(6)
     for _ in range(6):
