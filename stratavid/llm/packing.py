@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stratavid.llm.common import stored
 from stratavid.llm.tokens import encoder, slices, vocabulary_path
 
-# Text encoded at a time; its words and ids take some twenty times as much in a worker.
+# Text encoded at a time; its words and ids take many times as much in a worker.
 SLICE_BYTES = 1 << 20
 CAPACITY = 4096
 END_ID = 2
