@@ -12,6 +12,9 @@ from stratavid.session import shared_folder
 
 # One bitmap row of Spark's bitmap functions covers this many positions.
 BITMAP_ROW = 32768
+# Bytes of rows that a Python worker is handed at a time, and the setting that bounds them.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +41,18 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands rows to Python about BATCH_BYTES at a time; a longer row goes alone.
+
+    Spark's own bound of 10,000 rows or 64 MB makes a whole input split of texts one batch, which an executor holds
+    several times, in Spark's buffers and in each worker, and a worker keeps what it once took. A
+    session's own limit stays.
+    """
+    if df.sparkSession.conf.get(BATCH_SETTING, None) is None:
+        df.sparkSession.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def sieve(keys: DataFrame, key: str, bits: int) -> DataFrame:
     """Bitmap over the hashed keys: at most 2**bits positions, so at most 2**(bits-3) bytes.
 

@@ -13,9 +13,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavid.llm.common import components, sieve, sifted, stored
+from stratavid.llm.common import components, in_small_batches, sieve, sifted, stored
 from stratavid.llm.tokens import slices
 
+# Text whose shingles are made at a time; they take many times as much in a worker.
+SLICE_BYTES = 1 << 20
 # Chance that a pair at the threshold shares no band, and signature values spent on it at most.
 MISS = 1e-9
 VALUES = 270
@@ -24,6 +26,8 @@ SIEVE_BITS = 26
 # Documents and shingles of one block; two blocks are compared in one task.
 BLOCK_DOCS = 512
 BLOCK_SHINGLES = 400_000
+# Common elements of pairs of sets that wait in a worker to be counted.
+HELD_PAIRS = 500_000
 # Standing for a null id, above all others.
 NULL_ID = (1 << 63) - 1
 
@@ -125,7 +129,7 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 shingles, bounds = shingle_sets(part.column("text"), rule.words)
                 size = np.diff(bounds)
                 digest = [xxhash.xxh3_128_digest(shingles[a:b]) if b > a else None for a, b in zip(bounds, bounds[1:])]
@@ -137,7 +141,7 @@ def signatures(docs: DataFrame, rule: Rule) -> DataFrame:
                     ["id", "tag", "n", "digest", "bands"],
                 )
 
-    return docs.mapInArrow(run, "id long, tag long, n long, digest binary, bands array<long>")
+    return in_small_batches(docs).mapInArrow(run, "id long, tag long, n long, digest binary, bands array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -145,7 +149,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 shingles, bounds = shingle_sets(part.column("text"), words)
                 found = [(b - a, xxhash.xxh3_128_digest(shingles[a:b]), shingles[a:b].tobytes())
                          for a, b in zip(bounds, bounds[1:]) if b > a]
@@ -153,7 +157,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
                 columns = zip(*found) if found else [[]] * 3
                 yield pa.record_batch([pa.array(list(c), k) for c, k in zip(columns, kinds)], ["n", "digest", "shingles"])
 
-    return docs.mapInArrow(run, "n long, digest binary, shingles binary")
+    return in_small_batches(docs).mapInArrow(run, "n long, digest binary, shingles binary")
 
 
 def _placed(docs: DataFrame, rule: Rule, id_col: str, text_col: str) -> DataFrame:
@@ -253,7 +257,8 @@ def _links_to_heads(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 hit.append(bool(rule.linked(common, len(x), len(y))))
             yield batch.select(["rep", "head"]).filter(pa.array(hit, pa.bool_())).rename_columns(["a", "b"])
 
-    return stored(both.select("rep", "head", "s1", "s2").mapInArrow(run, "a binary, b binary"), "near-head-links")
+    found = in_small_batches(both.select("rep", "head", "s1", "s2")).mapInArrow(run, "a binary, b binary")
+    return stored(found, "near-head-links")
 
 
 def _links_in_blocks(sets: DataFrame, joined: DataFrame, rule: Rule) -> DataFrame:
@@ -342,7 +347,7 @@ def spanning_links(sets: list[np.ndarray], part: np.ndarray, rule: Rule) -> list
             break
         waiting.append(owner[hit] * n + owner[hit + d])
         held += len(hit)
-        if held > 4_000_000:
+        if held > HELD_PAIRS:
             counts += np.bincount(np.concatenate(waiting), minlength=n * n).astype(np.int32)
             waiting, held = [], 0
     if waiting:

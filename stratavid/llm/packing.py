@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavid.llm.common import stored
+from stratavid.llm.common import in_small_batches, stored
 from stratavid.llm.tokens import encoder, slices, vocabulary_path
 
 # Text encoded at a time; its words and ids take many times as much in a worker.
@@ -192,4 +192,4 @@ def pack(
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return in_small_batches(rows).mapInArrow(run, PIECES)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavid.llm.common import stored
+from stratavid.llm.common import in_small_batches, stored
 from stratavid.llm.tokens import slices
 
 # Labelled rows of each label that are fitted at most, and pairs drawn from them.
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker:
                     ["doc_id", "quality", "x"],
                 )
 
-    rows = texts.mapInArrow(run, "doc_id long, quality int, x array<double>").groupBy("doc_id", "quality").agg(F.min("x").alias("x"))
+    rows = in_small_batches(texts).mapInArrow(run, "doc_id long, quality int, x array<double>").groupBy("doc_id", "quality").agg(F.min("x").alias("x"))
     found = sorted(rows.collect(), key=lambda r: r["doc_id"])
     good, bad = (np.array([r["x"] for r in found if r["quality"] == q]).reshape(-1, WIDTH) for q in (1, 0))
     return fit_pairs(good, bad)
@@ -162,7 +162,7 @@ def strengths(docs: DataFrame, ranker: Ranker, *kept) -> DataFrame:
         parts = [ranker.strength(features(p.column("text"))) for p in slices(batch, "text")]
         return pa.array(np.concatenate(parts or [np.zeros(0)]))
 
-    return docs.select(*kept, strength(F.col("text")).alias("strength"))
+    return in_small_batches(docs).select(*kept, strength(F.col("text")).alias("strength"))
 
 
 def place_cut(rated: DataFrame, labels: DataFrame, ranker: Ranker) -> Ranker:

@@ -1,13 +1,17 @@
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stratavid.llm import queries
+from stratavid.llm import neardup, queries
+from stratavid.llm.common import BATCH_BYTES, BATCH_SETTING, in_small_batches
 from stratavid.llm.exact_dedup import drop_copies, exact_groups
-from stratavid.llm.neardup import Rule, band_keys, drop_near, near_groups, shingle_sets, spanning_links
+from stratavid.llm.neardup import Rule, band_keys, drop_near, full_sets, near_groups, shingle_sets, signatures, spanning_links
+from stratavid.llm.packing import pack
+from stratavid.llm.quality import WIDTH, Ranker, strengths
 from tests.compare import check
 from tests.llm.conftest import ODD, SF_DIR
 
@@ -174,3 +178,67 @@ def test_spanning_links_join_what_all_pairs_join():
     groups = lambda of: {frozenset(n for n in of if of[n] == x) for x in of.values()}
     assert groups(dict(enumerate(label))) == groups(want)
     assert len(links) < len(sets)
+
+
+def test_python_is_handed_texts_a_few_megabytes_at_a_time(spark, docs):
+    ranker = Ranker(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), 0.0)
+    rows = docs.select(F.col("doc_id").alias("id"), "text", F.lit(0).cast("long").alias("tag"))
+    own = spark.conf.get(BATCH_SETTING, None)
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    try:
+        for made in (lambda: signatures(rows, Rule()), lambda: full_sets(rows, 5), lambda: strengths(docs, ranker), lambda: pack(docs)):
+            spark.conf.unset(BATCH_SETTING)
+            made()
+            assert spark.conf.get(BATCH_SETTING) == str(BATCH_BYTES)
+        # One split of 30 MB in fewer rows than Spark's bound, and a row longer than a batch.
+        texts = spark.range(0, 3000, 1, 1).select(F.expr("repeat('x', if(id = 1500, 3 * 4194304, 10000))").alias("text"))
+        found = in_small_batches(texts).mapInArrow(sizes, "rows long, bytes long").collect()
+        assert sum(r["rows"] for r in found) == 3000
+        assert sorted(r["bytes"] for r in found)[-2] < 1.1 * BATCH_BYTES and max(r["bytes"] for r in found) < 4.1 * BATCH_BYTES
+        spark.conf.set(BATCH_SETTING, "1m")
+        in_small_batches(texts)
+        assert spark.conf.get(BATCH_SETTING) == "1m"
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+        if own is not None:
+            spark.conf.set(BATCH_SETTING, own)
+
+
+def test_near_dedup_takes_little_memory_in_a_worker(spark):
+    import pyarrow as pa
+
+    class Rows:
+        """Stands for a table: gives the function that would run on its batches."""
+
+        sparkSession = spark
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    text = family(5, 300, 1, 0)[0]
+    texts = pa.array([f"{n} {text}" for n in range(4 * BATCH_BYTES // (3 * len(text)))])
+    ids = pa.array(range(len(texts)))
+    batch = pa.record_batch([ids, ids, texts], ["id", "tag", "text"])
+    tracemalloc.start()
+    rows = sum(len(b) for b in signatures(Rows(), Rule())(iter([batch])))
+    _, most = tracemalloc.get_traced_memory()
+    assert rows == len(texts) and most < 4 * texts.nbytes
+    sets = [np.arange(700, dtype=np.uint64) + np.uint64(n % 3) for n in range(400)]
+    tracemalloc.reset_peak()
+    links = spanning_links(sets, np.arange(len(sets)), Rule())
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(links) == len(sets) - 1 and most < 40e6
+    # The same links when counts are added up after every distance.
+    held = neardup.HELD_PAIRS
+    try:
+        neardup.HELD_PAIRS = 1
+        assert spanning_links(sets[:30], np.arange(30), Rule()) == links[:29]
+    finally:
+        neardup.HELD_PAIRS = held
